@@ -103,3 +103,52 @@ def sql_summaries(src: str) -> str:
              coalesce(i.key_insights, []) AS key_insights, coalesce(t.tags, []) AS tags
       FROM {src} a LEFT JOIN heads h USING (article_id) LEFT JOIN tags t USING (article_id)
       LEFT JOIN insights i USING (article_id))"""
+
+
+# The character references that occur in landed pages, decoded as the
+# HTML parser does ('&amp;' last so that '&amp;lt;' reads '&lt;').
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "\u00a9"),
+            ("&middot;", "\u00b7"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+
+
+def sql_decode(x: str) -> str:
+    for ent, ch in ENTITIES:
+        x = f"replace({x}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
+    return x
+
+
+def sql_clean_html(x: str) -> str:
+    """Comments, script and style blocks become string separators."""
+    x = f"regexp_replace({x}, '(?s)<!--.*?-->', chr(1), 'g')"
+    return f"regexp_replace({x}, '(?is)<(script|style)\\b[^>]*>.*?</(script|style)>', chr(1), 'g')"
+
+
+def sql_text(x: str, sep: str) -> str:
+    """Text of an HTML fragment: strings between tags decoded, stripped, non-empty, joined."""
+    parts = f"string_split(regexp_replace({sql_clean_html(x)}, '<[^>]*>', chr(1), 'g'), chr(1))"
+    return (f"array_to_string(list_filter(list_transform({parts}, lambda x: {sql_strip(sql_decode('x'))}), "
+            f"lambda x: x <> ''), '{sep}')")
+
+
+def sql_element(html: str, tag: str) -> str:
+    """Inner HTML of the first <tag> element (no nesting of the same tag)."""
+    return f"regexp_extract({html}, '(?s)<{tag}\\b[^>]*>(.*?)</{tag}>', 1)"
+
+
+NETLOC_SQL = "regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1)"
+ORIGIN_SQL = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+LANG_SQL = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([a-z]{2})(/|$)', 1)"
+
+
+def sql_web_articles() -> str:
+    """Landed pages as web articles: title = h1 text, content = article text (CSS text,
+    no separator)."""
+    return f"""
+    SELECT md5(title || ':' || source_url || ':' || substring(content, 1, {C.HASH_CONTENT_CHARS})) AS article_id, * FROM (
+      SELECT page_id, {LANG_SQL} AS niche, {RUN_DATE_SQL} AS run_date,
+             CASE WHEN regexp_matches(html, '<h1\\b') THEN {sql_text(sql_element('html', 'h1'), '')} END AS title,
+             CASE WHEN regexp_matches(html, '<article\\b') THEN {sql_text(sql_element('html', 'article'), '')} END AS content,
+             url AS source_url, {NETLOC_SQL} AS source_name, CAST(0 AS BIGINT) AS kind_rank,
+             CAST(0 AS BIGINT) AS source_pos, page_id AS item_pos
+      FROM pages) p
+    WHERE coalesce(title, '') <> '' AND coalesce(content, '') <> ''"""
