@@ -42,7 +42,7 @@ def sql_articles(where: str = "") -> str:
     return f"""
     SELECT doc_id, lang AS niche, {RUN_DATE_SQL} AS run_date,
            {sql_strip("split_part(text, chr(10), 1)")} AS title,
-           text AS content, 'https://' || source || '.example.com/' || CAST(doc_id AS VARCHAR) AS source_url,
+           text AS content, CAST(NULL AS VARCHAR) AS author, 'https://' || source || '.example.com/' || CAST(doc_id AS VARCHAR) AS source_url,
            source AS source_name, CAST(1 AS BIGINT) AS kind_rank,
            CAST(TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) AS BIGINT) AS source_pos,
            doc_id AS item_pos
