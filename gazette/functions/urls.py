@@ -8,7 +8,7 @@ without dot segments; only the remaining relative forms go through Python
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 _ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
@@ -27,7 +27,7 @@ def origin(url) -> Column:
     return F.regexp_extract(_col(url), _ORIGIN, 1)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _urljoin(base: pd.Series, href: pd.Series) -> pd.Series:
     from urllib.parse import urljoin
     return pd.Series([None if h is None else urljoin(b or "", h) for b, h in zip(base, href)], dtype=object)

@@ -34,9 +34,28 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings every job relies on; safe to call repeatedly on any session."""
     # All timestamps are UTC wall-clock values (feed dates are converted to UTC).
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable by Python workers (mapInPandas, pandas UDFs, state
+    processors) wherever they run: zip it once per application and add it like
+    --py-files."""
+    import shutil
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="gazette-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "gazette"), "zip", os.path.dirname(pkg), "gazette")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir; set one only when unset (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

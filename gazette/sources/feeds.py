@@ -9,7 +9,7 @@ filter on it. Only markup stripping and the well-formedness test run in Python.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from gazette import config as C
 from gazette.functions import html as H
@@ -28,7 +28,7 @@ FEED_SCHEMA = f"channel STRUCT<title: STRING, item: ARRAY<STRUCT<{_ITEM}>>>, ent
 XML_OPTIONS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _well_formed(body: pd.Series) -> pd.Series:
     import xml.etree.ElementTree as ET
 
@@ -43,7 +43,7 @@ def _well_formed(body: pd.Series) -> pd.Series:
     return pd.Series([ok(b) for b in body], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _strip_markup(text: pd.Series) -> pd.Series:
     return pd.Series([H.strip_markup(t) for t in text], dtype=object)
 

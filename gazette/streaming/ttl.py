@@ -10,12 +10,18 @@ store and the checkpoint make the state survive restarts and lost executors.
 
 from __future__ import annotations
 
+import sys
 from typing import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+# The state processor also runs in a driver-side Python process that does not see
+# --py-files, so this module travels by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
