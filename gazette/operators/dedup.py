@@ -117,21 +117,25 @@ def ttl_dedup(events: DataFrame, keys, ts: str = "ts", id_col: str = "event_id",
     jump = (in_slice.join(later, ["k", "slice"], "left")
             .select("k", F.col("probe_us").alias("src"), F.coalesce("hit", "later_us").alias("dst"))
             .filter(F.col("dst").isNotNull()))
-    # 3. the chain from each key's first node, by pointer doubling: after round r the
-    #    reached set holds every chain node fewer than 2^(r+1) steps from the start.
-    span = nodes.agg(F.min("us").alias("a"), F.max("us").alias("b")).first()
-    rounds = 1 if span["a"] is None else _chain_rounds((span["b"] - span["a"]) / 1e6, ttl_us / 1e6)
+    # 3. the chain from each key's first node, by pointer doubling. J(0) = nxt and
+    #    J(r+1) = J(r)∘J(r) are written once each (a self-join per level); after level r
+    #    the reached set holds every chain node fewer than 2^(r+1) steps from the start.
+    #    Chain nodes at different distances are different rows, so no distinct is needed.
+    from gazette.session import materialize
+    span = events.agg(F.min(F.col(ts)).alias("a"), F.max(F.col(ts)).alias("b")).first()
+    rounds = 1 if span["a"] is None else _chain_rounds((span["b"] - span["a"]).total_seconds(), ttl_us / 1e6)
+    if checkpoint:
+        jump = materialize(jump, "ttl-jump")
     reached = nodes.groupBy("k").agg(F.min("us").alias("src"))
     for r in range(rounds + 1):
         step = reached.join(jump, ["k", "src"]).select("k", F.col("dst").alias("src"))
-        reached = reached.unionByName(step).distinct()
+        reached = reached.unionByName(step)
         if r < rounds:
             jump = (jump.alias("a").join(jump.alias("b"),
                                          (F.col("a.k") == F.col("b.k")) & (F.col("a.dst") == F.col("b.src")))
                     .select(F.col("a.k"), F.col("a.src"), F.col("b.dst")))
-        if checkpoint:
-            from gazette.session import cut_lineage
-            reached, jump = cut_lineage(reached), cut_lineage(jump)
+            if checkpoint:
+                jump = materialize(jump, "ttl-jump")
     accepted = nodes.join(reached.withColumnRenamed("src", "us"), ["k", "us"], "left_semi")
     return accepted.select(F.col("eid").alias(id_col), *[F.col(f"k.{c}").alias(c) for c in keys],
                            F.col("t").alias(ts))

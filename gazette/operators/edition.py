@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, functions as F
 from gazette import config as C
 from gazette.functions.text import title_cleanup
 from gazette.operators import trends as T
-from gazette.operators.select import EDITION, rank_within
+from gazette.operators.select import EDITION, first_k
 
 # Fixed value: the introduction sentence.
 INTRODUCTION = ("Welcome to today's %s news digest! We've analyzed %d articles to bring you the "
                 "most important developments and insights.")
 
 
+POSITIONAL = max(C.TREND_ARTICLES, C.INSIGHT_ARTICLES, C.TOP_STORIES, C.QUICK_READS[1])
+
+
 def ranked_pairs(paired: DataFrame) -> DataFrame:
-    """Edition position (rn) in canonical order, unless the caller numbered them already."""
-    return paired if "rn" in paired.columns else rank_within(paired, EDITION)
+    """The numbered head of each edition (first 10): every positional rule reads only it."""
+    return first_k(paired, POSITIONAL)
 
 
 def top_stories(paired: DataFrame, k: int = C.TOP_STORIES, insights: int = C.STORY_INSIGHTS) -> DataFrame:
@@ -43,8 +46,8 @@ def assemble(paired: DataFrame, title_responses: DataFrame | None = None,
     (title cleaned by F18), else from the deterministic defaults:
     title = '<niche> Digest: <lead topics>', insights = insight lines as paragraphs."""
     p = ranked_pairs(paired)
-    stats = T.source_stats(p)
-    tr = (T.trends(p, cap=trend_cap).groupBy(*EDITION)
+    stats = T.source_stats(paired)
+    tr = (T.trends(paired if trend_cap is None else p, cap=trend_cap).groupBy(*EDITION)
           .agg(T._ordered_values("trend", "tag_rank").alias("trends")))
     lines = T.insight_lines(p)
     leads = T.lead_topics(p)

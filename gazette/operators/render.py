@@ -51,8 +51,15 @@ def with_sections(paired: DataFrame) -> DataFrame:
     return p.withColumn("section", article_section(date_text="date_text_iso"))
 
 
+def _require_cap(paired: DataFrame) -> None:
+    if "rn" not in paired.columns:
+        raise ValueError("rendering lists every article of an edition: give pairs numbered by a "
+                         "run cap (max_articles_per_run), so that each edition stays bounded")
+
+
 def edition_sections(paired: DataFrame) -> DataFrame:
     """All article blocks of an edition in order (A10: ordered listagg, bounded by the cap)."""
+    _require_cap(paired)
     p = with_sections(paired)
     return p.groupBy(*EDITION).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "section"))), lambda x: x["section"]), "")
@@ -95,6 +102,7 @@ def newsletter_full(editions: DataFrame, paired: DataFrame, metadata: dict | Non
     O5, statistics A7-A9, every article, about). Metadata defaults through F36; social
     links are a map rendered with title-cased names (F37, F38)."""
     md = dict(metadata or {})
+    _require_cap(paired)
     p = with_sections(paired)
     quick = (p.filter(F.col("rn").between(6, 10))
              .withColumn("q", F.concat(F.lit("\n**["), _s("title"), F.lit("]("), _s("source_url"), F.lit(")**  \n*"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Explicit list order: web before feeds, then configuration order, then item position.
 ORDER_COLS = ("kind_rank", "source_pos", "source_name", "item_pos")
@@ -38,12 +38,28 @@ def cap_per_source(df: DataFrame, cap_col: str = "max_articles", name: str = "it
 
 
 def run_cap(df: DataFrame, cap: int | None, name: str = "rn") -> DataFrame:
-    """O2: first max_articles_per_run articles of each edition."""
-    if cap is not None and cap <= 0:
+    """O2: first max_articles_per_run articles of each edition, numbered (rn). cap None =
+    every article, not numbered: numbering a whole edition would put it in one task."""
+    if cap is None:
+        return df
+    if cap <= 0:
         return rank_within(df, EDITION, name).limit(0)
     return cap_per_group(df, EDITION, cap, name)
 
 
+def first_k(df: DataFrame, k: int, name: str = "rn") -> DataFrame:
+    """The first k rows of each edition: a filter when rows are numbered, else a
+    top-k per edition (WindowGroupLimit, limited per map task before the shuffle)."""
+    if name in df.columns:
+        return df.filter(F.col(name) <= F.lit(int(k)))
+    return cap_per_group(df, EDITION, k, name)
+
+
+def order_key(*extra) -> Column:
+    """Canonical order as one comparable struct (null fields sort first)."""
+    return F.struct(*[F.col(c) for c in ORDER_COLS], *extra)
+
+
 def union_kinds(*frames: DataFrame) -> DataFrame:
     """UNION ALL of web and feed articles; order columns travel with the rows."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -161,20 +161,24 @@ def parse_responses(responses: DataFrame, provider: str = "model") -> DataFrame:
 
 
 # --------------------------------------------------------------------------- extractive
-def _tokens(articles: DataFrame) -> DataFrame:
+def with_sentences(articles: DataFrame) -> DataFrame:
+    """The one pass over the text: sentence array `s` per article (content dropped)."""
+    return articles.withColumn("s", sentences("content")).drop("content")
+
+
+def _tokens(sents: DataFrame) -> DataFrame:
     """(article, sentence position, term) for every term occurrence of the whole text."""
-    sents = articles.select("article_id", *EDITION,
-                            F.posexplode(sentences("content")).alias("s_pos", "sentence"))
-    return sents.select("article_id", *EDITION, "s_pos", F.explode(terms("sentence")).alias("term"))
+    x = sents.select("article_id", *EDITION, F.posexplode("s").alias("s_pos", "sentence"))
+    return x.select("article_id", *EDITION, "s_pos", F.explode(terms("sentence")).alias("term"))
 
 
-def term_weights(articles: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
+def term_weights(sents: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
     """tf·ln(N/df) per (article, term), rounded to 9 places; N and df per edition over
-    the corpus (default: the articles). Terms in more than half the edition drop out."""
-    corpus = articles if corpus is None else corpus
-    tf = _tokens(articles).groupBy("article_id", *EDITION, "term").agg(F.count("*").alias("tf"))
-    ctf = tf if corpus is articles else (
-        _tokens(corpus).select("article_id", *EDITION, "term").distinct())
+    the corpus (default: the articles themselves; both given as sentence frames). Terms
+    in more than half of the edition drop out."""
+    corpus = sents if corpus is None else corpus
+    tf = _tokens(sents).groupBy("article_id", *EDITION, "term").agg(F.count("*").alias("tf"))
+    ctf = tf if corpus is sents else _tokens(corpus).select("article_id", *EDITION, "term").distinct()
     df = ctf.groupBy(*EDITION, "term").agg(F.count("*").alias("df"))
     n = corpus.groupBy(*EDITION).agg(F.count("*").alias("n"))
     return (tf.join(df, [*EDITION, "term"]).join(n, list(EDITION))
@@ -191,38 +195,43 @@ def _ordered(values_col: str, pos_col: str) -> F.Column:
                        lambda x: x["v"])
 
 
-def extractive_summaries(articles: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
-    """Z2 default provider, all on Spark.
-
-    short = first 3 sentences (cut to 500), detailed = first 8 sentences,
+def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None, keep=()) -> DataFrame:
+    """Z2 on sentence frames: short = first 3 sentences (cut to 500), detailed = first 8,
     tags = top 5 terms by weight (ties: term), key_insights = top 5 sentences by mean
-    weight of their kept term occurrences (ties: position), in text order."""
-    arts = articles.select("article_id", *EDITION, "content")
-    weights = term_weights(arts, corpus)
+    weight of their kept term occurrences (ties: position), in text order. Windows are
+    per article; the only cross-article step is the document frequency."""
+    weights = term_weights(sents, corpus)
     wt = Window.partitionBy("article_id").orderBy(F.col("weight").desc(), F.col("term").asc())
     tags = (weights.withColumn("r", F.row_number().over(wt)).filter(F.col("r") <= EXTRACT_TAGS)
             .groupBy("article_id").agg(_ordered("term", "r").alias("tags")))
-    scored = (_tokens(arts).join(weights.select("article_id", "term", "weight"), ["article_id", "term"])
-              .groupBy("article_id", "s_pos")
-              .agg(F.round(F.avg("weight"), WEIGHT_DIGITS).alias("score")))
+    scored = (_tokens(sents).join(weights.select("article_id", "term", "weight"), ["article_id", "term"])
+              .groupBy("article_id", "s_pos").agg(F.round(F.avg("weight"), WEIGHT_DIGITS).alias("score")))
     ws = Window.partitionBy("article_id").orderBy(F.col("score").desc(), F.col("s_pos").asc())
-    top = scored.withColumn("r", F.row_number().over(ws)).filter(F.col("r") <= EXTRACT_INSIGHTS)
-    sent_text = arts.select("article_id", F.posexplode(sentences("content")).alias("s_pos", "sentence"))
-    insights = (top.join(sent_text, ["article_id", "s_pos"])
-                .groupBy("article_id").agg(_ordered("sentence", "s_pos").alias("key_insights")))
-    heads = arts.select("article_id", F.slice(sentences("content"), 1, DETAILED_SENTENCES).alias("_s"))
+    top = (scored.withColumn("r", F.row_number().over(ws)).filter(F.col("r") <= EXTRACT_INSIGHTS)
+           .groupBy("article_id").agg(F.array_sort(F.collect_list("s_pos")).alias("_top")))
     empty = F.array().cast("array<string>")
-    return (heads.join(tags, "article_id", "left").join(insights, "article_id", "left")
-            .select("article_id",
-                    F.substring(F.array_join(F.slice("_s", 1, SHORT_SENTENCES), " "), 1,
+    return (sents.join(tags, "article_id", "left").join(top, "article_id", "left")
+            .select("article_id", *keep,
+                    F.substring(F.array_join(F.slice("s", 1, SHORT_SENTENCES), " "), 1,
                                 C.SHORT_SUMMARY_CHARS).alias("short_summary"),
-                    F.array_join("_s", " ").alias("detailed_summary"),
-                    F.coalesce("key_insights", empty).alias("key_insights"),
+                    F.array_join(F.slice("s", 1, DETAILED_SENTENCES), " ").alias("detailed_summary"),
+                    F.coalesce(F.transform("_top", lambda p: F.get(F.col("s"), p)), empty).alias("key_insights"),
                     F.coalesce("tags", empty).alias("tags"),
                     F.lit("extractive").alias("provider"),
                     F.lit(True).alias("parsed")))
 
 
+def extractive_summaries(articles: DataFrame, corpus: DataFrame | None = None, materialize: bool = True) -> DataFrame:
+    """Z2 default provider, all on Spark. The sentence frame is written once (shared
+    checkpoint folder) because four branches read it."""
+    from gazette.session import materialize as _mat
+    sents = with_sentences(articles.select("article_id", *EDITION, "content"))
+    if materialize:
+        sents = _mat(sents, "sentences")
+    csents = None if corpus is None else with_sentences(corpus.select("article_id", *EDITION, "content"))
+    return summaries_from_sentences(sents, csents)
+
+
 # --------------------------------------------------------------------------- provider hook
 Provider = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 

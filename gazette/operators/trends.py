@@ -6,9 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gazette import config as C
-from gazette.operators.select import EDITION
-
-_POS_SCALE = 1 << 20   # (article position, tag position) packed into one long
+from gazette.operators.select import EDITION, first_k, order_key
 
 
 def _ordered_values(value: str, pos: str) -> F.Column:
@@ -19,13 +17,14 @@ def _ordered_values(value: str, pos: str) -> F.Column:
 def tag_counts(paired: DataFrame, cap: int | None = C.TREND_ARTICLES, distinct: bool = False) -> DataFrame:
     """Tag occurrences over the first `cap` articles of each edition (cap None = all).
     A tag repeated inside one article counts twice unless distinct=True (L7)."""
-    x = paired if cap is None else paired.filter(F.col("rn") <= cap)
-    ex = x.select(*EDITION, "rn", F.posexplode("tags").alias("tag_pos", "tag"))
+    x = paired if cap is None else first_k(paired, cap)
+    ex = x.select(*EDITION, "article_id", order_key().alias("_o"), F.posexplode("tags").alias("tag_pos", "tag"))
     if distinct:
-        ex = ex.groupBy(*EDITION, "rn", "tag").agg(F.min("tag_pos").alias("tag_pos"))
+        ex = ex.groupBy(*EDITION, "article_id", "_o", "tag").agg(F.min("tag_pos").alias("tag_pos"))
+    # first occurrence = (article in canonical order, position in its tag list)
     return ex.groupBy(*EDITION, "tag").agg(
         F.count("*").alias("mentions"),
-        F.min(F.col("rn").cast("long") * _POS_SCALE + F.col("tag_pos")).alias("first_seen"))
+        F.min(F.struct("_o", "tag_pos")).alias("first_seen"))
 
 
 def top_tags(counts: DataFrame, k: int = C.TREND_TOP) -> DataFrame:
@@ -45,7 +44,7 @@ def trends(paired: DataFrame, cap: int | None = C.TREND_ARTICLES, k: int = C.TRE
 def insight_lines(paired: DataFrame, articles: int = C.INSIGHT_ARTICLES,
                   lines: int = C.INSIGHT_LINES) -> DataFrame:
     """A2: insights of the first 10 articles, in order, first 20 (bounded per edition)."""
-    ex = (paired.filter(F.col("rn") <= articles)
+    ex = (first_k(paired, articles)
           .select(*EDITION, "rn", F.posexplode("key_insights").alias("i_pos", "insight")))
     return (ex.groupBy(*EDITION)
             .agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct("rn", "i_pos", "insight"))),
@@ -54,7 +53,7 @@ def insight_lines(paired: DataFrame, articles: int = C.INSIGHT_ARTICLES,
 
 def lead_topics(paired: DataFrame, scan: int = C.LEAD_TOPIC_SUMMARIES, k: int = C.LEAD_TOPICS) -> DataFrame:
     """A3: first tag of each of the first 5 summaries that have tags; first 3 joined ', '."""
-    x = paired.filter((F.col("rn") <= scan) & (F.size("tags") > 0)).select(
+    x = first_k(paired, scan).filter(F.size("tags") > 0).select(
         *EDITION, "rn", F.get(F.col("tags"), 0).alias("topic"))
     return x.groupBy(*EDITION).agg(F.array_join(F.slice(_ordered_values("topic", "rn"), 1, k), ", ")
                                    .alias("lead_topics"))

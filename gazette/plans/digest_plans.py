@@ -32,11 +32,15 @@ def unique_articles(spark, sf):
 
 
 def ranked_pairs(spark, sf, run_cap=None):
-    """Articles of each edition in canonical order (rn), joined to their summaries.
-    run_cap None = whole edition; 20 = max_articles_per_run."""
+    """Articles of each edition in canonical order (rn), with their extractive summaries.
+    run_cap None = whole edition; 20 = max_articles_per_run. The text is read once:
+    article metadata and sentence arrays are written as one stage, and the pairs (no
+    text) as another, since editions aggregate them many ways."""
+    from gazette.session import materialize
     arts = S.run_cap(unique_articles(spark, sf), run_cap)
-    summ = Z.summarize(arts.drop("rn"))
-    return Z.pairs(arts, summ)
+    sents = materialize(Z.with_sentences(arts), "sentences")
+    meta = [c for c in sents.columns if c not in ("article_id", "s")]
+    return materialize(Z.summaries_from_sentences(sents, keep=meta), "pairs")
 
 
 SRC_SQL = f"""

@@ -80,5 +80,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a stage once as Parquet under the shared checkpoint folder and read it back:
+    later branches read it (with column pruning) instead of recomputing its lineage,
+    and a lost executor only re-reads files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

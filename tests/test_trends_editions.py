@@ -7,7 +7,9 @@ from gazette.operators import trends as T
 
 
 def pairs_df(spark, rows):
-    return spark.createDataFrame(rows, "niche string, run_date string, rn int, tags array<string>, key_insights array<string>")
+    rows = [r + (f"a{r[2]}", 1, 0, "s", r[2]) for r in rows]
+    return spark.createDataFrame(rows, "niche string, run_date string, rn int, tags array<string>, key_insights array<string>, "
+                                       "article_id string, kind_rank int, source_pos int, source_name string, item_pos int")
 
 
 def py_trends(tag_lists, cap=10):
