@@ -166,24 +166,29 @@ def with_sentences(articles: DataFrame) -> DataFrame:
     return articles.withColumn("s", sentences("content")).drop("content")
 
 
-def _tokens(sents: DataFrame) -> DataFrame:
+def _tokens(sents: DataFrame, key: str = "article_id") -> DataFrame:
     """(article, sentence position, term) for every term occurrence of the whole text."""
-    x = sents.select("article_id", *EDITION, F.posexplode("s").alias("s_pos", "sentence"))
-    return x.select("article_id", *EDITION, "s_pos", F.explode(terms("sentence")).alias("term"))
-
-
-def term_weights(sents: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
-    """tf·ln(N/df) per (article, term), rounded to 9 places; N and df per edition over
-    the corpus (default: the articles themselves; both given as sentence frames). Terms
-    in more than half of the edition drop out."""
-    corpus = sents if corpus is None else corpus
-    tf = _tokens(sents).groupBy("article_id", *EDITION, "term").agg(F.count("*").alias("tf"))
-    ctf = tf if corpus is sents else _tokens(corpus).select("article_id", *EDITION, "term").distinct()
-    df = ctf.groupBy(*EDITION, "term").agg(F.count("*").alias("df"))
+    x = sents.select(key, *EDITION, F.posexplode("s").alias("s_pos", "sentence"))
+    return x.select(key, *EDITION, "s_pos", F.explode(terms("sentence")).alias("term"))
+
+
+def term_weights(sents: DataFrame, corpus: DataFrame | None = None, key: str = "aid") -> DataFrame:
+    """tf·ln(N/df) per (article, term), rounded to 9 places, with the sentence positions
+    of the term's occurrences (`pos`, one entry per occurrence). One aggregation over
+    the tokens gives tf and positions; N and df are per edition over the corpus
+    (default: the articles). Terms in more than half of the edition drop out (filtered
+    on the small df table before the join)."""
+    tf = _tokens(sents, key).groupBy(key, *EDITION, "term").agg(
+        F.count("*").alias("tf"), F.collect_list("s_pos").alias("pos"))
+    if corpus is None:
+        ctf, corpus = tf, sents
+    else:
+        ctf = _tokens(corpus, key).select(key, *EDITION, "term").distinct()
     n = corpus.groupBy(*EDITION).agg(F.count("*").alias("n"))
-    return (tf.join(df, [*EDITION, "term"]).join(n, list(EDITION))
-            .filter(F.col("df") * 2 <= F.col("n"))
-            .select("article_id", *EDITION, "term", "tf",
+    df = (ctf.groupBy(*EDITION, "term").agg(F.count("*").alias("df"))
+          .join(n, list(EDITION)).filter(F.col("df") * 2 <= F.col("n")))
+    return (tf.join(df, [*EDITION, "term"])
+            .select(key, *EDITION, "term", "tf", "pos",
                     F.round(F.col("tf") * F.log(F.col("n").cast("double") / F.col("df")),
                             WEIGHT_DIGITS).alias("weight")))
 
@@ -195,22 +200,33 @@ def _ordered(values_col: str, pos_col: str) -> F.Column:
                        lambda x: x["v"])
 
 
-def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None, keep=()) -> DataFrame:
-    """Z2 on sentence frames: short = first 3 sentences (cut to 500), detailed = first 8,
-    tags = top 5 terms by weight (ties: term), key_insights = top 5 sentences by mean
-    weight of their kept term occurrences (ties: position), in text order. Windows are
-    per article; the only cross-article step is the document frequency."""
+def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None, keep=(),
+                             materialize: bool = True) -> DataFrame:
+    """Z2 on sentence frames (article_id, niche, run_date, s, ...): short = first 3
+    sentences (cut to 500), detailed = first 8, tags = top 5 terms by weight (ties:
+    term), key_insights = top 5 sentences by mean weight of their kept term occurrences
+    (ties: position), in text order. Token work is keyed by a long surrogate id, windows
+    are per article, and the only cross-article step is the document frequency."""
+    from gazette.session import materialize as _mat
+    if "aid" not in sents.columns:
+        sents = sents.withColumn("aid", F.monotonically_increasing_id())
+        if materialize:
+            sents = _mat(sents, "sentences")
+    if corpus is not None:
+        corpus = corpus.withColumn("aid", F.monotonically_increasing_id())
     weights = term_weights(sents, corpus)
-    wt = Window.partitionBy("article_id").orderBy(F.col("weight").desc(), F.col("term").asc())
+    if materialize:
+        weights = _mat(weights, "weights")
+    wt = Window.partitionBy("aid").orderBy(F.col("weight").desc(), F.col("term").asc())
     tags = (weights.withColumn("r", F.row_number().over(wt)).filter(F.col("r") <= EXTRACT_TAGS)
-            .groupBy("article_id").agg(_ordered("term", "r").alias("tags")))
-    scored = (_tokens(sents).join(weights.select("article_id", "term", "weight"), ["article_id", "term"])
-              .groupBy("article_id", "s_pos").agg(F.round(F.avg("weight"), WEIGHT_DIGITS).alias("score")))
-    ws = Window.partitionBy("article_id").orderBy(F.col("score").desc(), F.col("s_pos").asc())
+            .groupBy("aid").agg(_ordered("term", "r").alias("tags")))
+    scored = (weights.select("aid", "weight", F.explode("pos").alias("s_pos"))
+              .groupBy("aid", "s_pos").agg(F.round(F.avg("weight"), WEIGHT_DIGITS).alias("score")))
+    ws = Window.partitionBy("aid").orderBy(F.col("score").desc(), F.col("s_pos").asc())
     top = (scored.withColumn("r", F.row_number().over(ws)).filter(F.col("r") <= EXTRACT_INSIGHTS)
-           .groupBy("article_id").agg(F.array_sort(F.collect_list("s_pos")).alias("_top")))
+           .groupBy("aid").agg(F.array_sort(F.collect_list("s_pos")).alias("_top")))
     empty = F.array().cast("array<string>")
-    return (sents.join(tags, "article_id", "left").join(top, "article_id", "left")
+    return (sents.join(tags, "aid", "left").join(top, "aid", "left")
             .select("article_id", *keep,
                     F.substring(F.array_join(F.slice("s", 1, SHORT_SENTENCES), " "), 1,
                                 C.SHORT_SUMMARY_CHARS).alias("short_summary"),
@@ -222,14 +238,11 @@ def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None,
 
 
 def extractive_summaries(articles: DataFrame, corpus: DataFrame | None = None, materialize: bool = True) -> DataFrame:
-    """Z2 default provider, all on Spark. The sentence frame is written once (shared
-    checkpoint folder) because four branches read it."""
-    from gazette.session import materialize as _mat
+    """Z2 default provider, all on Spark. The sentence frame and the term weights are
+    written once (shared checkpoint folder) because several branches read them."""
     sents = with_sentences(articles.select("article_id", *EDITION, "content"))
-    if materialize:
-        sents = _mat(sents, "sentences")
     csents = None if corpus is None else with_sentences(corpus.select("article_id", *EDITION, "content"))
-    return summaries_from_sentences(sents, csents)
+    return summaries_from_sentences(sents, csents, materialize=materialize)
 
 
 # --------------------------------------------------------------------------- provider hook

@@ -38,8 +38,8 @@ def ranked_pairs(spark, sf, run_cap=None):
     text) as another, since editions aggregate them many ways."""
     from gazette.session import materialize
     arts = S.run_cap(unique_articles(spark, sf), run_cap)
-    sents = materialize(Z.with_sentences(arts), "sentences")
-    meta = [c for c in sents.columns if c not in ("article_id", "s")]
+    sents = materialize(Z.with_sentences(arts).withColumn("aid", F.monotonically_increasing_id()), "sentences")
+    meta = [c for c in sents.columns if c not in ("article_id", "s", "aid")]
     return materialize(Z.summaries_from_sentences(sents, keep=meta), "pairs")
 
 

@@ -80,6 +80,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy per-row work (text, HTML, XML) at least one partition per core.
+    Large inputs already have more splits than cores and pass unchanged; a small input
+    stored as one row group would otherwise run in a single task."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+# Tables whose rows go through a Python parser right after the scan.
+TEXT_TABLES = ("pages",)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a stage once as Parquet under the shared checkpoint folder and read it back:
     later branches read it (with column pruning) instead of recomputing its lineage,
@@ -90,4 +104,5 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
