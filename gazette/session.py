@@ -46,7 +46,10 @@ def ship_package(spark: SparkSession) -> None:
     processors) wherever they run: zip it once per application and add it like
     --py-files."""
     import shutil
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local SparkContext ships code its own way
+        return
     if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -58,13 +61,18 @@ def ship_package(spark: SparkSession) -> None:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir; set one only when unset (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
+    if not root:  # unset: tests and local runs only
         root = tempfile.mkdtemp(prefix="gazette-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -84,9 +92,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give CPU-heavy per-row work (text, HTML, XML) at least one partition per core.
     Large inputs already have more splits than cores and pass unchanged; a small input
     stored as one row group would otherwise run in a single task."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            return df.repartition(target)
+    except Exception:  # no RDD view of this DataFrame: leave partitioning to Spark
+        pass
     return df
 
 

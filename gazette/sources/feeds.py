@@ -8,6 +8,8 @@ filter on it. Only markup stripping and the well-formedness test run in Python.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -147,7 +149,8 @@ def _html_paragraphs(text):
 
 
 def raw_feeds_from_documents(docs: DataFrame, run_ts=C.DEFAULT_RUN_TS, max_articles: int | None = None) -> DataFrame:
-    ts = run_ts_lit(run_ts).cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(0), F.col("doc_id").cast("int"))
+    epoch = int((run_ts - _dt.datetime(1970, 1, 1)).total_seconds())
+    ts = F.timestamp_seconds(F.lit(epoch) - F.col("doc_id") * F.lit(60))   # one item a minute, newest first
     title = F.concat(F.lit("<title>"), _xml_escape(F.substring_index("text", "\n", 1)), F.lit("</title>"))
     url = F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/"), F.col("doc_id").cast("string"))
     link = F.concat(F.lit("<link>"), url, F.lit("</link>"))
@@ -183,3 +186,20 @@ def raw_feeds_from_documents(docs: DataFrame, run_ts=C.DEFAULT_RUN_TS, max_artic
         F.when(lang == "es", F.concat(head, F.col("items"))).otherwise(complete).alias("body"),
         F.lit(max_articles if max_articles is not None else C.DEFAULT_RSS_MAX_ARTICLES).alias("max_articles"),
         F.lit(False).alias("fetch_full_content"))
+
+
+def read_feed_files(spark, path: str, sources: DataFrame | None = None) -> DataFrame:
+    """Landed feed files (one document per file, any number of files in one read)
+    as raw_feeds rows; the file path names the feed and joins the sources dimension
+    (source_name, source_pos, max_articles, fetch_full_content, url = file path)."""
+    files = (spark.read.option("wholetext", "true").text(path)
+             .select(F.col("_metadata.file_path").alias("feed_url"), F.col("value").alias("body"),
+                     F.lit(None).cast("string").alias("content_type")))
+    if sources is None:
+        return files.select("feed_url", F.lit(None).cast("string").alias("source_name"),
+                            F.lit(None).cast("int").alias("source_pos"), "content_type", "body",
+                            F.lit(C.DEFAULT_RSS_MAX_ARTICLES).alias("max_articles"),
+                            F.lit(False).alias("fetch_full_content"))
+    dim = sources.select(F.col("url").alias("feed_url"), "source_name", "source_pos", "max_articles",
+                         "fetch_full_content")
+    return files.join(dim, "feed_url")

@@ -104,3 +104,23 @@ def test_incremental_runs_keep_state(spark):
     total = spark.read.parquet(seen).count()
     expect = D.deduplicate(arts).count()           # one batch over everything
     assert first > 0 and total == expect
+
+
+def test_feed_files_and_extension_hooks(spark):
+    import os
+    from gazette import schemas
+    from gazette.sources import feeds as FD
+    d = tempfile.mkdtemp(prefix="feeds-")
+    rss = ("<rss><channel><item><title>T1</title><link>http://x/1</link><description>d1</description></item>"
+           "<item><title>T2</title><link>http://x/2</link><description>d2</description></item></channel></rss>")
+    for name in ("a.xml", "b.xml"):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(rss)
+    raw = FD.read_feed_files(spark, d)
+    arts = FD.entries_to_articles(FD.feed_entries(raw))
+    assert arts.count() == 4 and {r.source_name for r in arts.collect()} == {""}   # file URLs have no host
+    ok = schemas.custom_source(lambda s, c: arts, spark, {})
+    assert ok.columns[0] == "article_id"
+    import pytest
+    with pytest.raises(ValueError):
+        schemas.custom_source(lambda s, c: arts.drop("title"), spark, {})
