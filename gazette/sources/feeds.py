@@ -63,28 +63,38 @@ def feed_valid(content_type: str = "content_type", body: str = "body") -> F.Colu
     return typed | F.coalesce(_well_formed(F.when(~typed, F.col(body))), F.lit(False))
 
 
+_ENTRY_FIELDS = ("title", "link", "content_encoded", "description", "summary", "author", "author_name",
+                 "published", "updated", "created", "pub_date")
+
+
+def _entry(**cols) -> F.Column:
+    none = F.lit(None).cast("string")
+    return F.struct(*[cols.get(k, none).alias(k) for k in _ENTRY_FIELDS])
+
+
 def feed_entries(raw: DataFrame) -> DataFrame:
     """One row per entry of each valid feed, with its position (item_pos, 0-based)
-    and the raw fields; RSS items and Atom entries alike."""
+    and the raw fields. RSS items and Atom entries map to one struct shape, so a feed
+    is parsed once and exploded once."""
     x = raw.filter(feed_valid()).withColumn("_x", F.from_xml("body", FEED_SCHEMA, XML_OPTIONS))
     keep = [c for c in raw.columns if c not in ("body", "content_type")]
-    rss = x.select(*keep, F.posexplode("_x.channel.item").alias("item_pos", "it")).select(
-        *keep, "item_pos", F.col("it.title").alias("title"), F.col("it.link").alias("link"),
-        F.col("it.`content:encoded`").alias("content_encoded"), F.col("it.description").alias("description"),
-        F.col("it.summary").alias("summary"), F.coalesce("it.author", "it.`dc:creator`").alias("author"),
-        F.lit(None).cast("string").alias("author_name"),
-        F.col("it.published").alias("published"), F.col("it.updated").alias("updated"),
-        F.col("it.created").alias("created"), F.col("it.pubDate").alias("pub_date"))
-    alt = F.filter("it.link", lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate")
-    atom = x.select(*keep, F.posexplode("_x.entry").alias("item_pos", "it")).select(
-        *keep, "item_pos", F.col("it.title").alias("title"),
-        F.coalesce(F.get(alt, 0)["_href"], F.get(F.col("it.link"), 0)["_href"]).alias("link"),
-        F.col("it.content._VALUE").alias("content_encoded"), F.lit(None).cast("string").alias("description"),
-        F.col("it.summary._VALUE").alias("summary"), F.lit(None).cast("string").alias("author"),
-        F.get(F.col("it.author"), 0)["name"].alias("author_name"),
-        F.col("it.published").alias("published"), F.col("it.updated").alias("updated"),
-        F.col("it.created").alias("created"), F.lit(None).cast("string").alias("pub_date"))
-    return rss.unionByName(atom)
+    rss = F.transform("_x.channel.item", lambda it: _entry(
+        title=it["title"], link=it["link"], content_encoded=it["content:encoded"],
+        description=it["description"], summary=it["summary"],
+        author=F.coalesce(it["author"], it["dc:creator"]), published=it["published"],
+        updated=it["updated"], created=it["created"], pub_date=it["pubDate"]))
+
+    def atom_link(it):
+        alt = F.filter(it["link"], lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate")
+        return F.coalesce(F.get(alt, 0)["_href"], F.get(it["link"], 0)["_href"])
+    atom = F.transform("_x.entry", lambda it: _entry(
+        title=it["title"], link=atom_link(it), content_encoded=it["content"]["_VALUE"],
+        summary=it["summary"]["_VALUE"], author_name=F.get(it["author"], 0)["name"],
+        published=it["published"], updated=it["updated"], created=it["created"]))
+    empty = F.array().cast(f"array<struct<{', '.join(f + ': string' for f in _ENTRY_FIELDS)}>>")
+    both = F.concat(F.coalesce(rss, empty), F.coalesce(atom, empty))
+    return (x.select(*keep, F.posexplode(both).alias("item_pos", "it"))
+            .select(*keep, "item_pos", *[F.col(f"it.{f}").alias(f) for f in _ENTRY_FIELDS]))
 
 
 def entries_to_articles(entries: DataFrame, niche_col=None, niche: str = C.DEFAULT_NICHE,
@@ -97,7 +107,8 @@ def entries_to_articles(entries: DataFrame, niche_col=None, niche: str = C.DEFAU
         return F.when(F.col(c) != "", F.col(c))
     e = e.select("*", strip_ws("title").alias("_title"), strip_ws("link").alias("_link"),
                  F.coalesce(nz("content_encoded"), nz("description"), nz("summary"), F.lit("")).alias("_raw"))
-    e = e.filter(nonblank("_title") & nonblank("_link")).withColumn("_content", strip_markup("_raw"))
+    from gazette.session import spread
+    e = spread(e.filter(nonblank("_title") & nonblank("_link"))).withColumn("_content", strip_markup("_raw"))
     if full_pages is not None:
         e = full_content_override(e, full_pages)
     name = F.coalesce(F.col("source_name"), netloc("feed_url"))
