@@ -43,12 +43,13 @@ def drop_seen(df: DataFrame, seen: DataFrame, run_ts: _dt.datetime,
 
 def deduplicate(df: DataFrame, seen: DataFrame | None = None, run_ts: _dt.datetime = C.DEFAULT_RUN_TS,
                 ttl_days: int = C.SEEN_TTL_DAYS, key: str = "article_hash") -> DataFrame:
-    """Z6 batch: not seen, and first of each hash inside the batch."""
+    """Z6 batch: not seen, and first of each hash inside the batch. The first copy is
+    taken before the anti-join (same result), so at most one row per hash meets the
+    seen state however many copies a hash has."""
     if key not in df.columns:
         df = df.withColumn(key, F.col("article_id"))
-    if seen is not None:
-        df = drop_seen(df, seen, run_ts, ttl_days, key)
-    return keep_first(df, key)
+    first = keep_first(df, key)
+    return first if seen is None else drop_seen(first, seen, run_ts, ttl_days, key)
 
 
 def seen_update(accepted: DataFrame, seen: DataFrame | None, run_ts: _dt.datetime,

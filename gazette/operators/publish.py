@@ -83,8 +83,27 @@ def site_routing(published: DataFrame) -> DataFrame:
     return routed.unionByName(latest)
 
 
+def error_report_lines(errors: DataFrame, run_ts_col: str = "run_ts", generator: str = "gazette") -> DataFrame:
+    """K9 as lines: per edition with errors a title, an opening line and a closing line
+    (from a count), and one bullet row per error — no edition is gathered into one row;
+    the issue writer emits bullets ordered by `seq`."""
+    head = errors.groupBy(*EDITION, run_ts_col).agg(F.count("*").alias("n_errors"))
+    fixed = head.select(*EDITION, "n_errors", F.explode(F.array(
+        F.struct(F.lit("title").alias("part"), F.concat(F.lit("Newsletter Generation Errors - "),
+                                                         day_text(run_ts_col)).alias("text")),
+        F.struct(F.lit("opening").alias("part"),
+                 F.lit("The following errors were encountered during newsletter generation:").alias("text")),
+        F.struct(F.lit("closing").alias("part"),
+                 F.lit(f"*This issue was automatically created by {generator}*").alias("text")))).alias("l"))
+    fixed = fixed.select(*EDITION, "l.part", "l.text", F.lit(None).cast("string").alias("seq"))
+    bullets = errors.select(*EDITION, F.lit("bullet").alias("part"),
+                            F.concat(F.lit("- "), F.col("error")).alias("text"), F.col("seq").cast("string"))
+    return fixed.unionByName(bullets)
+
+
 def error_report(errors: DataFrame, run_ts_col: str = "run_ts", generator: str = "gazette") -> DataFrame:
-    """K9: one report per edition with errors (none without), bullets in error order."""
+    """K9: one report body per edition with errors (none without), bullets in error
+    order. For run-level errors (few per run); per-item failures use the line form."""
     g = errors.groupBy(*EDITION, run_ts_col).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "error"))),
                                  lambda x: F.concat(F.lit("- "), x["error"], F.lit("\n"))), "").alias("lines"),

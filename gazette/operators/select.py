@@ -31,10 +31,14 @@ def cap_per_group(df: DataFrame, keys, cap, name: str = "rn", order=None) -> Dat
     return ranked.filter(F.col(name) <= F.lit(int(cap)))
 
 
-def cap_per_source(df: DataFrame, cap_col: str = "max_articles", name: str = "item_rank") -> DataFrame:
-    """First max_articles items per source (before any validity filter)."""
+def cap_per_source(df: DataFrame, cap_col: str = "max_articles", name: str = "item_rank",
+                   max_cap: int = 1000) -> DataFrame:
+    """First max_articles items per source (before any validity filter). The literal
+    bound (the largest configured cap) lets Spark limit each map task before the
+    shuffle; the per-source cap is then a filter."""
     w = Window.partitionBy("kind_rank", "source_name").orderBy(F.col("item_pos").asc_nulls_first())
-    return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= F.col(cap_col))
+    return (df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= F.lit(int(max_cap)))
+            .filter(F.col(name) <= F.col(cap_col)))
 
 
 def run_cap(df: DataFrame, cap: int | None, name: str = "rn") -> DataFrame:

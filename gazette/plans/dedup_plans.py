@@ -141,5 +141,5 @@ def q_source_cap(spark, sf):
     docs = table(spark, sf, "documents")
     items = articles_from_documents(docs, validate=False)  # the cap comes before validity
     dim = feed_dimension(docs, max_articles=10)
-    capped = S.cap_per_source(join_sources(items, dim, kinds=("rss",)), "max_articles", "item_rank")
+    capped = S.cap_per_source(join_sources(items, dim, kinds=("rss",)), "max_articles", "item_rank", max_cap=10)
     return normalise(capped.select("source_name", F.col("item_pos").alias("doc_id"), "item_rank"))

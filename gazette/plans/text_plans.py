@@ -195,11 +195,12 @@ WITH errs AS (
   FROM documents WHERE lang = 'es'
   UNION ALL
   SELECT lang AS niche, 'Missing required fields for https://' || source || '.example.com/' || CAST(doc_id AS VARCHAR) AS error
-  FROM documents WHERE coalesce({__import__('gazette.plans.common', fromlist=['sql_strip']).sql_strip("split_part(text, chr(10), 1)")}, '') = '')
-SELECT niche, count(*) AS n_errors, 'Newsletter Generation Errors - 2024-06-04' AS title,
-       'The following errors were encountered during newsletter generation:' || {NL} || {NL} ||
-       string_agg('- ' || error || {NL}, '' ORDER BY error) || {NL} || '*This issue was automatically created by gazette*' AS body
-FROM errs GROUP BY niche""")
+  FROM documents WHERE coalesce({__import__('gazette.plans.common', fromlist=['sql_strip']).sql_strip("split_part(text, chr(10), 1)")}, '') = ''),
+heads AS (SELECT niche, count(*) AS n FROM errs GROUP BY niche)
+SELECT niche, 'title' AS part, 'Newsletter Generation Errors - 2024-06-04' AS text FROM heads
+UNION ALL SELECT niche, 'opening', 'The following errors were encountered during newsletter generation:' FROM heads
+UNION ALL SELECT niche, 'closing', '*This issue was automatically created by gazette*' FROM heads
+UNION ALL SELECT niche, 'bullet', '- ' || error FROM errs""")
 def q_error_report(spark, sf):
     docs = table(spark, sf, "documents")
     raw = FD.raw_feeds_from_documents(docs)
@@ -212,8 +213,8 @@ def q_error_report(spark, sf):
     errs = (bad_feeds.unionByName(bad_items)
             .withColumn("run_date", F.to_date(run_ts_lit(C.DEFAULT_RUN_TS)))
             .withColumn("run_ts", run_ts_lit(C.DEFAULT_RUN_TS)).withColumn("seq", F.col("error")))
-    rep = PB.error_report(errs)
-    return normalise(rep.select("niche", "n_errors", "title", "body"))
+    lines = PB.error_report_lines(errs)
+    return normalise(lines.select("niche", "part", "text"))
 
 
 # P11, P12, P13 (declared in configuration) ------------------------------------------------------------------
