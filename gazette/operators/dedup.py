@@ -29,6 +29,24 @@ def keep_first(df: DataFrame, key: str = "article_hash", order=None) -> DataFram
     return df.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
 
 
+def first_capped(articles: DataFrame, cap: int, key: str = "article_hash") -> DataFrame:
+    """W1 + O2 without moving text: dedup and the per-edition cap run on narrow keys,
+    then the kept rows (at most cap per edition) join back to the articles. Text is
+    scanned twice but never shuffled."""
+    from gazette.operators.select import ORDER_COLS, run_cap
+    if key not in articles.columns:
+        articles = articles.withColumn(key, F.col("article_id"))
+    from gazette.session import materialize
+    from gazette.sources.config_dim import MAX_BROADCAST_ROWS
+    ident = [key, *ORDER_COLS]
+    keys = articles.select(*ident, "niche", "run_date")
+    kept = materialize(run_cap(keep_first(keys, key), cap).select(*ident, "rn"), "kept-keys")
+    if kept.count() <= MAX_BROADCAST_ROWS:        # checked size: cap x editions rows
+        kept = F.broadcast(kept)
+    cond = [F.col(f"a.{c}").eqNullSafe(F.col(f"k.{c}")) for c in ident]
+    return articles.alias("a").join(kept.alias("k"), cond).select("a.*", "k.rn")
+
+
 def live_seen(seen: DataFrame, run_ts: _dt.datetime, ttl_days: int = C.SEEN_TTL_DAYS) -> DataFrame:
     """Seen entries still inside their time to live at run time."""
     return seen.filter(F.col("seen_at") > run_ts_lit(run_ts) - F.make_dt_interval(F.lit(ttl_days)))

@@ -37,12 +37,27 @@ def ranked_pairs(spark, sf, run_cap=None):
     article metadata and sentence arrays are written as one stage, and the pairs (no
     text) as another, since editions aggregate them many ways."""
     from gazette.session import materialize
-    arts = S.run_cap(unique_articles(spark, sf), run_cap)
+    if run_cap is None:
+        arts = unique_articles(spark, sf)
+    else:
+        arts = D.first_capped(articles_from_documents(table(spark, sf, "documents")), run_cap)
     sents = materialize(Z.with_sentences(arts).withColumn("aid", F.monotonically_increasing_id()), "sentences")
     meta = [c for c in sents.columns if c not in ("article_id", "s", "aid")]
     return materialize(Z.summaries_from_sentences(sents, keep=meta), "pairs")
 
 
+def head_pairs(spark, sf, k: int):
+    """The first k articles of each edition with summaries whose term statistics (N, df)
+    come from the whole edition: the per-article work runs for the head only."""
+    from gazette.session import materialize
+    unique = unique_articles(spark, sf)
+    head = S.run_cap(unique, k)
+    sents = materialize(Z.with_sentences(head).withColumn("aid", F.monotonically_increasing_id()), "sentences")
+    meta = [c for c in sents.columns if c not in ("article_id", "s", "aid")]
+    corpus = Z.with_sentences(unique.select("article_id", "niche", "run_date", "content"))
+    return Z.summaries_from_sentences(sents, corpus=corpus, keep=meta)
+
+
 SRC_SQL = f"""
 src AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY {ORDER_SQL}) AS k
                       FROM ({sql_hashed_articles()}) a) q WHERE k = 1)"""
@@ -91,8 +106,9 @@ FROM rk WHERE tag_rank <= 5 AND mentions >= 2"""
 
 @register("trends", trends_sql(C.TREND_ARTICLES))
 def q_trends(spark, sf):
-    """Reference semantics: tags of the first 10 articles of each edition."""
-    return normalise(T.trends(ranked_pairs(spark, sf), cap=C.TREND_ARTICLES))
+    """Reference semantics: tags of the first 10 articles of each edition (term
+    statistics over the whole edition)."""
+    return normalise(T.trends(head_pairs(spark, sf, C.TREND_ARTICLES), cap=C.TREND_ARTICLES))
 
 
 @register("trends_whole_edition", trends_sql(None))
