@@ -172,14 +172,15 @@ def _tokens(sents: DataFrame, key: str = "article_id") -> DataFrame:
     return x.select(key, *EDITION, "s_pos", F.explode(terms("sentence")).alias("term"))
 
 
-def term_weights(sents: DataFrame, corpus: DataFrame | None = None, key: str = "aid") -> DataFrame:
+def term_weights(sents: DataFrame, corpus: DataFrame | None = None, key: str = "aid",
+                 positions: bool = True) -> DataFrame:
     """tf·ln(N/df) per (article, term), rounded to 9 places, with the sentence positions
     of the term's occurrences (`pos`, one entry per occurrence). One aggregation over
     the tokens gives tf and positions; N and df are per edition over the corpus
     (default: the articles). Terms in more than half of the edition drop out (filtered
     on the small df table before the join)."""
-    tf = _tokens(sents, key).groupBy(key, *EDITION, "term").agg(
-        F.count("*").alias("tf"), F.collect_list("s_pos").alias("pos"))
+    aggs = [F.count("*").alias("tf")] + ([F.collect_list("s_pos").alias("pos")] if positions else [])
+    tf = _tokens(sents, key).groupBy(key, *EDITION, "term").agg(*aggs)
     if corpus is None:
         ctf, corpus = tf, sents
     else:
@@ -188,7 +189,7 @@ def term_weights(sents: DataFrame, corpus: DataFrame | None = None, key: str = "
     df = (ctf.groupBy(*EDITION, "term").agg(F.count("*").alias("df"))
           .join(n, list(EDITION)).filter(F.col("df") * 2 <= F.col("n")))
     return (tf.join(df, [*EDITION, "term"])
-            .select(key, *EDITION, "term", "tf", "pos",
+            .select(key, *EDITION, "term", "tf", *(["pos"] if positions else []),
                     F.round(F.col("tf") * F.log(F.col("n").cast("double") / F.col("df")),
                             WEIGHT_DIGITS).alias("weight")))
 
@@ -200,8 +201,11 @@ def _ordered(values_col: str, pos_col: str) -> F.Column:
                        lambda x: x["v"])
 
 
+ALL_PARTS = ("summary", "tags", "insights")
+
+
 def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None, keep=(),
-                             materialize: bool = True) -> DataFrame:
+                             materialize: bool = True, parts=ALL_PARTS) -> DataFrame:
     """Z2 on sentence frames (article_id, niche, run_date, s, ...): short = first 3
     sentences (cut to 500), detailed = first 8, tags = top 5 terms by weight (ties:
     term), key_insights = top 5 sentences by mean weight of their kept term occurrences
@@ -214,27 +218,33 @@ def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None,
             sents = _mat(sents, "sentences")
     if corpus is not None:
         corpus = corpus.withColumn("aid", F.monotonically_increasing_id())
-    weights = term_weights(sents, corpus)
-    if materialize:
+    insights = "insights" in parts
+    weights = term_weights(sents, corpus, positions=insights)
+    if materialize and insights:      # read by the tag and the sentence branches
         weights = _mat(weights, "weights")
-    wt = Window.partitionBy("aid").orderBy(F.col("weight").desc(), F.col("term").asc())
-    tags = (weights.withColumn("r", F.row_number().over(wt)).filter(F.col("r") <= EXTRACT_TAGS)
-            .groupBy("aid").agg(_ordered("term", "r").alias("tags")))
-    scored = (weights.select("aid", "weight", F.explode("pos").alias("s_pos"))
-              .groupBy("aid", "s_pos").agg(F.round(F.avg("weight"), WEIGHT_DIGITS).alias("score")))
-    ws = Window.partitionBy("aid").orderBy(F.col("score").desc(), F.col("s_pos").asc())
-    top = (scored.withColumn("r", F.row_number().over(ws)).filter(F.col("r") <= EXTRACT_INSIGHTS)
-           .groupBy("aid").agg(F.array_sort(F.collect_list("s_pos")).alias("_top")))
     empty = F.array().cast("array<string>")
-    return (sents.join(tags, "aid", "left").join(top, "aid", "left")
-            .select("article_id", *keep,
-                    F.substring(F.array_join(F.slice("s", 1, SHORT_SENTENCES), " "), 1,
-                                C.SHORT_SUMMARY_CHARS).alias("short_summary"),
-                    F.array_join(F.slice("s", 1, DETAILED_SENTENCES), " ").alias("detailed_summary"),
-                    F.coalesce(F.transform("_top", lambda p: F.get(F.col("s"), p)), empty).alias("key_insights"),
-                    F.coalesce("tags", empty).alias("tags"),
-                    F.lit("extractive").alias("provider"),
-                    F.lit(True).alias("parsed")))
+    out = sents
+    cols = ["article_id", *keep]
+    if "summary" in parts:
+        cols += [F.substring(F.array_join(F.slice("s", 1, SHORT_SENTENCES), " "), 1,
+                             C.SHORT_SUMMARY_CHARS).alias("short_summary"),
+                 F.array_join(F.slice("s", 1, DETAILED_SENTENCES), " ").alias("detailed_summary")]
+    if "tags" in parts:
+        wt = Window.partitionBy("aid").orderBy(F.col("weight").desc(), F.col("term").asc())
+        tags = (weights.withColumn("r", F.row_number().over(wt)).filter(F.col("r") <= EXTRACT_TAGS)
+                .groupBy("aid").agg(_ordered("term", "r").alias("tags")))
+        out = out.join(tags, "aid", "left")
+        cols.append(F.coalesce("tags", empty).alias("tags"))
+    if insights:
+        scored = (weights.select("aid", "weight", F.explode("pos").alias("s_pos"))
+                  .groupBy("aid", "s_pos").agg(F.round(F.avg("weight"), WEIGHT_DIGITS).alias("score")))
+        ws = Window.partitionBy("aid").orderBy(F.col("score").desc(), F.col("s_pos").asc())
+        top = (scored.withColumn("r", F.row_number().over(ws)).filter(F.col("r") <= EXTRACT_INSIGHTS)
+               .groupBy("aid").agg(F.array_sort(F.collect_list("s_pos")).alias("_top")))
+        out = out.join(top, "aid", "left")
+        cols.append(F.coalesce(F.transform("_top", lambda p: F.get(F.col("s"), p)), empty).alias("key_insights"))
+    cols += [F.lit("extractive").alias("provider"), F.lit(True).alias("parsed")]
+    return out.select(*cols)
 
 
 def extractive_summaries(articles: DataFrame, corpus: DataFrame | None = None, materialize: bool = True) -> DataFrame:

@@ -31,7 +31,7 @@ def unique_articles(spark, sf):
     return D.deduplicate(articles_from_documents(table(spark, sf, "documents")))
 
 
-def ranked_pairs(spark, sf, run_cap=None):
+def ranked_pairs(spark, sf, run_cap=None, parts=Z.ALL_PARTS, write_pairs=True):
     """Articles of each edition in canonical order (rn), with their extractive summaries.
     run_cap None = whole edition; 20 = max_articles_per_run. The text is read once:
     article metadata and sentence arrays are written as one stage, and the pairs (no
@@ -43,7 +43,8 @@ def ranked_pairs(spark, sf, run_cap=None):
         arts = D.first_capped(articles_from_documents(table(spark, sf, "documents")), run_cap)
     sents = materialize(Z.with_sentences(arts).withColumn("aid", F.monotonically_increasing_id()), "sentences")
     meta = [c for c in sents.columns if c not in ("article_id", "s", "aid")]
-    return materialize(Z.summaries_from_sentences(sents, keep=meta), "pairs")
+    p = Z.summaries_from_sentences(sents, keep=meta, parts=parts)
+    return materialize(p, "pairs") if write_pairs else p
 
 
 def head_pairs(spark, sf, k: int):
@@ -55,7 +56,7 @@ def head_pairs(spark, sf, k: int):
     sents = materialize(Z.with_sentences(head).withColumn("aid", F.monotonically_increasing_id()), "sentences")
     meta = [c for c in sents.columns if c not in ("article_id", "s", "aid")]
     corpus = Z.with_sentences(unique.select("article_id", "niche", "run_date", "content"))
-    return Z.summaries_from_sentences(sents, corpus=corpus, keep=meta)
+    return Z.summaries_from_sentences(sents, corpus=corpus, keep=meta, parts=("tags",))
 
 
 SRC_SQL = f"""
@@ -77,7 +78,7 @@ pairs AS (SELECT r.*, s.short_summary, s.detailed_summary, s.key_insights, s.tag
 @register("extractive_tags", pairs_sql() + """
 SELECT article_id, niche, array_to_string(tags, ', ') AS tags, CAST(len(tags) AS BIGINT) AS n_tags FROM pairs""")
 def q_extractive_tags(spark, sf):
-    p = ranked_pairs(spark, sf)
+    p = ranked_pairs(spark, sf, parts=("tags",), write_pairs=False)
     return normalise(p.select("article_id", "niche", F.array_join("tags", ", ").alias("tags"),
                               F.size("tags").alias("n_tags")))
 
@@ -86,7 +87,7 @@ def q_extractive_tags(spark, sf):
 SELECT article_id, short_summary, detailed_summary, array_to_string(key_insights, ' | ') AS key_insights,
        CAST(len(key_insights) AS BIGINT) AS n_insights FROM pairs""")
 def q_extractive_summary(spark, sf):
-    p = ranked_pairs(spark, sf)
+    p = ranked_pairs(spark, sf, parts=("summary", "insights"), write_pairs=False)
     return normalise(p.select("article_id", "short_summary", "detailed_summary",
                               F.array_join("key_insights", " | ").alias("key_insights"),
                               F.size("key_insights").alias("n_insights")))
@@ -114,4 +115,4 @@ def q_trends(spark, sf):
 @register("trends_whole_edition", trends_sql(None))
 def q_trends_whole_edition(spark, sf):
     """Trends over every article of the edition (cap parameter None)."""
-    return normalise(T.trends(ranked_pairs(spark, sf), cap=None))
+    return normalise(T.trends(ranked_pairs(spark, sf, parts=("tags",), write_pairs=False), cap=None))

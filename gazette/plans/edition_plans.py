@@ -188,7 +188,7 @@ SELECT s.niche, s.articles_count, s.sources_count, array_to_string(ts.top_source
 FROM (SELECT niche, count(*) AS articles_count, count(DISTINCT source_name) AS sources_count FROM pairs GROUP BY ALL) s
 LEFT JOIN tsrc ts USING (niche) LEFT JOIN ttags tt USING (niche)""")
 def q_source_stats(spark, sf):
-    st = T.source_stats(ranked_pairs(spark, sf))
+    st = T.source_stats(ranked_pairs(spark, sf, parts=("tags",)))
     return normalise(st.select("niche", "articles_count", "sources_count",
                                F.array_join("top_sources", ", ").alias("top_sources"),
                                F.array_join("top_tags", ", ").alias("top_tags")))
