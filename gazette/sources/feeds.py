@@ -50,11 +50,36 @@ def _strip_markup(text: pd.Series) -> pd.Series:
     return pd.Series([H.strip_markup(t) for t in text], dtype=object)
 
 
+# The character references the JVM path decodes ('&amp;' last).
+_SIMPLE_REFS = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+
+
+def _simple_markup(col: F.Column) -> F.Column:
+    """Markup the JVM path reads exactly like the HTML parser: only plain start/end tags
+    (no comments, declarations, script/style, stray '<') and the five XML references."""
+    odd_ref = col.rlike(r"&(?!(amp|lt|gt|quot|#39);)")
+    odd_tag = col.rlike(r"<(?![A-Za-z/])|<[^>]*<|<[^>]*\z|<(?i:script|style|textarea|title)\b|</?[A-Za-z][^>]*[\"']")
+    return ~odd_ref & ~odd_tag
+
+
+def _text_jvm(col: F.Column) -> F.Column:
+    def decode(x):
+        for ref, ch in _SIMPLE_REFS:
+            x = F.replace(x, F.lit(ref), F.lit(ch))
+        return x
+    parts = F.split(F.regexp_replace(col, r"<[^>]*>", "\u0001"), "\u0001", -1)
+    return F.array_join(F.filter(F.transform(parts, lambda p: strip_ws(decode(p))), lambda p: p != ""), " ")
+
+
 def strip_markup(c) -> F.Column:
-    """F4 + P8: HTML-to-text only for values holding both '<' and '>'; the Python
-    parser sees null for every other row."""
+    """F4 + P8: HTML-to-text only for values holding both '<' and '>'. Simple markup is
+    read in the JVM; anything else goes to the Python parser (which sees null for all
+    other rows)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(_strip_markup(F.when(has_markup(col), col)), col)
+    marked = has_markup(col)
+    fast = marked & _simple_markup(col)
+    return (F.when(fast, _text_jvm(col))
+            .otherwise(F.coalesce(_strip_markup(F.when(marked & ~fast, col)), col)))
 
 
 def feed_valid(content_type: str = "content_type", body: str = "body") -> F.Column:

@@ -52,3 +52,13 @@ def test_validity(spark):
                      ("u3", "c", "text/html", "<broken", 1), ("u4", "d", None, "<a><b/></a>", 1)])
     got = dict((r[0], r[1]) for r in df.select("feed_url", FD.feed_valid().alias("v")).collect())
     assert got == {"u1": True, "u2": True, "u3": False, "u4": True}
+
+
+def test_markup_fast_path_equals_parser(spark):
+    from gazette.functions import html as H
+    vals = ["<p>a &amp; b</p><p> c </p>", "<p>x</p>\n<p>y&lt;z</p>", "<b>bold</b>text<br/>more",
+            "<p>a &copy; b</p>", "<!-- c --><p>q</p>", "<p>1 < 2 > 0</p>", "<script>var x;</script><p>s</p>",
+            "<a href='x'>l</a>", "plain < text >", "<p>&#233;t&eacute;</p>", "<p>  </p><p> w </p>"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [r[0] for r in df.select(FD.strip_markup("s")).collect()]
+    assert got == [H.strip_markup(v) for v in vals]
