@@ -129,3 +129,28 @@ def q_parse_web_dates(spark, sf):
         fmt = fmt.when(F.col("o_orderkey") % 7 == i, F.date_format("o_orderdate", sp))
     x = o.select("o_orderkey", fmt.alias("date_text"))
     return normalise(x.select("o_orderkey", "date_text", iso_text(parse_web_date("date_text")).alias("parsed")))
+
+
+# Per-source selector maps as data (CSS, XPath, descendant chains, child steps) -----
+_SELECTORS_BY_LANG = {"en": {"title": "h1", "author": "footer"},
+                      "fr": {"title": "//h1", "author": "//footer"},
+                      "de": {"title": "article h1", "author": "body footer"},
+                      "es": {"title": "//article/h1", "author": "//body/footer"}}
+
+
+def _xpath_text_sql(tag):
+    from gazette.plans.common import sql_decode, sql_strip
+    inner = sql_element("html", tag)
+    return sql_strip(sql_decode(f"regexp_replace({inner}, '<[^>]*>', '', 'g')"))
+
+
+@register("page_selectors", f"""
+SELECT page_id, {_xpath_text_sql('h1')} AS title, {_xpath_text_sql('footer')} AS author FROM pages""")
+def q_page_selectors(spark, sf):
+    pages = table(spark, sf, "pages")
+    lang = P.page_lang(F.col("url"))
+    sel = F.lit(None).cast("map<string,string>")
+    for code, m in _SELECTORS_BY_LANG.items():
+        sel = F.when(lang == code, F.create_map(*[F.lit(x) for kv in m.items() for x in kv])).otherwise(sel)
+    f = P.page_fields(pages.withColumn("selectors", sel))
+    return normalise(f.select("page_id", "title", "author"))
