@@ -106,14 +106,15 @@ def sql_summaries(src: str) -> str:
 
 
 # The character references that occur in landed pages, decoded as the
-# HTML parser does ('&amp;' last so that '&amp;lt;' reads '&lt;').
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "\u00a9"),
-            ("&middot;", "\u00b7"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+# HTML parser does. These legacy references are decoded with or without the closing
+# ';' (a title cut after '&amp' reads '&'); '&amp' goes last so '&amp;lt;' reads '&lt;'.
+ENTITIES = (("&lt", "<"), ("&gt", ">"), ("&quot", '"'), ("&#39", "'"), ("&copy", "\u00a9"),
+            ("&middot", "\u00b7"), ("&nbsp", "\u00a0"), ("&amp", "&"))
 
 
 def sql_decode(x: str) -> str:
     for ent, ch in ENTITIES:
-        x = f"replace({x}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
+        x = f"regexp_replace({x}, '{ent};?', '{ch.replace(chr(39), chr(39) * 2)}', 'g')"
     return x
 
 

@@ -90,8 +90,9 @@ def native_links(pages: DataFrame) -> DataFrame:
     hrefs = F.regexp_extract_all("html", F.lit(r'<a\s[^>]*?href="([^"]*)"'), 1)
     x = pages.select("page_id", "url", F.posexplode(hrefs).alias("link_pos", "href"))
     dec = F.col("href")
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        dec = F.replace(dec, F.lit(ent), F.lit(ch))
+    # legacy references decode with or without ';' as in the HTML parser; '&amp' last
+    for ent, ch in (("&lt", "<"), ("&gt", ">"), ("&quot", '"'), ("&#39", "'"), ("&amp", "&")):
+        dec = F.regexp_replace(dec, ent + ";?", ch)
     return x.withColumn("href", dec).withColumn("link", resolve_link("url", "href"))
 
 

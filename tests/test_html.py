@@ -62,3 +62,14 @@ def test_links_nested_anchor(root):
 def test_strip_markup_entities():
     assert H.strip_markup("<p>a &amp; b</p><p> c </p>") == "a & b c"
     assert H.strip_markup(None) is None
+
+
+def test_native_links_match_parser(spark):
+    from gazette.sources import pages as P
+    html = ('<a href="/a?x=1&amp;y=2">1</a><a href="/b&ampc">2</a><a class="z" href="/c&lt;d">3</a>'
+            '<a href="rel/e">4</a>')
+    df = spark.createDataFrame([(1, "https://h.example.com/p/q", html)], "page_id long, url string, html string")
+    native = [r.link for r in P.native_links(df).orderBy("link_pos").collect()]
+    parsed = [r.link for r in P.page_links(df, "a[href]").orderBy("link_pos").collect()]
+    assert native == parsed == ["https://h.example.com/a?x=1&y=2", "https://h.example.com/b&c",
+                                "https://h.example.com/c<d", "https://h.example.com/p/rel/e"]
