@@ -23,14 +23,23 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _try(s: Column, pattern: str) -> Column:
-    return F.try_to_timestamp(s, F.lit(pattern))
+# A necessary shape for each pattern: a pattern is only tried on text that has it, so
+# failed attempts (costly) are skipped without changing which pattern wins.
+_WEB_SHAPES = (r"^\d+-\d+-\d+$", r"^\d+-\d+-\d+T[^Z]*$", r"^\d+-\d+-\d+T.*Z$",
+               r"^[A-Za-z]", r"^[A-Za-z]", r"^\d+\s+[A-Za-z]", r"^\d+\s+[A-Za-z]")
+_FEED_SHAPE = r"^\d+\s+[A-Za-z]+\s+\d+\s+\d"
+
+
+def _try(s: Column, pattern: str, shape: str | None = None) -> Column:
+    parsed = F.try_to_timestamp(s, F.lit(pattern))
+    return parsed if shape is None else F.when(s.rlike(shape), parsed)
 
 
 def parse_web_date(c) -> Column:
     """F8: first of the seven formats that parses the stripped text, else null."""
     s = strip_ws(c)
-    return F.when(F.coalesce(s, F.lit("")) != "", F.coalesce(*[_try(s, p) for p in WEB_PATTERNS]))
+    return F.when(F.coalesce(s, F.lit("")) != "",
+                  F.coalesce(*[_try(s, p, shape) for p, shape in zip(WEB_PATTERNS, _WEB_SHAPES)]))
 
 
 def parse_feed_date(*candidates) -> Column:
@@ -39,7 +48,7 @@ def parse_feed_date(*candidates) -> Column:
     for c in candidates:
         s = strip_ws(c)
         rfc = F.regexp_replace(s, r"^[A-Za-z]{3,9},\s*", "")
-        outs.append(F.coalesce(*[_try(rfc, p) for p in FEED_PATTERNS], F.try_to_timestamp(s)))
+        outs.append(F.coalesce(*[_try(rfc, p, _FEED_SHAPE) for p in FEED_PATTERNS], F.try_to_timestamp(s)))
     return F.coalesce(*outs)
 
 
