@@ -66,7 +66,8 @@ def page_fields(pages: DataFrame, selectors: dict | None = None, link_selector:
         H.Selector(link_selector)
     cols = ["page_id", "html"] + (["selectors"] if "selectors" in pages.columns else [])
     fn = _fields_fn(dict(selectors or {}), link_selector, main, text)
-    return pages.select(*cols).mapInPandas(fn, FIELDS_SCHEMA)
+    from gazette.session import spread
+    return spread(pages.select(*cols)).mapInPandas(fn, FIELDS_SCHEMA)
 
 
 def page_links(pages: DataFrame, selector: str | None = "a[href]", cap: int | None = None,
