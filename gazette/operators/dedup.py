@@ -108,9 +108,12 @@ def ttl_dedup(events: DataFrame, keys, ts: str = "ts", id_col: str = "event_id",
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     # 1. nodes: distinct (key, ts), pre-aggregated map-side; the lowest id at a
     #    timestamp is the row kept. The key is one struct so that joins are null-safe.
+    from gazette.session import materialize
     nodes = (events.select(F.struct(*keys).alias("k"), F.col(ts).alias("t"), F.col(id_col).alias("eid"))
              .groupBy("k", "t").agg(F.min("eid").alias("eid"))
              .withColumn("us", micros("t")))
+    if checkpoint:            # five consumers below: aggregate the events once
+        nodes = materialize(nodes, "ttl-nodes")
     # 2. nxt(e) = first node at or after e + ttl. Probes are matched inside their time
     #    slice by a running min over descending time (nodes sort before probes at ties)...
     node_rows = nodes.select("k", F.col("us").alias("at"), F.col("us").alias("node_us"),
@@ -140,7 +143,6 @@ def ttl_dedup(events: DataFrame, keys, ts: str = "ts", id_col: str = "event_id",
     #    J(r+1) = J(r)∘J(r) are written once each (a self-join per level); after level r
     #    the reached set holds every chain node fewer than 2^(r+1) steps from the start.
     #    Chain nodes at different distances are different rows, so no distinct is needed.
-    from gazette.session import materialize
     span = events.agg(F.min(F.col(ts)).alias("a"), F.max(F.col(ts)).alias("b")).first()
     rounds = 1 if span["a"] is None else _chain_rounds((span["b"] - span["a"]).total_seconds(), ttl_us / 1e6)
     if checkpoint:
@@ -149,6 +151,8 @@ def ttl_dedup(events: DataFrame, keys, ts: str = "ts", id_col: str = "event_id",
     for r in range(rounds + 1):
         step = reached.join(jump, ["k", "src"]).select("k", F.col("dst").alias("src"))
         reached = reached.unionByName(step)
+        if checkpoint:        # each round reads `reached` twice: write it, or its lineage doubles
+            reached = materialize(reached, "ttl-reached")
         if r < rounds:
             jump = (jump.alias("a").join(jump.alias("b"),
                                          (F.col("a.k") == F.col("b.k")) & (F.col("a.dst") == F.col("b.src")))
