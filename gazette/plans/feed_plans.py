@@ -93,9 +93,6 @@ def q_full_content_override(spark, sf):
         none.alias("content_encoded"), F.col("text").alias("description"), none.alias("summary"),
         none.alias("author"), none.alias("author_name"), none.alias("published"), none.alias("updated"),
         none.alias("created"), none.alias("pub_date"))
-    arts = FD.entries_to_articles(entries, full_pages=pages)
-    text_len = docs.select(F.col("doc_id").alias("item_pos"), F.length("text").alias("_n"))
-    out = arts.join(text_len, "item_pos")
-    return normalise(out.select("article_id", F.col("item_pos").alias("doc_id"), "source_url",
-                                (F.length("content") > F.col("_n")).alias("used_full"),
-                                F.length("content").alias("content_chars")))
+    arts = FD.entries_to_articles(entries, full_pages=pages, extra=("used_full",))
+    return normalise(arts.select("article_id", F.col("item_pos").alias("doc_id"), "source_url", "used_full",
+                                 F.length("content").alias("content_chars")))

@@ -29,11 +29,12 @@ def source_position(source_col) -> F.Column:
     return F.expr(f"try_cast(regexp_extract({source_col}, '([0-9]+)$', 1) AS INT)")
 
 
-def finish_articles(df: DataFrame) -> DataFrame:
-    """Required-field filter (P2) and the article hash (F1); canonical column order."""
+def finish_articles(df: DataFrame, extra=()) -> DataFrame:
+    """Required-field filter (P2) and the article hash (F1); canonical column order
+    (plus any extra columns asked for)."""
     out = (df.filter(nonblank("title") & nonblank("content") & nonblank("source_url"))
              .withColumn("article_id", article_hash("title", "source_url", "content")))
-    return out.select(*ARTICLE_COLUMNS)
+    return out.select(*ARTICLE_COLUMNS, *extra)
 
 
 def articles_from_documents(docs: DataFrame, run_ts: _dt.datetime = C.DEFAULT_RUN_TS,

@@ -123,7 +123,8 @@ def feed_entries(raw: DataFrame) -> DataFrame:
 
 
 def entries_to_articles(entries: DataFrame, niche_col=None, niche: str = C.DEFAULT_NICHE,
-                        run_ts=C.DEFAULT_RUN_TS, full_pages: DataFrame | None = None) -> DataFrame:
+                        run_ts=C.DEFAULT_RUN_TS, full_pages: DataFrame | None = None,
+                        extra=()) -> DataFrame:
     """W2 cap (first max_articles entries, before validity), strip title and link,
     F5 content chain, F4 markup strip, J4 full-page override, P2, F7, F9."""
     e = entries.filter(F.col("max_articles").isNull() | (F.col("item_pos") < F.col("max_articles")))
@@ -146,8 +147,9 @@ def entries_to_articles(entries: DataFrame, niche_col=None, niche: str = C.DEFAU
         F.coalesce("pub_date", "published", "updated", "created").alias("date_text"),
         F.col("_link").alias("source_url"), name.alias("source_name"),
         F.lit(KIND_RANK["rss"]).alias("kind_rank"), F.col("source_pos"),
-        F.col("item_pos").cast("long").alias("item_pos"), run_ts_lit(run_ts).alias("ingested_at"))
-    return finish_articles(df)
+        F.col("item_pos").cast("long").alias("item_pos"), run_ts_lit(run_ts).alias("ingested_at"),
+        *[F.col(c) for c in extra])
+    return finish_articles(df, extra)
 
 
 def full_content_override(e: DataFrame, pages: DataFrame) -> DataFrame:
@@ -160,8 +162,10 @@ def full_content_override(e: DataFrame, pages: DataFrame) -> DataFrame:
     full = (page_fields(linked, main=True).join(linked.select("page_id", "url"), "page_id")
             .select(F.col("url").alias("_link"), F.col("main_text").alias("_full")))
     out = e.join(full, "_link", "left")
-    use = F.col("fetch_full_content") & F.col("_full").isNotNull() & (F.length("_full") > F.length("_content"))
-    return out.withColumn("_content", F.when(use, F.col("_full")).otherwise(F.col("_content"))).drop("_full")
+    use = F.coalesce(F.col("fetch_full_content") & F.col("_full").isNotNull()
+                      & (F.length("_full") > F.length("_content")), F.lit(False))
+    return (out.withColumn("used_full", use)
+            .withColumn("_content", F.when(use, F.col("_full")).otherwise(F.col("_content"))).drop("_full"))
 
 
 # --------------------------------------------------------------------------------------
