@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gazette import config as C
-from gazette.functions.text import sentences, strip_ws, terms, token_truncate
+from gazette.functions.text import sentences, terms, token_truncate
 from gazette.operators.select import EDITION
 
 SUMMARY_COLUMNS = ["article_id", "short_summary", "detailed_summary", "key_insights", "tags",

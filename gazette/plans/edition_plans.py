@@ -4,12 +4,9 @@ language, first 20 articles per edition (max_articles_per_run)."""
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import functions as F
 
 from gazette import config as C
-from gazette.functions.dates import iso_text
 from gazette.functions.text import article_slug, safe_filename
 from gazette.operators import edition as E
 from gazette.operators import publish as PB

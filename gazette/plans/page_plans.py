@@ -10,7 +10,7 @@ from gazette.functions.dates import iso_text, parse_web_date
 from gazette.functions.urls import netloc
 from gazette.operators import dedup as D
 from gazette.operators import select as S
-from gazette.plans.common import (LANG_SQL, NETLOC_SQL, ORDER_SQL, ORIGIN_SQL, normalise,
+from gazette.plans.common import (NETLOC_SQL, ORDER_SQL, ORIGIN_SQL, normalise,
                                   sql_element, sql_hashed_articles, sql_text, sql_web_articles, table)
 from gazette.sources import pages as P
 from gazette.sources.documents import articles_from_documents

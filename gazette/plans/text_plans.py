@@ -10,12 +10,10 @@ import re
 from pyspark.sql import functions as F
 
 from gazette import config as C
-from gazette.functions.dates import iso_text
 from gazette.functions.text import token_count, token_truncate
 from gazette.operators import metrics as M
 from gazette.operators import publish as PB
 from gazette.operators import summarize as Z
-from gazette.operators.select import EDITION
 from gazette.plans.common import RUN_TS_SQL, normalise, sql_hashed_articles, table
 from gazette.plans.digest_plans import pairs_sql
 from gazette.plans.edition_plans import CAP, NL, capped_pairs, lit, published
