@@ -124,3 +124,12 @@ def test_feed_files_and_extension_hooks(spark):
     import pytest
     with pytest.raises(ValueError):
         schemas.custom_source(lambda s, c: arts.drop("title"), spark, {})
+
+
+def test_observed_counters(spark):
+    from gazette.operators.metrics import observe_counts
+    arts = articles_from_documents(spark.read.parquet(f"{SF001}/documents.parquet"))
+    observed, obs = observe_counts(arts)
+    observed.write.format("noop").mode("overwrite").save()      # counters ride along the write
+    got = obs.get
+    assert got["rows"] == arts.count() and got["editions_approx"] == arts.select("niche").distinct().count()
