@@ -166,6 +166,12 @@ def with_sentences(articles: DataFrame) -> DataFrame:
     return articles.withColumn("s", sentences("content")).drop("content")
 
 
+def with_text_only(articles: DataFrame) -> DataFrame:
+    """For term statistics alone: the whole text as one element. Sentence splits never
+    cut a letter run, so its terms are exactly the terms of the sentences."""
+    return articles.withColumn("s", F.array("content")).drop("content")
+
+
 def _tokens(sents: DataFrame, key: str = "article_id") -> DataFrame:
     """(article, sentence position, term) for every term occurrence of the whole text."""
     x = sents.select(key, *EDITION, F.posexplode("s").alias("s_pos", "sentence"))
@@ -212,14 +218,13 @@ def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None,
     (ties: position), in text order. Token work is keyed by a long surrogate id, windows
     are per article, and the only cross-article step is the document frequency."""
     from gazette.session import materialize as _mat
-    if "aid" not in sents.columns:
-        sents = sents.withColumn("aid", F.monotonically_increasing_id())
-        if materialize:
-            sents = _mat(sents, "sentences")
-    if corpus is not None:
+    if "aid" not in sents.columns and materialize:
+        sents = _mat(sents.withColumn("aid", F.monotonically_increasing_id()), "sentences")
+    key = "aid" if "aid" in sents.columns else "article_id"   # a surrogate only once written
+    if corpus is not None and key == "aid":
         corpus = corpus.withColumn("aid", F.monotonically_increasing_id())
     insights = "insights" in parts
-    weights = term_weights(sents, corpus, positions=insights)
+    weights = term_weights(sents, corpus, key=key, positions=insights)
     if materialize and insights:      # read by the tag and the sentence branches
         weights = _mat(weights, "weights")
     empty = F.array().cast("array<string>")
@@ -230,18 +235,18 @@ def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None,
                              C.SHORT_SUMMARY_CHARS).alias("short_summary"),
                  F.array_join(F.slice("s", 1, DETAILED_SENTENCES), " ").alias("detailed_summary")]
     if "tags" in parts:
-        wt = Window.partitionBy("aid").orderBy(F.col("weight").desc(), F.col("term").asc())
+        wt = Window.partitionBy(key).orderBy(F.col("weight").desc(), F.col("term").asc())
         tags = (weights.withColumn("r", F.row_number().over(wt)).filter(F.col("r") <= EXTRACT_TAGS)
-                .groupBy("aid").agg(_ordered("term", "r").alias("tags")))
-        out = out.join(tags, "aid", "left")
+                .groupBy(key).agg(_ordered("term", "r").alias("tags")))
+        out = out.join(tags, key, "left")
         cols.append(F.coalesce("tags", empty).alias("tags"))
     if insights:
-        scored = (weights.select("aid", "weight", F.explode("pos").alias("s_pos"))
-                  .groupBy("aid", "s_pos").agg(F.round(F.avg("weight"), WEIGHT_DIGITS).alias("score")))
-        ws = Window.partitionBy("aid").orderBy(F.col("score").desc(), F.col("s_pos").asc())
+        scored = (weights.select(key, "weight", F.explode("pos").alias("s_pos"))
+                  .groupBy(key, "s_pos").agg(F.round(F.avg("weight"), WEIGHT_DIGITS).alias("score")))
+        ws = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col("s_pos").asc())
         top = (scored.withColumn("r", F.row_number().over(ws)).filter(F.col("r") <= EXTRACT_INSIGHTS)
-               .groupBy("aid").agg(F.array_sort(F.collect_list("s_pos")).alias("_top")))
-        out = out.join(top, "aid", "left")
+               .groupBy(key).agg(F.array_sort(F.collect_list("s_pos")).alias("_top")))
+        out = out.join(top, key, "left")
         cols.append(F.coalesce(F.transform("_top", lambda p: F.get(F.col("s"), p)), empty).alias("key_insights"))
     cols += [F.lit("extractive").alias("provider"), F.lit(True).alias("parsed")]
     return out.select(*cols)

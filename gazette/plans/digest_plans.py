@@ -41,6 +41,11 @@ def ranked_pairs(spark, sf, run_cap=None, parts=Z.ALL_PARTS, write_pairs=True):
         arts = unique_articles(spark, sf)
     else:
         arts = D.first_capped(articles_from_documents(table(spark, sf, "documents")), run_cap)
+    if set(parts) == {"tags"}:      # term statistics only: the text, unsplit, written once
+        text = materialize(Z.with_text_only(arts).withColumn("aid", F.monotonically_increasing_id()), "text")
+        meta = [c for c in text.columns if c not in ("article_id", "s", "aid")]
+        p = Z.summaries_from_sentences(text, parts=parts, keep=meta)
+        return materialize(p, "pairs") if write_pairs else p
     sents = materialize(Z.with_sentences(arts).withColumn("aid", F.monotonically_increasing_id()), "sentences")
     meta = [c for c in sents.columns if c not in ("article_id", "s", "aid")]
     p = Z.summaries_from_sentences(sents, keep=meta, parts=parts)
@@ -55,7 +60,7 @@ def head_pairs(spark, sf, k: int):
     head = S.run_cap(unique, k)
     sents = materialize(Z.with_sentences(head).withColumn("aid", F.monotonically_increasing_id()), "sentences")
     meta = [c for c in sents.columns if c not in ("article_id", "s", "aid")]
-    corpus = Z.with_sentences(unique.select("article_id", "niche", "run_date", "content"))
+    corpus = Z.with_text_only(unique.select("article_id", "niche", "run_date", "content"))
     return Z.summaries_from_sentences(sents, corpus=corpus, keep=meta, parts=("tags",))
 
 
