@@ -338,3 +338,21 @@ SELECT niche, seq, CASE WHEN seq = 0 THEN {_trunc('text', 278)} || ' \U0001F9F5'
 def q_insights_thread(spark, sf):
     e, _ = editions(spark, sf)
     return normalise(SO.insights_thread(e).select("niche", "seq", "post"))
+
+
+# A3 ------------------------------------------------------------------------------------------------
+@register("lead_topics", edition_sql("""
+SELECT niche, lead_topics FROM ed"""))
+def q_lead_topics(spark, sf):
+    return normalise(T.lead_topics(capped_pairs(spark, sf)).select("niche", "lead_topics"))
+
+
+# A2 ------------------------------------------------------------------------------------------------
+@register("insight_corpus", edition_sql("""
+SELECT niche, insight_corpus, CAST(len(string_split(insight_corpus, chr(10))) AS BIGINT) AS n_lines FROM ed
+WHERE insight_corpus <> ''"""))
+def q_insight_corpus(spark, sf):
+    lines = T.insight_lines(capped_pairs(spark, sf)).filter(F.size("insights") > 0)
+    return normalise(lines.select(
+        "niche", F.array_join(F.transform("insights", lambda i: F.concat(F.lit("- "), i)), "\n").alias("insight_corpus"),
+        F.size("insights").alias("n_lines")))

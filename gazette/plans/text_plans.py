@@ -255,3 +255,23 @@ def q_emerging_topics(spark, sf):
     counts = daily_topic_counts(table(spark, sf, "events"), "ts", "event_type")
     return normalise(emerging(counts).filter(F.col("prev_n").isNotNull())
                      .select("day", "topic", "n", "prev_n", "growth"))
+
+
+# F14 (edition kinds: title and insights prompts) ---------------------------------------------------
+def _edition_prompt_sql():
+    from gazette.plans.edition_plans import edition_sql
+    title = sql_fill(Z.TITLE_PROMPT, niche="niche", topics="lead_topics")
+    ins = sql_fill(Z.INSIGHTS_PROMPT, niche="niche", insights="insight_corpus")
+    return edition_sql(f"""
+SELECT niche, 'title' AS kind, '{Z.TITLE_SYSTEM}' AS system, md5({title}) AS prompt_md5, CAST(length({title}) AS BIGINT) AS prompt_chars FROM ed
+UNION ALL
+SELECT niche, 'insights', replace('{Z.INSIGHTS_SYSTEM}', '{{niche}}', niche), md5({ins}), CAST(length({ins}) AS BIGINT) FROM ed""")
+
+
+@register("edition_prompts", _edition_prompt_sql())
+def q_edition_prompts(spark, sf):
+    from gazette.plans.edition_plans import editions
+    e, _ = editions(spark, sf)
+    p = Z.edition_prompts(e)
+    return normalise(p.select("niche", "kind", "system", F.md5("prompt").alias("prompt_md5"),
+                              F.length("prompt").alias("prompt_chars")))
