@@ -349,8 +349,8 @@ def q_lead_topics(spark, sf):
 
 # A2 ------------------------------------------------------------------------------------------------
 @register("insight_corpus", edition_sql("""
-SELECT niche, insight_corpus, CAST(len(string_split(insight_corpus, chr(10))) AS BIGINT) AS n_lines FROM ed
-WHERE insight_corpus <> ''"""))
+SELECT e.niche, e.insight_corpus, CAST(len(i.insights) AS BIGINT) AS n_lines
+FROM ed e JOIN ins i USING (niche, run_date) WHERE e.insight_corpus <> ''"""))
 def q_insight_corpus(spark, sf):
     lines = T.insight_lines(capped_pairs(spark, sf)).filter(F.size("insights") > 0)
     return normalise(lines.select(
