@@ -23,12 +23,22 @@ def register(name, sql=None):
 
 
 def _run_to_parquet(df, name: str):
-    base = scratch_path(df.sparkSession, name)
-    q = (df.writeStream.format("parquet").option("path", base + "/out")
-         .option("checkpointLocation", base + "/checkpoint").outputMode("append")
-         .trigger(availableNow=True).start())
+    """One availableNow run. The state partition count is fixed when a checkpoint is
+    created: it is set to the cluster's parallelism (all cores) for this new query and
+    the session setting is restored afterwards."""
+    spark = df.sparkSession
+    base = scratch_path(spark, name)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+        q = (df.writeStream.format("parquet").option("path", base + "/out")
+             .option("checkpointLocation", base + "/checkpoint").outputMode("append")
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
-    return df.sparkSession.read.parquet(base + "/out")
+    return spark.read.parquet(base + "/out")
 
 
 def _events_stream(spark, sf):
