@@ -118,3 +118,12 @@ def write_published(published: DataFrame, path: str, fmt: str = "parquet") -> No
     """K1 sink: partitioned by niche and run date; a rerun replaces only its partitions."""
     (published.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("niche", "run_date").format(fmt).save(path))
+
+
+def for_enabled_channels(rows: DataFrame, channels: DataFrame, n_channels: int = 3,
+                         channel_col: str = "channel") -> DataFrame:
+    """Keep the rows of enabled channels (markdown on by default, social and site
+    off; preview turns both off). The channels dimension is configuration (checked size)."""
+    from gazette.sources.config_dim import broadcast_checked
+    on = channels.filter(F.col("enabled")).select(F.col("channel").alias(channel_col))
+    return rows.join(broadcast_checked(on, n_channels), channel_col, "left_semi")

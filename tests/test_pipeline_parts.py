@@ -133,3 +133,12 @@ def test_observed_counters(spark):
     observed.write.format("noop").mode("overwrite").save()      # counters ride along the write
     got = obs.get
     assert got["rows"] == arts.count() and got["editions_approx"] == arts.select("niche").distinct().count()
+
+
+def test_enabled_channels(spark):
+    rows = spark.createDataFrame([("markdown", "a.md"), ("social", "post 1"), ("site", "content/a.md")],
+                                 "channel string, item string")
+    full = CD.channels_frame(spark, C.run_config_from_dict(CFG))
+    preview = CD.channels_frame(spark, C.run_config_from_dict(CFG, preview=True))
+    assert {r.channel for r in PB.for_enabled_channels(rows, full).collect()} == {"markdown", "social", "site"}
+    assert {r.channel for r in PB.for_enabled_channels(rows, preview).collect()} == {"markdown"}
