@@ -5,7 +5,6 @@ update (K5), and exact time-to-live dedup in batch (T2/Z6).
 from __future__ import annotations
 
 import datetime as _dt
-import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -94,8 +93,9 @@ def seen_update(accepted: DataFrame, seen: DataFrame | None, run_ts: _dt.datetim
 # --------------------------------------------------------------------------------------
 
 def _chain_rounds(span_seconds: float, ttl_seconds: float) -> int:
-    longest = int(span_seconds // ttl_seconds) + 2
-    return max(1, math.ceil(math.log2(longest)))
+    """Rounds of doubling needed: a chain has at most floor(span/ttl) steps after its
+    first node, and after i rounds every node fewer than 2^i steps away is reached."""
+    return max(1, int(span_seconds // ttl_seconds).bit_length())
 
 
 def ttl_dedup(events: DataFrame, keys, ts: str = "ts", id_col: str = "event_id",
@@ -140,20 +140,20 @@ def ttl_dedup(events: DataFrame, keys, ts: str = "ts", id_col: str = "event_id",
             .select("k", F.col("probe_us").alias("src"), F.coalesce("hit", "later_us").alias("dst"))
             .filter(F.col("dst").isNotNull()))
     # 3. the chain from each key's first node, by pointer doubling. J(0) = nxt and
-    #    J(r+1) = J(r)∘J(r) are written once each (a self-join per level); after level r
-    #    the reached set holds every chain node fewer than 2^(r+1) steps from the start.
+    #    J(r+1) = J(r)∘J(r) are written once each (a self-join per level); after round r
+    #    (0-based) the reached set holds every chain node fewer than 2^(r+1) steps away.
     #    Chain nodes at different distances are different rows, so no distinct is needed.
     span = events.agg(F.min(F.col(ts)).alias("a"), F.max(F.col(ts)).alias("b")).first()
     rounds = 1 if span["a"] is None else _chain_rounds((span["b"] - span["a"]).total_seconds(), ttl_us / 1e6)
     if checkpoint:
         jump = materialize(jump, "ttl-jump")
     reached = nodes.groupBy("k").agg(F.min("us").alias("src"))
-    for r in range(rounds + 1):
+    for r in range(rounds):
         step = reached.join(jump, ["k", "src"]).select("k", F.col("dst").alias("src"))
         reached = reached.unionByName(step)
         if checkpoint:        # each round reads `reached` twice: write it, or its lineage doubles
             reached = materialize(reached, "ttl-reached")
-        if r < rounds:
+        if r < rounds - 1:
             jump = (jump.alias("a").join(jump.alias("b"),
                                          (F.col("a.k") == F.col("b.k")) & (F.col("a.dst") == F.col("b.src")))
                     .select(F.col("a.k"), F.col("a.src"), F.col("b.dst")))
