@@ -142,3 +142,23 @@ def test_enabled_channels(spark):
     preview = CD.channels_frame(spark, C.run_config_from_dict(CFG, preview=True))
     assert {r.channel for r in PB.for_enabled_channels(rows, full).collect()} == {"markdown", "social", "site"}
     assert {r.channel for r in PB.for_enabled_channels(rows, preview).collect()} == {"markdown"}
+
+
+def test_run_digest_end_to_end(spark):
+    from gazette.digest import run_digest
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    arts = articles_from_documents(docs, per_item_url=False)
+    out, seen = tempfile.mkdtemp(prefix="digest-out-"), tempfile.mkdtemp(prefix="digest-seen-")
+    m = {r.niche: r for r in run_digest(arts, out, seen + "/state", run_cap=5).collect()}
+    assert set(m) == {r.niche for r in arts.select("niche").distinct().collect()}
+    assert all(r.articles_summarized <= 5 and r.files_published >= 2 for r in m.values())
+    pub = spark.read.parquet(out)
+    assert pub.filter("kind = 'newsletter'").count() == len(m) and pub.filter("kind = 'index'").count() == len(m)
+    # a second run the same day: everything is seen now, nothing is scraped again
+    again = run_digest(arts, out, seen + "/state", run_cap=5).collect()
+    assert again == [] or all(r.articles_scraped == 0 for r in again)
+    # a later run the same day with new articles keeps the earlier seen rows
+    later = dt.datetime(2024, 6, 4, 18, 0)
+    extra = articles_from_documents(docs, run_ts=later).limit(3)
+    run_digest(extra, out, seen + "/state", run_ts=later, run_cap=5)
+    assert spark.read.parquet(seen + "/state").count() == arts.dropDuplicates(["article_id"]).count() + 3
