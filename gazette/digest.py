@@ -23,12 +23,16 @@ from gazette.streaming.runs import seen_table
 
 def run_digest(articles: DataFrame, out_path: str, seen_path: str, run_ts: _dt.datetime = C.DEFAULT_RUN_TS,
                run_cap: int = C.DEFAULT_RUN_CAP, responses: DataFrame | None = None,
-               ttl_days: int = C.SEEN_TTL_DAYS) -> DataFrame:
+               ttl_days: int = C.SEEN_TTL_DAYS, mark: str = "ingested") -> DataFrame:
     """Build and write every edition of `articles` (canonical article rows, e.g. a
     union of web, feed and document articles). Returns the run metrics per edition.
 
     The seen state is appended only after the editions are written (K5), and the
-    published partitions of a rerun replace the earlier ones (K1)."""
+    published partitions of a rerun replace the earlier ones (K1). mark='ingested'
+    records every new article, also those cut by the cap (L1); 'summarized' records
+    only the articles of the editions."""
+    if mark not in ("ingested", "summarized"):
+        raise ValueError("mark is 'ingested' or 'summarized'")
     if run_cap is None or run_cap <= 0:
         raise ValueError("a digest run needs a positive run cap (max_articles_per_run)")
     spark = articles.sparkSession
@@ -50,7 +54,8 @@ def run_digest(articles: DataFrame, out_path: str, seen_path: str, run_ts: _dt.d
     published = files.unionByName(index)
     PB.write_published(published, out_path)
     # one partition per run: a retried run replaces its own rows, a later run adds rows
-    (D.seen_update(fresh, None, run_ts).withColumn("run", F.lit(run_ts.strftime("%Y-%m-%dT%H-%M-%S")))
+    accepted = fresh if mark == "ingested" else paired.select("article_id", "title")
+    (D.seen_update(accepted, None, run_ts).withColumn("run", F.lit(run_ts.strftime("%Y-%m-%dT%H-%M-%S")))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(seen_path))
     end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     return M.run_metrics(fresh, paired, published, start, end)

@@ -162,3 +162,11 @@ def test_run_digest_end_to_end(spark):
     extra = articles_from_documents(docs, run_ts=later).limit(3)
     run_digest(extra, out, seen + "/state", run_ts=later, run_cap=5)
     assert spark.read.parquet(seen + "/state").count() == arts.dropDuplicates(["article_id"]).count() + 3
+
+
+def test_run_digest_marks_summarized_only(spark):
+    from gazette.digest import run_digest
+    arts = articles_from_documents(spark.read.parquet(f"{SF001}/documents.parquet"))
+    out, seen = tempfile.mkdtemp(prefix="digest-out-"), tempfile.mkdtemp(prefix="digest-seen-")
+    m = run_digest(arts, out, seen + "/s", run_cap=3, mark="summarized").collect()
+    assert spark.read.parquet(seen + "/s").count() == sum(r.articles_summarized for r in m)
