@@ -11,7 +11,6 @@ from pyspark.sql import Column, functions as F
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 _SEPARATORS = "\t\n\x0b\x0c\r"
-_LOWER_AZ = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
 def words(text: str | None) -> list[str]:
@@ -26,7 +25,9 @@ def words(text: str | None) -> list[str]:
 
 def lower_az(text: str) -> str:
     """A-Z lower-cased, every other character as it is."""
-    return text.lower() if text.isascii() else text.translate(_LOWER_AZ)
+    if text.isascii():
+        return text.lower()
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def word_count(col: Column) -> Column:
