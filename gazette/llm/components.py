@@ -64,7 +64,7 @@ def in_blocks(members: DataFrame, key: list[str], node: str, max_block: int) ->
              .withColumn("blk", F.pmod(F.xxhash64(F.col(node)), F.col("_nb")).cast("int")))
     return (dealt.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
             .withColumn("bi", F.least("blk", "_k")).withColumn("bj", F.greatest("blk", "_k"))
-            .drop("_k", "_n", "_nb"))
+            .drop("_k", "_n", "_nb").repartition(*key, "bi", "bj"))       # else one task had all blocks of a group
 
 
 def block_links(linked: np.ndarray, left: np.ndarray, right: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
