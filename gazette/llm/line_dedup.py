@@ -34,9 +34,23 @@ def _half(n: Column) -> Column:
     return F.floor(n / 2).cast("int")
 
 
-def _without(words: Column, i: Column) -> Column:
-    """The words without the one at i (from 0)."""
-    return F.concat(F.slice(words, F.lit(1), i), F.slice(words, i + 2, F.size(words)))
+def _running_xor(hashes: Column) -> Column:
+    """0, then the xor of the first one, two, ... hashes."""
+    return F.aggregate(hashes, F.array(F.lit(0).cast("long")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1).bitwiseXOR(x))))
+
+
+def variant_hashes(words: Column) -> Column:
+    """Hashes of the words with each one left out, in order. A list's hash is the xor of its
+    words' hashes with their places: the part before the gap keeps its places, the part
+    behind it moves one down, so all variants follow from two running xors."""
+    stay = _running_xor(F.transform(words, lambda x, j: F.xxhash64(x, j)))
+    down = F.reverse(_running_xor(F.reverse(F.transform(words, lambda x, j: F.xxhash64(x, j - 1)))))
+    return F.zip_with(F.slice(stay, F.lit(1), F.size(words)), F.slice(down, F.lit(2), F.size(words)), lambda x, y: x.bitwiseXOR(y))
+
+
+def whole_hash(words: Column) -> Column:
+    """The hash of all words, equal to that of a variant with the same words."""
+    return F.aggregate(F.transform(words, lambda x, j: F.xxhash64(x, j)), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(x))
 
 
 def within_one_word(a: Column, b: Column) -> Column:
@@ -53,25 +67,34 @@ def within_one_word(a: Column, b: Column) -> Column:
     return F.when(F.abs(F.size(a) - F.size(b)) > 1, False).otherwise(near)
 
 
+def spaced(line: Column) -> Column:
+    """The line's words with one space between them; most lines are so already."""
+    messy = F.contains(line, F.lit("  ")) | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
+    for c in "\t\n\x0b\x0c\r":
+        messy = messy | F.contains(line, F.lit(c))
+    return F.when(messy, F.array_join(word_array(line), " ")).otherwise(line)
+
+
 def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(did, th, pos, s, n): lines with words, as spaced words `s`, n of them."""
     t = F.col(f"`{text}`")
     lines = docs.select(F.col(f"`{id_col}`").alias("did"), F.xxhash64(t).alias("th"), F.posexplode(F.split(t, "\n")).alias("pos", "line"))
-    return lines.withColumn("w", word_array(F.col("line"))).drop("line").withColumn("n", F.size("w")).filter("n > 0")
+    lines = lines.select("did", "th", "pos", spaced(F.col("line")).alias("s")).filter("s <> ''")
+    return lines.withColumn("n", F.octet_length("s") - F.octet_length(F.replace("s", F.lit(" "), F.lit(""))) + 1)
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(did, th, pos): the lines that an earlier line makes redundant, by document id, hash
     of the text and position (from 0)."""
-    w, n = F.col("w"), F.col("n")
-    key = lambda side, size, part: F.xxhash64(F.lit(side), size, part)
+    n, w = F.col("n"), F.col("w")
+    head = lambda size, k: F.xxhash64(F.lit(0), size, F.call_function("substring_index", F.col("s"), F.lit(" "), k))
+    tail = lambda size, k: F.xxhash64(F.lit(1), size, F.call_function("substring_index", F.col("s"), F.lit(" "), -k))
     h, m = _half(n), _half(n - 1)
     lines = _lines(docs, id_col, text).select(
-        "did", "th", "pos", "n", F.xxhash64("w").alias("h"), F.xxhash64(F.lit(7), "w").alias("g"),
+        "did", "th", "pos", F.xxhash64("s").alias("h"), F.xxhash64(F.lit(7), "s").alias("g"),
         # as a line of n words, and as the longer of a pair (less one word)
-        F.when(n >= min_words - 1, key(0, n, F.slice(w, F.lit(1), h))).alias("k0"),
-        F.when(n >= min_words - 1, key(1, n, F.slice(w, h + 1, n))).alias("k1"),
-        F.when(n >= min_words, key(0, n - 1, F.slice(w, F.lit(1), m))).alias("k2"),
-        F.when(n >= min_words, key(1, n - 1, F.slice(w, m + 2, n))).alias("k3"))
+        F.when(n >= min_words - 1, head(n, h)).alias("k0"), F.when(n >= min_words - 1, tail(n, n - h)).alias("k1"),
+        F.when(n >= min_words, head(n - 1, m)).alias("k2"), F.when(n >= min_words, tail(n - 1, n - 1 - m)).alias("k3"))
     lines = materialize(lines, "lines")
     at = F.struct("did", "th", "pos")
     distinct = lines.groupBy("h", "g").agg(F.min(at).alias("first"), F.count("*").alias("c"), *[F.first(k).alias(k) for k in ("k0", "k1", "k2", "k3")])
@@ -90,15 +113,19 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", m
         wanted, F.col("did").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")))
     split = F.split("text", "\n")
     found = (found.select("did", "th", split.alias("lines"), F.explode("_p").alias("pos"))
-             .select(at.alias("line"), word_array(F.element_at("lines", F.col("pos") + 1)).alias("w")))
-    found = materialize(found.withColumn("n", F.size("w")), "lines-candidates")
-
-    cut = (found.filter(n >= min_words)
-           .select("line", "w", F.posexplode(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(_without(w, i)))).alias("i", "k")).select("line", "i", "k"))
-    whole = found.filter(n >= min_words - 1).select("line", F.xxhash64("w").alias("k"))
-    first_cut = cut.groupBy("k").agg(F.min("line").alias("other"))
+             .select(at.alias("line"), F.split(spaced(F.element_at("lines", F.col("pos") + 1)), " ").alias("w")))
+    found = found.withColumn("n", F.size("w")).withColumn("whole", whole_hash(w))
+    found = materialize(found.withColumn("cuts", F.when(n >= min_words, variant_hashes(w))), "lines-candidates")
+
+    cut = found.select("line", F.posexplode("cuts").alias("i", "k"))
+    whole = found.filter(n >= min_words - 1).select("line", F.col("whole").alias("k"))
+    by_cut = materialize(cut.groupBy("k", "i").agg(F.min("line").alias("other"), F.count("*").alias("c")), "lines-variants")
+    first_cut = by_cut.groupBy("k").agg(F.min("other").alias("other"))
     first_whole = whole.groupBy("k").agg(F.min("line").alias("other"))
-    first_same = cut.groupBy("k", "i").agg(F.min("line").alias("other"), F.count("*").alias("c")).filter("c > 1").drop("c")
+    first_same = by_cut.filter("c > 1").select("k", "i", "other")
+    # most variants are met by no other line: those that are, are few
+    met = by_cut.join(whole.select("k").distinct(), "k", "left_semi").select("k").unionByName(first_same.select("k")).distinct()
+    cut = materialize(cut.join(met, "k", "left_semi"), "lines-met")
     earlier = (whole.join(first_cut, "k").select("line", "other")
                .unionByName(cut.join(first_whole, "k").select("line", "other"))
                .unionByName(cut.join(first_same, ["k", "i"]).select("line", "other")).filter("other < line").distinct())
@@ -122,7 +149,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min
     gone = dropped_lines(docs, id_col, text, min_words).groupBy(F.col("did").alias("_d"), F.col("th").alias("_t")).agg(F.collect_set("pos").alias("_gone"))
     body = F.col(f"`{text}`")
     lines = F.split(body, "\n")
-    counted = F.size(F.filter(lines, lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]"))))
+    counted = F.size(F.filter(lines, lambda x: F.btrim(x, F.lit(" \t\x0b\x0c\r")) != ""))
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
     out = docs.join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col("_d")) & (F.xxhash64(body) == F.col("_t")), "left")
     cols = [F.when(F.col("_gone").isNull(), body).otherwise(kept).alias(text) if c == text else F.col(f"`{c}`")
