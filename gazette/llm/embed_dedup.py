@@ -117,8 +117,7 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
 
     Null, empty and zero vectors and those with null or non-finite components link with
     nothing, nor do vectors of different lengths. Rows that repeat an id are rows of their
-    own. A null id is ordered first, and a null component_id keeps its row. An empty table
-    gives no rows.
+    own. A null id comes after all others. An empty table gives no rows.
     """
     base = vectors.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
     good = base.filter(usable("v"))

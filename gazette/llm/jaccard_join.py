@@ -127,9 +127,9 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text", w
 
     Documents without words (null, empty or white space) link with nothing and are their
     own class and component. A text of 1 to width-1 words is one shingle. Rows that repeat
-    an id with the same set are further documents of the class (the first is kept; which
-    of equal rows is arbitrary); rows that repeat an id with another set are documents of
-    their own. A null id is ordered first. An empty table gives no rows.
+    an id with the same set are further documents of the class, with equal results; rows
+    that repeat an id with another set are documents of their own. A null id comes after
+    all others. An empty table gives no rows.
     """
     bands, rows = bands_and_rows(threshold, recall)
     exact = Fraction(str(threshold))
@@ -187,7 +187,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text", w
     named = (classes.select("fp", "class_id", "size").join(links, "fp", "left")
              .join(comps.select(F.col("node").alias("fp"), "label"), "fp", "left").withColumn("label", F.coalesce("label", "fp")))
     named = materialize(named, "jaccard-classes")
-    first = named.groupBy("label").agg(F.min(F.struct("class_id", "fp")).alias("first"))
+    first = named.groupBy("label").agg(F.min(F.struct(F.col("class_id").isNull(), "class_id", "fp")).alias("first"))
     named = named.join(first, "label").select("fp", "class_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                                               F.col("first.class_id").alias("component_id"), F.col("first.fp").alias("first_fp"))
     out = sig.select("id", "fp").join(named, "fp", "left")

@@ -90,7 +90,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
 def take_mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it. Documents without words are
     in no mix."""
-    chosen = mix(docs, id_col, source, text, **options).filter("copies > 0")
+    chosen = mix(docs, id_col, source, text, **options).filter("copies > 0 AND size > 0")
     # rows that share an id and a size are taken alike, so one decision holds for them
     chosen = chosen.groupBy(F.col(id_col).alias("_id"), F.col("size").alias("_n")).agg(F.max("copies").alias("_copies"))
     found = docs.join(chosen, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (word_count(F.col(f"`{text}`")) == F.col("_n")))

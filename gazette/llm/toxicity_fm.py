@@ -81,7 +81,7 @@ class FactorizationMachine:
             order = rng.permutation(len(rows))
             for k in range(0, len(rows), batch):
                 part = order[k:k + batch]
-                at = np.concatenate([np.append(rows[i], none) for i in part])
+                at = np.concatenate([np.append(rows[i], none) for i in part]).astype(np.int64)
                 size = np.array([len(rows[i]) + 1 for i in part])
                 starts = np.concatenate([[0], np.cumsum(size)[:-1]])
                 z, sums = self.logits(at, starts)
