@@ -14,9 +14,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -99,7 +99,7 @@ class SuffixAutomaton:
 class PrefixBpe:
     """Encoder and decoder of one byte-level vocabulary file."""
 
-    def __init__(self, raw: bytes, cache: int = 350_000, pairs: int = 400_000):
+    def __init__(self, raw: bytes, cache: int = 250_000, pairs: int = 300_000):
         data = json.loads(raw)
         model, pre = data["model"], data.get("pre_tokenizer") or {}
         if (data.get("normalizer") or model["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space")
@@ -272,17 +272,19 @@ def encode_documents(docs: DataFrame, text: str = "text", vocabulary: str | None
 
     def run(batches):
         coder = _coder(raw.value)
-        for batch in batches:
-            counts, first, second = [], [], []
-            for t in batch.column(len(kept)):
-                joined = coder.encode_joined(t.as_py())
-                back = coder.decode_joined(joined)
-                counts.append(joined.count(",") + 1 if joined else 0)
-                first.append(([int(x) for x in joined.split(",")] if joined else []) if ids else sha(joined))
-                second.append(back if decoded else sha(back))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(kept))]
-                + [pa.array(counts, pa.int64()), pa.array(first, pa.list_(pa.int32()) if ids else pa.string()), pa.array(second, pa.string())],
-                names=schema.names)
+        for whole in batches:
+            for k in range(0, whole.num_rows, 128):          # ids of few rows at a time stay in memory
+                batch = whole.slice(k, 128)
+                counts, first, second = [], [], []
+                for t in batch.column(len(kept)):
+                    joined = coder.encode_joined(t.as_py())
+                    back = coder.decode_joined(joined)
+                    counts.append(joined.count(",") + 1 if joined else 0)
+                    first.append(np.fromstring(joined, np.int32, sep=",") if ids else sha(joined))
+                    second.append(back if decoded else sha(back))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(i) for i in range(len(kept))]
+                    + [pa.array(counts, pa.int64()), pa.array(first, pa.list_(pa.int32()) if ids else pa.string()), pa.array(second, pa.string())],
+                    names=schema.names)
 
     return source.mapInArrow(run, schema)
