@@ -18,7 +18,7 @@ from gazette.operators import select as S
 from gazette.operators import summarize as Z
 from gazette.session import materialize
 from gazette.sources.documents import run_ts_lit
-from gazette.streaming.runs import seen_table
+from gazette.streaming.runs import seen_table, write_seen
 
 
 def run_digest(articles: DataFrame, out_path: str, seen_path: str, run_ts: _dt.datetime = C.DEFAULT_RUN_TS,
@@ -27,8 +27,9 @@ def run_digest(articles: DataFrame, out_path: str, seen_path: str, run_ts: _dt.d
     """Build and write every edition of `articles` (canonical article rows, e.g. a
     union of web, feed and document articles). Returns the run metrics per edition.
 
-    The seen state is appended only after the editions are written (K5), and the
-    published partitions of a rerun replace the earlier ones (K1). mark='ingested'
+    The seen state is appended only after the editions are written (K5). Published rows
+    carry their run: a retry (the same run_ts) replaces its own rows, another run of the
+    day adds to them, and `publish.current_files` has the last body of every path (K1). mark='ingested'
     records every new article, also those cut by the cap (L1); 'summarized' records
     only the articles of the editions."""
     if mark not in ("ingested", "summarized"):
@@ -37,7 +38,8 @@ def run_digest(articles: DataFrame, out_path: str, seen_path: str, run_ts: _dt.d
         raise ValueError("a digest run needs a positive run cap (max_articles_per_run)")
     spark = articles.sparkSession
     start = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    seen = seen_table(spark, seen_path)
+    run = f"{run_ts:%Y-%m-%dT%H-%M-%S}"
+    seen = seen_table(spark, seen_path, run_ts, ttl_days)
     fresh = D.deduplicate(articles, seen, run_ts, ttl_days)
     fresh = materialize(fresh, "run-articles")                      # scraped (after dedup)
     capped = D.first_capped(fresh, run_cap)
@@ -52,10 +54,8 @@ def run_digest(articles: DataFrame, out_path: str, seen_path: str, run_ts: _dt.d
     files = materialize(files, "run-files")
     index = PB.index_rows(files.join(editions.select(*S.EDITION, "run_ts"), list(S.EDITION)))
     published = files.unionByName(index)
-    PB.write_published(published, out_path)
-    # one partition per run: a retried run replaces its own rows, a later run adds rows
+    PB.write_published(published, out_path, run)
     accepted = fresh if mark == "ingested" else paired.select("article_id", "title")
-    (D.seen_update(accepted, None, run_ts).withColumn("run", F.lit(run_ts.strftime("%Y-%m-%dT%H-%M-%S")))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(seen_path))
+    write_seen(D.seen_update(accepted, None, run_ts), seen_path, run)
     end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     return M.run_metrics(fresh, paired, published, start, end)

@@ -17,6 +17,9 @@ WEB_PATTERNS = ("yyyy-M-d", "yyyy-M-d'T'H:m:s", "yyyy-M-d'T'H:m:s'Z'", "MMMM d,
 # Feed dates: RFC 822 with zone name or numeric offset (weekday removed first),
 # then ISO 8601 (Atom).
 FEED_PATTERNS = ("d MMM yyyy H:m:s z", "d MMM yyyy H:m:s Z", "d MMM yyyy H:m z", "d MMM yyyy H:m Z")
+# RFC 822 zone names have fixed offsets, whatever the season.
+ZONE_OFFSETS = (("EST", "-0500"), ("EDT", "-0400"), ("CST", "-0600"), ("CDT", "-0500"), ("MST", "-0700"),
+                ("MDT", "-0600"), ("PST", "-0800"), ("PDT", "-0700"))
 
 
 def _col(c) -> Column:
@@ -27,6 +30,8 @@ def _col(c) -> Column:
 # failed attempts (costly) are skipped without changing which pattern wins.
 _WEB_SHAPES = (r"^\d+-\d+-\d+$", r"^\d+-\d+-\d+T[^Z]*$", r"^\d+-\d+-\d+T.*Z$",
                r"^[A-Za-z]", r"^[A-Za-z]", r"^\d+\s+[A-Za-z]", r"^\d+\s+[A-Za-z]")
+_DAY_SHAPE = r"^\d+\s+[A-Za-z]{3}\s+\d{4}$"
+_LONG_SHAPE = r"^[A-Z][a-z]+ \d+, \d{4} \d+:\d+$"
 _FEED_SHAPE = r"^\d+\s+[A-Za-z]+\s+\d+\s+\d"
 
 
@@ -48,7 +53,11 @@ def parse_feed_date(*candidates) -> Column:
     for c in candidates:
         s = strip_ws(c)
         rfc = F.regexp_replace(s, r"^[A-Za-z]{3,9},\s*", "")
-        outs.append(F.coalesce(*[_try(rfc, p, _FEED_SHAPE) for p in FEED_PATTERNS], F.try_to_timestamp(s)))
+        for zone, offset in ZONE_OFFSETS:
+            rfc = F.regexp_replace(rfc, rf"\s{zone}$", f" {offset}")
+        rfc = F.regexp_replace(rfc, r"^(\d+\s+[A-Za-z]+\s+)(\d\d)(\s)", "$120$2$3")      # two-digit years: 20..
+        outs.append(F.coalesce(*[_try(rfc, p, _FEED_SHAPE) for p in FEED_PATTERNS],
+                               _try(rfc, "d MMM yyyy", _DAY_SHAPE), _try(s, "MMMM d, yyyy H:m", _LONG_SHAPE), F.try_to_timestamp(s)))
     return F.coalesce(*outs)
 
 

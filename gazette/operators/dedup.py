@@ -16,9 +16,12 @@ from gazette.sources.documents import run_ts_lit
 
 def with_hash(df: DataFrame, columns=("title", "source_url", "content"), name: str = "article_hash") -> DataFrame:
     """F1 over chosen columns: the default is title:source_url:content[:200]; passing
-    ('title', None, 'content') hashes content only (same story from two sites)."""
+    ('title', None, 'content') hashes title and whole content (same story from two sites:
+    without the URL a prefix would join different texts with the same start)."""
     t, u, c = columns
-    return df.withColumn(name, article_hash(t, u if u else F.lit(""), c))
+    if u is None:
+        return df.withColumn(name, F.md5(F.concat(F.col(t), F.lit("::"), F.col(c)).cast("binary")))
+    return df.withColumn(name, article_hash(t, u, c))
 
 
 def keep_first(df: DataFrame, key: str = "article_hash", order=None) -> DataFrame:
@@ -43,7 +46,8 @@ def first_capped(articles: DataFrame, cap: int, key: str = "article_hash") -> Da
     if kept.count() <= MAX_BROADCAST_ROWS:        # checked size: cap x editions rows
         kept = F.broadcast(kept)
     cond = [F.col(f"a.{c}").eqNullSafe(F.col(f"k.{c}")) for c in ident]
-    return articles.alias("a").join(kept.alias("k"), cond).select("a.*", "k.rn")
+    back = articles.alias("a").join(kept.alias("k"), cond).select("a.*", "k.rn")
+    return back.dropDuplicates(["niche", "run_date", "rn"])     # repeated rows join together; at most cap per edition are left
 
 
 def live_seen(seen: DataFrame, run_ts: _dt.datetime, ttl_days: int = C.SEEN_TTL_DAYS) -> DataFrame:

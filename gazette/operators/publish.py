@@ -1,8 +1,8 @@
 """Published rows and sinks.
 
 `published(niche, run_date, kind, path, body)` holds what the Markdown channel writes;
-files are rows, so the same job writes every edition, and a rerun of a day replaces
-that day's partition (dynamic partition overwrite).
+files are rows, so the same job writes every edition. Partitions are those of one run:
+a retry replaces its own rows and another run of the day adds its rows.
 """
 
 from __future__ import annotations
@@ -114,10 +114,18 @@ def error_report(errors: DataFrame, run_ts_col: str = "run_ts", generator: str =
                              F.col("lines"), F.lit(f"\n*This issue was automatically created by {generator}*")).alias("body"))
 
 
-def write_published(published: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K1 sink: partitioned by niche and run date; a rerun replaces only its partitions."""
-    (published.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("niche", "run_date").format(fmt).save(path))
+def write_published(published: DataFrame, path: str, run: str = "run", fmt: str = "parquet") -> None:
+    """K1 sink: partitioned by niche, run date and run; a retry of a run replaces only its
+    own partitions."""
+    (published.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("niche", "run_date", "run").format(fmt).save(path))
+
+
+def current_files(published: DataFrame) -> DataFrame:
+    """The files as they stand after all runs: of equal paths of an edition the last run's
+    body (equal names overwrite, other files stay)."""
+    last = published.groupBy(*EDITION, "path").agg(F.max_by(F.struct("kind", "body", "run"), "run").alias("f"))
+    return last.select(*EDITION, "f.kind", "path", "f.body", "f.run")
 
 
 def for_enabled_channels(rows: DataFrame, channels: DataFrame, n_channels: int = 3,

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gazette import config as C
+
 # Explicit list order: web before feeds, then configuration order, then item position.
 ORDER_COLS = ("kind_rank", "source_pos", "source_name", "item_pos")
 EDITION = ("niche", "run_date")
@@ -32,13 +34,18 @@ def cap_per_group(df: DataFrame, keys, cap, name: str = "rn", order=None) -> Dat
 
 
 def cap_per_source(df: DataFrame, cap_col: str = "max_articles", name: str = "item_rank",
-                   max_cap: int = 1000) -> DataFrame:
-    """First max_articles items per source (before any validity filter). The literal
-    bound (the largest configured cap) lets Spark limit each map task before the
-    shuffle; the per-source cap is then a filter."""
+                   largest_cap: int | None = None) -> DataFrame:
+    """First max_articles items per source (before any validity filter); a null cap is
+    the kind's default. largest_cap, if the caller knows the largest cap of the
+    configuration, lets Spark limit each map task before the shuffle."""
+    default = F.when(F.col("kind_rank") == 0, C.DEFAULT_WEB_MAX_ARTICLES).otherwise(C.DEFAULT_RSS_MAX_ARTICLES)
+    cap = F.coalesce(F.col(cap_col), default)
     w = Window.partitionBy("kind_rank", "source_name").orderBy(F.col("item_pos").asc_nulls_first())
-    return (df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= F.lit(int(max_cap)))
-            .filter(F.col(name) <= F.col(cap_col)))
+    ranked = df.withColumn(name, F.row_number().over(w))
+    if largest_cap is not None:
+        bound = max(int(largest_cap), C.DEFAULT_WEB_MAX_ARTICLES, C.DEFAULT_RSS_MAX_ARTICLES)
+        ranked = ranked.filter(F.col(name) <= F.lit(bound))
+    return ranked.filter(F.col(name) <= cap)
 
 
 def run_cap(df: DataFrame, cap: int | None, name: str = "rn") -> DataFrame:

@@ -10,11 +10,7 @@ _MODULES = ("gazette.plans.dedup_plans", "gazette.plans.page_plans", "gazette.pl
 def _collect(attr):
     out = {}
     for m in _MODULES:
-        try:
-            mod = importlib.import_module(m)
-        except ModuleNotFoundError:
-            continue
-        out.update(getattr(mod, attr))
+        out.update(getattr(importlib.import_module(m), attr))
     return out
 
 

@@ -69,6 +69,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:  # unset: tests and local runs only
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="gazette-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir():
@@ -88,17 +90,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Estimated bytes below which `spread` deals rows out anew.
+SMALL_INPUT = 256 * 1024 * 1024
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-heavy per-row work (text, HTML, XML) at least one partition per core.
-    Large inputs already have more splits than cores and pass unchanged; a small input
-    stored as one row group would otherwise run in a single task."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            return df.repartition(target)
-    except Exception:  # no RDD view of this DataFrame: leave partitioning to Spark
-        pass
-    return df
+    """Give CPU-heavy per-row work (text, HTML, XML) on a small input, which would otherwise
+    run in one task, one partition per core. Small is the planner's estimate, so nothing
+    runs to find out; larger inputs pass unchanged, with the splits of their files."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(target) if estimate < SMALL_INPUT else df
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -1,24 +1,44 @@
 """Scheduled incremental runs (T1, T3, T4): each trigger of a file stream builds the
 editions of the new articles; seen state and published rows are tables in shared
-storage. A micro-batch writes its published partitions with dynamic overwrite and its
-seen rows under its epoch, so a retried batch replaces its own output."""
+storage. Both are partitioned by the run (or micro-batch) that wrote them, so a retried
+run replaces its own output and no other run's; the seen state also by day, so a run
+reads the days inside the time to live alone."""
 
 from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gazette import config as C
 from gazette.operators import dedup as D
+from gazette.operators.publish import write_published
+from gazette.session import materialize
 
 
-def seen_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The seen state, or nothing when it does not exist yet."""
+def seen_table(spark: SparkSession, path: str, run_ts: _dt.datetime | None = None, ttl_days: int = C.SEEN_TTL_DAYS,
+               other_than: str | None = None) -> DataFrame | None:
+    """The seen state, or nothing when it does not exist yet (any other error is
+    raised). With run_ts only the days inside the time to live are read; rows of the run
+    `other_than` (a retry's own) are left out."""
     try:
-        return spark.read.parquet(path)
-    except Exception:  # first run: empty state
-        return None
+        seen = spark.read.schema("article_hash string, title string, seen_at timestamp, seen_date date, run string").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    if run_ts is not None:
+        seen = seen.filter(F.col("seen_date") >= F.lit((run_ts - _dt.timedelta(days=ttl_days)).date()))
+    if other_than is not None:
+        seen = seen.filter(F.col("run") != other_than)
+    return seen.select("article_hash", "title", "seen_at")
+
+
+def write_seen(rows: DataFrame, path: str, run: str) -> None:
+    """K5: the rows of one run, by day; writing the same run again replaces them."""
+    (rows.withColumn("seen_date", F.to_date("seen_at")).withColumn("run", F.lit(run))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("seen_date", "run").parquet(path))
 
 
 def make_batch_fn(seen_path: str, out_path: str, run_ts: _dt.datetime, build,
@@ -28,13 +48,12 @@ def make_batch_fn(seen_path: str, out_path: str, run_ts: _dt.datetime, build,
     commit the accepted hashes (K5: only after the edition is written)."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        seen = seen_table(spark, seen_path)
-        fresh = D.deduplicate(batch, seen, run_ts, ttl_days)
-        out = build(fresh)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("niche", "run_date").parquet(out_path))
-        (D.seen_update(fresh, None, run_ts).withColumn("epoch", F.lit(int(epoch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(seen_path))
+        name = f"{run_ts:%Y-%m-%dT%H-%M-%S}-batch-{int(epoch_id)}"
+        seen = seen_table(spark, seen_path, run_ts, ttl_days, other_than=name)
+        # written once: what is published and what is marked seen are the same rows
+        fresh = materialize(D.deduplicate(batch, seen, run_ts, ttl_days), "batch-articles")
+        write_published(build(fresh), out_path, name)
+        write_seen(D.seen_update(fresh, None, run_ts), seen_path, name)
     return run
 
 

@@ -170,3 +170,65 @@ def test_run_digest_marks_summarized_only(spark):
     out, seen = tempfile.mkdtemp(prefix="digest-out-"), tempfile.mkdtemp(prefix="digest-seen-")
     m = run_digest(arts, out, seen + "/s", run_cap=3, mark="summarized").collect()
     assert spark.read.parquet(seen + "/s").count() == sum(r.articles_summarized for r in m)
+
+
+def test_two_runs_a_day_keep_every_page(spark):
+    from gazette.digest import run_digest
+    from gazette.operators.publish import current_files
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    arts = articles_from_documents(docs)
+    first = arts.filter("item_pos % 2 = 0")
+    out, seen = tempfile.mkdtemp(prefix="digest-out-"), tempfile.mkdtemp(prefix="digest-seen-")
+    run_digest(first, out, seen + "/s", run_cap=5)
+    before = {(r.niche, r.path) for r in spark.read.parquet(out).select("niche", "path").collect()}
+    later = dt.datetime(2024, 6, 4, 18, 0)
+    run_digest(articles_from_documents(docs, run_ts=later).filter("item_pos % 2 = 1"), out, seen + "/s", run_ts=later, run_cap=5)
+    files = current_files(spark.read.parquet(out))
+    after = [(r.niche, r.path) for r in files.select("niche", "path").collect()]
+    assert before < set(after) and len(after) == len(set(after))
+    assert files.filter("kind = 'newsletter' AND run LIKE '%T09%'").count() == 0      # an equal name: the later body
+
+
+def test_two_batches_publish_all_they_mark_seen(spark):
+    from gazette.streaming.runs import make_batch_fn
+    arts = articles_from_documents(spark.read.parquet(f"{SF001}/documents.parquet"))
+    out, seen = tempfile.mkdtemp(prefix="runs-out-"), tempfile.mkdtemp(prefix="runs-seen-")
+    run = make_batch_fn(seen + "/s", out, dt.datetime(2024, 6, 4, 9, 0), lambda a: a.select("niche", "run_date", "article_id"))
+    run(arts.filter("item_pos < 40"), 0)
+    run(arts.filter("item_pos >= 40 AND item_pos < 90"), 1)
+    run(arts.filter("item_pos >= 40 AND item_pos < 90"), 1)                         # a retry
+    published = [r[0] for r in spark.read.parquet(out).select("article_id").collect()]
+    marked = [r[0] for r in spark.read.parquet(seen + "/s").select("article_hash").collect()]
+    assert sorted(published) == sorted(marked) and len(set(marked)) == len(marked)
+
+
+def test_caps_null_large_and_repeated(spark):
+    from gazette.operators.dedup import first_capped
+    from gazette.operators.select import cap_per_source
+    items = spark.range(3000).selectExpr("1 AS kind_rank", "'a' AS source_name", "id AS item_pos", "2500 AS max_articles")
+    assert cap_per_source(items).count() == 2500
+    assert cap_per_source(items, largest_cap=2500).count() == 2500
+    assert cap_per_source(items.withColumn("max_articles", F.lit(None).cast("int"))).count() == 20
+    arts = articles_from_documents(spark.read.parquet(f"{SF001}/documents.parquet"))
+    twice = arts.unionByName(arts)
+    capped = first_capped(twice, 2)
+    assert capped.groupBy("niche", "run_date", "rn").count().filter("count > 1").count() == 0
+    assert capped.groupBy("niche", "run_date").count().filter("count > 2").count() == 0
+
+
+def test_seen_state_errors_are_raised(spark, tmp_path):
+    import pytest
+    from gazette.streaming.runs import seen_table
+    assert seen_table(spark, str(tmp_path / "none")) is None
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        seen_table(spark, str(tmp_path / "bad")).count()
+
+
+def test_us_zone_names_have_fixed_offsets(spark):
+    from gazette.functions.dates import parse_feed_date
+    rows = [("Sat, 01 Jun 2024 10:00:00 EST", "2024-06-01 15:00:00"), ("01 Jun 24 10:00:00 GMT", "2024-06-01 10:00:00"),
+            ("01 Jun 2024", "2024-06-01 00:00:00"), ("June 1, 2024 10:00", "2024-06-01 10:00:00")]
+    got = spark.createDataFrame(rows, "s string, want string").select(parse_feed_date("s").cast("string").alias("t"), "want").collect()
+    assert [r.t for r in got] == [r.want for r in got]
