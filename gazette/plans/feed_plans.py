@@ -85,7 +85,7 @@ def q_full_content_override(spark, sf):
     none = F.lit(None).cast("string")
     entries = linked.select(
         F.lit(None).cast("string").alias("feed_url"), F.col("source").alias("source_name"),
-        F.lit(0).alias("source_pos"), F.lit(None).cast("int").alias("max_articles"),
+        F.lit(0).alias("source_pos"), (F.col("doc_id") + 1).alias("max_articles"),      # no cap
         F.lit(True).alias("fetch_full_content"), F.col("doc_id").alias("item_pos"),
         F.substring_index("text", "\n", 1).alias("title"),
         F.coalesce("purl", F.concat(F.lit("https://"), "source", F.lit(".example.com/"),

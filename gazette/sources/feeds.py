@@ -125,9 +125,9 @@ def feed_entries(raw: DataFrame) -> DataFrame:
 def entries_to_articles(entries: DataFrame, niche_col=None, niche: str = C.DEFAULT_NICHE,
                         run_ts=C.DEFAULT_RUN_TS, full_pages: DataFrame | None = None,
                         extra=()) -> DataFrame:
-    """W2 cap (first max_articles entries, before validity), strip title and link,
+    """W2 cap (first max_articles entries, 20 if null, before validity), strip title and link,
     F5 content chain, F4 markup strip, J4 full-page override, P2, F7, F9."""
-    e = entries.filter(F.col("max_articles").isNull() | (F.col("item_pos") < F.col("max_articles")))
+    e = entries.filter(F.col("item_pos") < F.coalesce("max_articles", F.lit(C.DEFAULT_RSS_MAX_ARTICLES)))
 
     def nz(c):
         return F.when(F.col(c) != "", F.col(c))
@@ -155,12 +155,10 @@ def entries_to_articles(entries: DataFrame, niche_col=None, niche: str = C.DEFAU
 def full_content_override(e: DataFrame, pages: DataFrame) -> DataFrame:
     """For sources with fetch_full_content, the landed page's main content
     replaces the feed text when strictly longer. Only pages linked by such entries are
-    parsed (semi-join before the Python operator)."""
-    from gazette.sources.pages import page_fields
-    wanted = e.filter(F.col("fetch_full_content")).select(F.col("_link").alias("url")).distinct()
-    linked = pages.select("page_id", "url", "html").join(wanted, "url", "left_semi")
-    full = (page_fields(linked, main=True).join(linked.select("page_id", "url"), "page_id")
-            .select(F.col("url").alias("_link"), F.col("main_text").alias("_full")))
+    parsed (semi-join before the Python operator), of a URL landed twice the last one."""
+    from gazette.sources.pages import last_landed, page_fields
+    linked = last_landed(pages, e.filter(F.col("fetch_full_content")).select(F.col("_link").alias("url")))
+    full = page_fields(linked, main=True, keep=("url",)).select(F.col("url").alias("_link"), F.col("main_text").alias("_full"))
     out = e.join(full, "_link", "left")
     use = F.coalesce(F.col("fetch_full_content") & F.col("_full").isNotNull()
                       & (F.length("_full") > F.length("_content")), F.lit(False))

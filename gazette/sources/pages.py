@@ -19,7 +19,7 @@ FIELDS_SCHEMA = ("page_id long, title string, content string, author string, dat
                  "main_text string, page_text string, links array<string>")
 
 
-def _fields_fn(default_selectors: dict, link_selector: str | None, want_main: bool, want_text: bool):
+def _fields_fn(default_selectors: dict, link_selector: str | None, want_main: bool, want_text: bool, keep: tuple = ()):
     def run(batches):
         cache = {}
 
@@ -52,31 +52,40 @@ def _fields_fn(default_selectors: dict, link_selector: str | None, want_main: bo
                 out["main_text"].append(H.main_content(root) if want_main else None)
                 out["page_text"].append(H.get_text(root, " ", True) if want_text else None)
                 out["links"].append(H.link_hrefs(root, lsel) if lsel else [])
-            yield pd.DataFrame(out)
+            yield pd.DataFrame({k: pdf[k].to_numpy() for k in keep} | out)
     return run
 
 
 def page_fields(pages: DataFrame, selectors: dict | None = None, link_selector: str | None = None,
-                main: bool = False, text: bool = False) -> DataFrame:
+                main: bool = False, text: bool = False, keep: tuple = ()) -> DataFrame:
     """S5/S6/S9/F4 in one pass per page. A `selectors` MAP column (per source, E4)
-    overrides the defaults row by row. Returns page_id plus the fields."""
+    overrides the defaults row by row. Returns page_id plus the fields, one row per row
+    of `pages`; `keep` columns travel with their row, so nothing is joined back."""
     H.validate_selectors(selectors or {})
     if link_selector:
         H.Selector(link_selector)
     cols = ["page_id", "html"] + (["selectors"] if "selectors" in pages.columns else [])
-    fn = _fields_fn(dict(selectors or {}), link_selector, main, text)
+    fn = _fields_fn(dict(selectors or {}), link_selector, main, text, tuple(keep))
+    kept = "".join(f"{c} {pages.schema[c].dataType.simpleString()}, " for c in keep)
     from gazette.session import spread
-    return spread(pages.select(*cols)).mapInPandas(fn, FIELDS_SCHEMA)
+    return spread(pages.select(*cols, *keep)).mapInPandas(fn, kept + FIELDS_SCHEMA)
+
+
+def last_landed(pages: DataFrame, urls: DataFrame) -> DataFrame:
+    """(page_id, url, html): of the pages at `urls`, the one landed last (largest page_id)
+    per URL. Only ids are grouped; the HTML is joined to them once."""
+    wanted = pages.select("page_id", "url").join(urls.select("url").distinct(), "url", "left_semi")
+    last = wanted.groupBy("url").agg(F.max("page_id").alias("page_id"))
+    return pages.select("page_id", "url", "html").join(last, ["url", "page_id"], "left_semi").dropDuplicates(["url"])
 
 
 def page_links(pages: DataFrame, selector: str | None = "a[href]", cap: int | None = None,
                cap_col: str | None = None) -> DataFrame:
     """S6 + F11 + W2: (page_id, url, link_pos, href, link) — hrefs of the selected
     elements resolved against the page URL, first `cap` per page (before any fetch)."""
-    f = page_fields(pages, link_selector=selector).select("page_id", "links")
-    x = (pages.select("page_id", "url", *([cap_col] if cap_col else [])).join(f, "page_id")
-         .select("page_id", "url", *([cap_col] if cap_col else []),
-                 F.posexplode("links").alias("link_pos", "href")))
+    own = ("url", *([cap_col] if cap_col else []))
+    x = (page_fields(pages, link_selector=selector, keep=own)
+         .select("page_id", *own, F.posexplode("links").alias("link_pos", "href")))
     if cap is not None:
         x = x.filter(F.col("link_pos") < cap)
     if cap_col:
@@ -106,13 +115,12 @@ def web_articles(pages: DataFrame, selectors: dict | None = None, run_ts=C.DEFAU
     """S5/S8 over landed pages: each page is an article of the web source named by its
     host; title and content from the selectors (default h1 / article); both required."""
     sels = selectors or {"title": "h1", "content": "article"}
-    f = page_fields(pages, sels)
-    base = pages.select("page_id", "url")
-    df = base.join(f, "page_id").select(
+    from gazette.functions.dates import parse_web_date
+    df = page_fields(pages, sels, keep=("url",)).select(
         (F.lit(niche) if niche else page_lang(F.col("url"))).alias("niche"),
         F.to_date(run_ts_lit(run_ts)).alias("run_date"),
         "title", "content", "author",
-        F.lit(None).cast("timestamp").alias("date"), "date_text",
+        parse_web_date("date_text").alias("date"), "date_text",
         F.col("url").alias("source_url"), netloc("url").alias("source_name"),
         F.lit(KIND_RANK["web"]).alias("kind_rank"), F.lit(0).alias("source_pos"),
         F.col("page_id").alias("item_pos"), run_ts_lit(run_ts).alias("ingested_at"))
@@ -123,21 +131,24 @@ def scrape_sources(sources: DataFrame, pages: DataFrame, run_ts=C.DEFAULT_RUN_TS
                    niche: str = C.DEFAULT_NICHE) -> DataFrame:
     """S7/S8 + J6: list pages of web sources → links (S6, first max_articles) → the
     landed article pages (inner join on the resolved URL) → fields (S5) → articles.
-    `sources` rows: source_name, source_pos, url, max_articles, selectors."""
+    `sources` rows: source_name, source_pos, url, max_articles, selectors. One article per
+    link of a listing, so a link named twice gives two (dedup takes the first); of a URL
+    landed twice the last page counts. Sources may share a listing or a page."""
     web = sources.filter(F.col("kind") == "web")
-    listing = (web.join(pages.select(F.col("url"), "html", "page_id"), "url")
+    listing = (web.join(last_landed(pages, web), "url")
                .select("page_id", "url", "html", "selectors", "source_name", "source_pos", "max_articles"))
-    f = page_fields(listing.select("page_id", "html", "selectors"))
-    links = (listing.select("page_id", "url", "source_name", "source_pos", "max_articles").join(f, "page_id")
-             .select("url", "source_name", "source_pos", "max_articles",
-                     F.posexplode("links").alias("item_pos", "href"))
+    own = ("url", "source_name", "source_pos", "max_articles")
+    links = (page_fields(listing.withColumn("max_articles", F.coalesce("max_articles", F.lit(C.DEFAULT_WEB_MAX_ARTICLES))), keep=own)
+             .select(*own, F.posexplode("links").alias("item_pos", "href"))
              .filter(F.col("item_pos") < F.col("max_articles"))
-             .withColumn("link", resolve_link("url", "href")))
-    target = pages.select(F.col("url").alias("link"), F.col("page_id").alias("target_id"), "html")
-    fetched = links.join(target, "link").join(web.select("source_name", "selectors"), "source_name")
-    fields = page_fields(fetched.select(F.col("target_id").alias("page_id"), "html", "selectors"))
-    df = (fetched.select("target_id", "link", "source_name", "source_pos", "item_pos")
-          .join(fields.withColumnRenamed("page_id", "target_id"), "target_id"))
+             .select("source_name", "source_pos", "item_pos", resolve_link("url", "href").alias("link")))
+    target = last_landed(pages, links.select(F.col("link").alias("url"))).withColumnRenamed("url", "link")
+    # a page is parsed once per source that links it, however often it does
+    at = ["source_name", "source_pos", "link"]
+    parsed = (links.select(*at).distinct().join(target, "link")
+              .join(web.select("source_name", "source_pos", "selectors"), ["source_name", "source_pos"]))
+    fields = page_fields(parsed, keep=tuple(at))
+    df = links.select(*at, "item_pos").join(fields, at)
     from gazette.functions.dates import parse_web_date
     out = df.select(F.lit(niche).alias("niche"), F.to_date(run_ts_lit(run_ts)).alias("run_date"),
                     "title", "content", "author", parse_web_date("date_text").alias("date"), "date_text",

@@ -55,6 +55,32 @@ def test_scrape_sources_links_to_pages(spark):
         ("Title 2", "Bodyof 2", "Ann", dt.datetime(2024, 6, 2), "https://site.example.com/p/2", 1)]
 
 
+def test_scrape_sources_repeated_links_and_pages(spark):
+    """A link named twice gives one article per link, also where two sources share a listing
+    or a page, and a page landed twice counts once, as landed last."""
+    sel = {"articles": "ul li", "title": "h1.t", "content": "div.body"}
+    other = {"articles": "ul li", "title": "span.by", "content": "div.body"}
+    cfg = C.run_config_from_dict({"sources": {"web_scraping": [
+        {"url": "https://s.example.com/l", "name": "A", "max_articles": 5, "selectors": sel},
+        {"url": "https://s.example.com/l", "name": "B", "selectors": other}]}})
+    listing = "<ul>" + "".join(f'<li><a href="/p/{n}">x</a></li>' for n in (1, 2, 1)) + "</ul>"
+    pages = spark.createDataFrame(
+        [(1, "https://s.example.com/l", "<ul><li><a href='/p/9'>old</a></li></ul>"), (2, "https://s.example.com/l", listing),
+         (3, "https://s.example.com/p/1", ART.format(n=7)), (4, "https://s.example.com/p/2", ART.format(n=2)),
+         (5, "https://s.example.com/p/1", ART.format(n=1)), (5, "https://s.example.com/p/1", ART.format(n=1)), (6, None, None)],
+        "page_id long, url string, html string")
+    arts = P.scrape_sources(CD.sources_frame(spark, cfg), pages).collect()
+    assert sorted((a.source_name, a.item_pos, a.title) for a in arts) == [
+        ("A", 0, "Title 1"), ("A", 1, "Title 2"), ("A", 2, "Title 1"), ("B", 0, "Ann"), ("B", 1, "Ann"), ("B", 2, "Ann")]
+
+
+def test_web_articles_dates_and_repeated_pages(spark):
+    pages = spark.createDataFrame([(1, "https://s.example.com/en/1", ART.format(n=1)), (1, "https://s.example.com/en/1", ART.format(n=1))],
+                                  "page_id long, url string, html string")
+    arts = P.web_articles(pages, {"title": "h1", "content": "div.body", "date": "time"}).collect()
+    assert [(a.title, a.date) for a in arts] == [("Title 1", dt.datetime(2024, 6, 1))] * 2
+
+
 def test_provider_hook_and_pairs(spark):
     arts = articles_from_documents(spark.read.parquet(f"{SF001}/documents.parquet")).limit(7)
 
