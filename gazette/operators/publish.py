@@ -27,11 +27,11 @@ def newsletter_rows(rendered: DataFrame, run_ts_col: str = "run_ts", output_dir:
 
 def article_rows(pages: DataFrame, run_ts_col: str = "run_ts", output_dir: str = OUTPUT_DIR,
                  k: int = C.PUBLISHED_ARTICLE_PAGES) -> DataFrame:
-    """K2: article pages of the first 5 pairs; equal file names overwrite, so the last
-    article written under a name is the one kept."""
+    """K2: article pages of the first 5 pairs, in a folder per niche; equal file names
+    overwrite, so the last article written under a name is the one kept."""
     x = pages.filter(F.col("rn") <= k).select(
         *EDITION, "rn", F.lit("article").alias("kind"),
-        F.concat(F.lit(output_dir + "/articles/"), article_slug(day_text(run_ts_col), F.col("title"))).alias("path"),
+        F.concat(F.lit(output_dir + "/articles/"), safe_filename("niche"), F.lit("/"), article_slug(day_text(run_ts_col), F.col("title"))).alias("path"),
         F.col("page").alias("body"))
     w = Window.partitionBy(*EDITION, "path").orderBy(F.col("rn").desc())
     return x.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k", "rn")
@@ -40,7 +40,7 @@ def article_rows(pages: DataFrame, run_ts_col: str = "run_ts", output_dir: str =
 def index_rows(published: DataFrame, run_ts_col: str = "run_ts", output_dir: str = OUTPUT_DIR,
                title: str = SITE_TITLE, articles: int = C.INDEX_ARTICLES) -> DataFrame:
     """Per edition, newsletters by path descending, then the first 20 article
-    paths descending; each line '- [stem](relative path)'."""
+    paths descending; each line '- [stem](relative path)'. One index file per niche."""
     p = published.filter(F.col("kind").isin("newsletter", "article")).withColumn(
         "is_article", F.array_contains(F.split("path", "/"), "articles"))
     p = p.withColumn("line", F.concat(F.lit("- ["), path_stem("path"), F.lit("]("),
@@ -56,7 +56,7 @@ def index_rows(published: DataFrame, run_ts_col: str = "run_ts", output_dir: str
         F.lit(f"# {title}\n\n*Last updated: "), long_date_time(run_ts_col), F.lit("*\n\n"),
         F.when(F.col("news") != "", F.concat(F.lit("## Newsletters\n\n"), F.col("news"), F.lit("\n"))).otherwise(F.lit("")),
         F.when(F.col("arts") != "", F.concat(F.lit("## Individual Articles\n\n"), F.col("arts"), F.lit("\n"))).otherwise(F.lit("")))
-    return g.select(*EDITION, F.lit("index").alias("kind"), F.lit(output_dir + "/index.md").alias("path"), body.alias("body"))
+    return g.select(*EDITION, F.lit("index").alias("kind"), F.concat(F.lit(output_dir + "/index-"), safe_filename("niche"), F.lit(".md")).alias("path"), body.alias("body"))
 
 
 def latest_rows(published: DataFrame, output_dir: str = OUTPUT_DIR) -> DataFrame:
@@ -64,22 +64,23 @@ def latest_rows(published: DataFrame, output_dir: str = OUTPUT_DIR) -> DataFrame
     n = published.filter(F.col("kind") == "newsletter")
     return n.groupBy("niche").agg(F.max_by(F.struct("run_date", "path", "body"), "run_date").alias("m")).select(
         "niche", F.col("m.run_date").alias("run_date"), F.lit("latest").alias("kind"),
-        F.concat(F.lit(output_dir + "/latest-"), F.col("niche"), F.lit(".md")).alias("path"),
+        F.concat(F.lit(output_dir + "/latest-"), safe_filename("niche"), F.lit(".md")).alias("path"),
         F.col("m.path").alias("target"), F.col("m.body").alias("body"))
 
 
 def site_routing(published: DataFrame) -> DataFrame:
-    """K7: a path with an 'articles' part goes to content/articles/, anything else to
-    content/newsletters/; each newsletter also becomes content/newsletters/latest.md of
-    its edition (L12: only newsletters, not the index)."""
+    """K7: a path with an 'articles' part goes to content/articles/<niche>/, anything else
+    to content/newsletters/; the newsletter of a niche's last run date also becomes
+    content/newsletters/latest-<niche>.md (L12: only newsletters, not the index)."""
     name = F.element_at(F.split("path", "/"), -1)
     is_art = F.array_contains(F.split("path", "/"), "articles")
     routed = published.select(*EDITION, "kind", F.col("path").alias("source_path"),
-                              F.when(is_art, F.concat(F.lit("content/articles/"), name))
+                              F.when(is_art, F.concat(F.lit("content/articles/"), safe_filename("niche"), F.lit("/"), name))
                               .otherwise(F.concat(F.lit("content/newsletters/"), name)).alias("dest_path"))
-    latest = (published.filter((F.col("kind") == "newsletter") & (name != "latest.md"))
-              .select(*EDITION, "kind", F.col("path").alias("source_path"),
-                      F.lit("content/newsletters/latest.md").alias("dest_path")))
+    latest = (published.filter(F.col("kind") == "newsletter").groupBy("niche", "kind")
+              .agg(F.max(F.struct("run_date", "path")).alias("m"))
+              .select("niche", "m.run_date", "kind", F.col("m.path").alias("source_path"),
+                      F.concat(F.lit("content/newsletters/latest-"), safe_filename("niche"), F.lit(".md")).alias("dest_path")))
     return routed.unionByName(latest)
 
 

@@ -132,18 +132,30 @@ def json_span(c) -> F.Column:
                   F.substring(s, start, end - start + 1))
 
 
-def parse_responses(responses: DataFrame, provider: str = "model") -> DataFrame:
+def one_document(span: F.Column) -> F.Column:
+    """Whether the span is a single JSON value with nothing behind it. As the one element
+    of a list and as the one member of an object it must stay a whole document: text that
+    follows the value breaks at least one of the two."""
+    return ((F.json_array_length(F.concat(F.lit("["), span, F.lit("]"))) == 1)
+            & (F.size(F.json_object_keys(F.concat(F.lit('{"v":'), span, F.lit("}")))) == 1))
+
+
+def parse_responses(responses: DataFrame, provider: str = "model", strict: bool = False) -> DataFrame:
     """F16 + F17: responses(article_id, response) → summaries.
 
-    JSON is read with single quotes refused; a span that does not parse as an object
-    takes the fixed fall-back. Missing keys become ''/[] (a JSON null list too), the
+    JSON is read with single quotes refused; a span that does not parse as an object, or
+    that has text behind the object, takes the fixed fall-back. strict: the whole response
+    (white space around it aside) must be the object. Missing keys become ''/[] (a JSON null list too), the
     short summary is cut to 500 characters and lists to 5 items."""
     span = json_span("response")
+    if strict:
+        span = F.when(F.btrim("response", F.lit(" \t\r\n")) == span, span)
     parsed = F.from_json(span, SUMMARY_JSON_SCHEMA,
                          {"allowSingleQuotes": "false", "mode": "PERMISSIVE",
                           "columnNameOfCorruptRecord": "_corrupt"})
     df = responses.withColumn("_j", parsed)
-    ok = span.isNotNull() & F.col("_j").isNotNull() & F.col("_j._corrupt").isNull()
+    ok = (span.isNotNull() & F.col("_j").isNotNull() & F.col("_j._corrupt").isNull()
+          & F.coalesce(one_document(span), F.lit(False)))
     empty = F.array().cast("array<string>")
     return df.select(
         "article_id",

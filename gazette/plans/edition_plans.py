@@ -162,11 +162,12 @@ def q_quick_reads(spark, sf):
 
 
 # J1, J2, P3, Z1 ----------------------------------------------------------------------------------------
-@register("pairs", pairs_sql(CAP) + """
-SELECT article_id, niche, rn, title, source_name, short_summary, array_to_string(tags, ', ') AS tags FROM pairs""")
+@register("pairs", pairs_sql() + """
+SELECT article_id, niche, title, source_name, short_summary, array_to_string(tags, ', ') AS tags FROM pairs""")
 def q_pairs(spark, sf):
-    p = capped_pairs(spark, sf)
-    return normalise(p.select("article_id", "niche", "rn", "title", "source_name", "short_summary",
+    """Whole editions: no article is numbered, so no edition is one task."""
+    p = ranked_pairs(spark, sf, parts=("summary", "tags"), write_pairs=False)
+    return normalise(p.select("article_id", "niche", "title", "source_name", "short_summary",
                               F.array_join("tags", ", ").alias("tags")))
 
 
@@ -192,13 +193,13 @@ def q_source_stats(spark, sf):
 
 
 # F29, F32, F33 --------------------------------------------------------------------------------------------
-@register("article_markdown", pairs_sql(CAP) + SECTIONS_CTE + f"""
+@register("article_markdown", pairs_sql() + SECTIONS_CTE + f"""
 SELECT article_id, '# ' || title || {lit(chr(10) * 2 + '*Published on ')} || {DATE_LONG} || {lit('*' + chr(10) * 2)} || section ||
        {_opt("coalesce(detailed_summary, '') <> ''", lit('## Detailed Summary' + chr(10) * 2) + ' || detailed_summary || ' + NL + ' || ' + NL)} AS page
 FROM sec""")
 def q_article_markdown(spark, sf):
-    p = R.article_page(capped_pairs(spark, sf))
-    return normalise(p.select("article_id", "page"))
+    p = ranked_pairs(spark, sf, write_pairs=False).withColumn("run_ts", run_ts_lit(C.DEFAULT_RUN_TS))
+    return normalise(R.article_page(p).select("article_id", "page"))
 
 
 # F30, W4, A10, P7 ----------------------------------------------------------------------------------------------
@@ -252,7 +253,7 @@ def published(spark, sf):
 
 _PUB_CTES = f""",
 arts AS (SELECT niche, run_date, path FROM (
-           SELECT niche, run_date, rn, 'output/articles/2024-06-04-' || {_safe_sql(f'substring(title, 1, {C.SLUG_TITLE_CHARS})')} || '.md' AS path,
+           SELECT niche, run_date, rn, 'output/articles/' || {_safe_sql('niche')} || '/2024-06-04-' || {_safe_sql(f'substring(title, 1, {C.SLUG_TITLE_CHARS})')} || '.md' AS path,
                   row_number() OVER (PARTITION BY niche, run_date, 'output/articles/2024-06-04-' || {_safe_sql(f'substring(title, 1, {C.SLUG_TITLE_CHARS})')} || '.md' ORDER BY rn DESC) AS k
            FROM pairs WHERE rn <= {C.PUBLISHED_ARTICLE_PAGES}) q WHERE k = 1),
 news AS (SELECT niche, run_date, 'output/' || {_safe_sql("'2024-06-04-' || niche || '-digest'")} || '.md' AS path FROM (SELECT DISTINCT niche, run_date FROM pairs) e),
@@ -273,12 +274,12 @@ def q_publish_index(spark, sf):
 
 # K7, U3 ---------------------------------------------------------------------------------------------------------
 @register("site_routing", pairs_sql(CAP) + _PUB_CTES + """,
-allf AS (SELECT niche, kind, path FROM files UNION ALL SELECT DISTINCT niche, 'index' AS kind, 'output/index.md' AS path FROM files)
+allf AS (SELECT niche, kind, path FROM files UNION ALL SELECT DISTINCT niche, 'index' AS kind, 'output/index-' || niche || '.md' AS path FROM files)
 SELECT niche, kind, path AS source_path,
-       CASE WHEN contains(path, '/articles/') THEN 'content/articles/' ELSE 'content/newsletters/' END || regexp_extract(path, '[^/]*$') AS dest_path
+       CASE WHEN contains(path, '/articles/') THEN 'content/articles/' || niche || '/' ELSE 'content/newsletters/' END || regexp_extract(path, '[^/]*$') AS dest_path
 FROM allf
 UNION ALL
-SELECT niche, kind, path AS source_path, 'content/newsletters/latest.md' AS dest_path FROM allf WHERE kind = 'newsletter'""")
+SELECT niche, kind, path AS source_path, 'content/newsletters/latest-' || niche || '.md' AS dest_path FROM allf WHERE kind = 'newsletter'""")
 def q_site_routing(spark, sf):
     pub, _, _ = published(spark, sf)
     return normalise(PB.site_routing(pub).select("niche", "kind", "source_path", "dest_path"))
@@ -317,13 +318,14 @@ def q_thread_posts(spark, sf):
 
 
 # F22, F24, F25 ---------------------------------------------------------------------------------------------------
-@register("article_post", pairs_sql(CAP) + f"""
+@register("article_post", pairs_sql() + f"""
 SELECT article_id, {_trunc(f"'\U0001F4C4 ' || title || {NL} || {NL} || short_summary || {NL} || {NL} || "
                            f"CASE WHEN len(tags) > 0 THEN array_to_string(list_transform(tags[1:3], lambda t: '#' || replace(t, ' ', '')), ' ') || {NL} || {NL} ELSE '' END || "
                            f"'Read more: ' || source_url", 280)} AS post
 FROM pairs""")
 def q_article_post(spark, sf):
-    return normalise(SO.article_post(capped_pairs(spark, sf)).select("article_id", "post"))
+    p = ranked_pairs(spark, sf, parts=("summary", "tags"), write_pairs=False)
+    return normalise(SO.article_post(p).select("article_id", "post"))
 
 
 # F23, F26, P5 ----------------------------------------------------------------------------------------------------

@@ -15,8 +15,8 @@ from gazette.operators import metrics as M
 from gazette.operators import publish as PB
 from gazette.operators import summarize as Z
 from gazette.plans.common import RUN_TS_SQL, normalise, sql_hashed_articles, table
-from gazette.plans.digest_plans import pairs_sql
-from gazette.plans.edition_plans import CAP, NL, capped_pairs, lit, published
+from gazette.plans.digest_plans import pairs_sql, ranked_pairs
+from gazette.plans.edition_plans import CAP, NL, lit, published
 from gazette.sources import feeds as FD
 from gazette.sources.documents import articles_from_documents, run_ts_lit
 
@@ -139,11 +139,11 @@ def _parsed_out(s):
                               F.array_join("tags", ", ").alias("tags")))
 
 
-@register("parse_responses", pairs_sql(CAP) + f""",
+@register("parse_responses", pairs_sql() + f""",
 resp AS (SELECT article_id, {_RESP_SQL} AS response FROM pairs),
 parsed AS ({parse_sql('resp')})""" + PARSED_SELECT)
 def q_parse_responses(spark, sf):
-    return _parsed_out(Z.parse_responses(responses_from_summaries(capped_pairs(spark, sf))))
+    return _parsed_out(Z.parse_responses(responses_from_summaries(ranked_pairs(spark, sf, write_pairs=False))))
 
 
 # F15-F17 over the assistant turns of conversations (prose replies) -----------------------------------------
@@ -245,16 +245,14 @@ def q_language(spark, sf):
 
 # T5 (batch form): daily counts per topic with the change from the day before ---------------------------------
 @register("emerging_topics", """
-SELECT day, topic, n, prev_n, n - coalesce(prev_n, 0) AS growth FROM (
-  SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type AS topic, count(*) AS n,
-         lag(count(*)) OVER (PARTITION BY event_type ORDER BY date_trunc('day', ts)) AS prev_n
-  FROM events GROUP BY date_trunc('day', ts), event_type) q
-WHERE prev_n IS NOT NULL""")
+WITH c AS (SELECT CAST(date_trunc('day', ts) AS DATE) AS d, event_type AS topic, count(*) AS n
+           FROM events WHERE ts IS NOT NULL GROUP BY ALL)
+SELECT strftime(c.d, '%Y-%m-%d') AS day, c.topic, c.n, coalesce(p.n, 0) AS prev_n, c.n - coalesce(p.n, 0) AS growth
+FROM c LEFT JOIN c p ON p.topic IS NOT DISTINCT FROM c.topic AND p.d = c.d - 1""")
 def q_emerging_topics(spark, sf):
     from gazette.streaming.topics import daily_topic_counts, emerging
     counts = daily_topic_counts(table(spark, sf, "events"), "ts", "event_type")
-    return normalise(emerging(counts).filter(F.col("prev_n").isNotNull())
-                     .select("day", "topic", "n", "prev_n", "growth"))
+    return normalise(emerging(counts).select("day", "topic", "n", "prev_n", "growth"))
 
 
 # F14 (edition kinds: title and insights prompts) ---------------------------------------------------

@@ -13,16 +13,20 @@ def daily_topic_counts(df: DataFrame, ts: str, topic: str) -> DataFrame:
 
 
 def emerging(counts: DataFrame) -> DataFrame:
-    """Change of each topic's count from its previous day (one row per day and topic;
-    the window holds one topic's days)."""
+    """Change of each topic's count from the calendar day before (one row per day and
+    topic; the window holds one topic's days). A topic without a count on that day, such
+    as a new one, has a prev_n of 0 and grows by its whole count."""
     w = Window.partitionBy("topic").orderBy("day")
-    return (counts.withColumn("prev_n", F.lag("n").over(w))
-            .withColumn("growth", F.col("n") - F.coalesce("prev_n", F.lit(0))))
+    day_before = F.datediff("day", F.lag("day").over(w)) == 1
+    return (counts.withColumn("prev_n", F.coalesce(F.when(day_before, F.lag("n").over(w)), F.lit(0)))
+            .withColumn("growth", F.col("n") - F.col("prev_n")))
 
 
 def stream_topic_counts(stream: DataFrame, ts: str, topic: str, lateness: str = "1 day") -> DataFrame:
     """Streaming form: a watermark bounds state; windows are emitted once final
-    (append mode) and rows later than the watermark are dropped."""
+    (append mode) and rows later than the watermark are dropped. The windows that the
+    watermark has not passed when the stream stops are not in the result; a later run
+    from the same checkpoint writes them."""
     s = stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", lateness)
     return (s.groupBy(F.window("_ts", "1 day").alias("w"), F.col(topic).alias("topic")).agg(F.count("*").alias("n"))
             .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "topic", "n"))

@@ -30,6 +30,17 @@ def test_response_cases(spark):
         assert r[i].key_insights == [C.FALLBACK_INSIGHT] and r[i].tags == list(C.FALLBACK_TAGS)
 
 
+def test_text_behind_the_object_takes_the_fallback(spark):
+    good = json.dumps({"short_summary": "S", "tags": ["a"]})
+    cases = [good, good + " then " + good, good + ", " + good, good + "]" + good, good + "} , {" + good, good + "}", "note: " + good + "\nbye",
+             " \n" + good + "\n", '{"short_summary": "a } b { c"}']
+    r = parsed(spark, cases)
+    assert [r[i].parsed for i in range(len(cases))] == [True, False, False, False, False, False, True, True, True]
+    df = spark.createDataFrame(list(enumerate(cases)), "article_id int, response string")
+    strict = {x.article_id: x.parsed for x in parse_responses(df, strict=True).collect()}
+    assert [strict[i] for i in range(len(cases))] == [True, False, False, False, False, False, False, True, True]
+
+
 def test_json_span(spark):
     df = spark.createDataFrame([("a {x} b {y} c",), ("}{",), ("none",)], "response string")
     assert [r[0] for r in df.select(json_span("response")).collect()] == ["{x} b {y}", None, None]
