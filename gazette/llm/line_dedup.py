@@ -1,20 +1,25 @@
-"""Line dedup by a deletion-neighbourhood join (DataFrame functions only).
+"""Line dedup by a deletion-neighbourhood join and a join by pairs of neighbours (DataFrame functions only).
 
-Two lines are near-duplicates if one word inserted, deleted or replaced turns one into the
-other, and the longer has at least five words (a similarity of 0.8); shorter lines match
-when their words are equal. Of near-duplicates the earliest line stays.
+Two lines are near-duplicates if at most a fifth of the longer one's words, rounded down,
+are inserted, deleted or replaced to turn one into the other (a similarity of 0.8), and the
+longer has at least five words; shorter lines match when their words are equal. Of
+near-duplicates the earliest line stays.
 
 1. Equal lines fall together by the hashes of their words.
-2. Two lines within one word agree in their first or their last half. Lines that share
-   neither half with another line have no partner and need no variants: a filter that
-   loses no pair.
-3. The rest emit all variants with one word left out, as hashed keys. Lines that share a
-   key are candidates; every line needs the earliest of its candidates alone, so a key is
-   aggregated, not paired, whatever its size.
-4. The word edit distance of the line and that candidate is verified on the words.
-
-Text is joined twice, for the candidate lines of step 3 and for the result; everything else
-moves hashes.
+2. Up to nine words the bound is one word. Two such lines agree in their first or their
+   last half; lines that share a half emit all variants with one word left out, as hashed
+   keys. Of the lines that share a key the earliest is enough, so a key is aggregated, not
+   paired, whatever its size.
+3. From ten words on, each edit spoils at most two pairs of neighbouring words, so near
+   lines share at least `least_shared` pairs, at places no further apart than the bound. A
+   line is keyed by its longest pairs (long words are rare), as many as it takes for near
+   lines to meet; keys of one line alone go before anything is joined.
+4. Lines that share a key are first held against the earliest of the key alone; only those
+   left without a near line meet all earlier ones.
+5. The word edit distance is verified on the words.
+
+Text is joined twice, for the candidate lines and for the result; everything else moves
+hashes.
 """
 
 from __future__ import annotations
@@ -25,6 +30,10 @@ from gazette.llm.words import word_array
 from gazette.session import materialize
 
 MIN_WORDS = 5
+#: Words per edit: a line of n words is near another within n // WORDS_PER_EDIT words.
+WORDS_PER_EDIT = 5
+#: Words of the longest line whose bound is one word.
+ONE_EDIT = 2 * WORDS_PER_EDIT - 1
 #: Documents with candidate lines up to which their positions are broadcast (some 50 bytes
 #: each); beyond they are joined by a shuffle.
 MAX_BROADCAST_DOCS = 200_000
@@ -67,6 +76,46 @@ def within_one_word(a: Column, b: Column) -> Column:
     return F.when(F.abs(F.size(a) - F.size(b)) > 1, False).otherwise(near)
 
 
+def bound(n: Column) -> Column:
+    """Edits within which a line of n words, the longer one, is near another."""
+    return F.greatest(F.lit(1), F.floor(n / WORDS_PER_EDIT).cast("int"))
+
+
+def least_shared(n: Column) -> Column:
+    """Pairs of neighbours that a line of n words shares at least with any near line, the
+    longer one of ten words or more. A longer line of m words keeps m - 1 of them less two
+    for each edit; this is least at m = n or at the next m with one edit more."""
+    j = F.floor(n / WORDS_PER_EDIT)
+    return F.when(n <= ONE_EDIT, F.lit(5)).otherwise(F.least(n - 1 - 2 * j, 3 * j + 2)).cast("int")
+
+
+def pair_keys(words: Column) -> Column:
+    """(k, i): hashes and places of the pairs of neighbours by which a line meets its near
+    lines: all but the last `least_shared` - 1 in one order for all lines. Of the pairs that
+    near lines share in their alignment the first in that order is a key of both."""
+    size = lambda x, y: -(F.octet_length(x) + F.octet_length(y))
+    pairs = F.zip_with(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, F.lit(2), F.size(words)), lambda x, y: F.struct(size(x, y).alias("o"), F.xxhash64(x, y).alias("k")))
+    pairs = F.array_sort(F.transform(pairs, lambda p, j: F.struct(p["o"].alias("o"), p["k"].alias("k"), j.alias("i"))))
+    return F.transform(F.slice(pairs, F.lit(1), F.greatest(F.size(pairs) - least_shared(F.size(words)) + 1, F.lit(0))), lambda p: F.struct(p["k"].alias("k"), p["i"].alias("i")))
+
+
+def _as_string(codes: Column) -> Column:
+    """A string with one character for each number from 0 on (below a million)."""
+    return F.decode(F.unhex(F.array_join(F.transform(codes, lambda c: F.lpad(F.hex(c + 0x10000), 8, "0")), "")), "UTF-32")
+
+
+def _signature(words: Column) -> Column:
+    """One character for each word, by its hash: no two equal words differ."""
+    return _as_string(F.transform(words, lambda x: F.pmod(F.xxhash64(x), F.lit(1_000_000))))
+
+
+def within_words(a: Column, b: Column, most: Column) -> Column:
+    """Whether at most `most` inserted, deleted or replaced words turn array a into b."""
+    kinds = F.array_distinct(F.concat(a, b))
+    code = lambda x: _as_string(F.transform(x, lambda y: F.array_position(kinds, y)))
+    return F.call_function("levenshtein", code(a), code(b), most) >= 0
+
+
 def spaced(line: Column) -> Column:
     """The line's words with one space between them; most lines are so already."""
     messy = F.contains(line, F.lit("  ")) | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
@@ -83,6 +132,41 @@ def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return lines.withColumn("n", F.octet_length("s") - F.octet_length(F.replace("s", F.lit(" "), F.lit(""))) + 1)
 
 
+def _keyed_lines(docs: DataFrame, id_col: str, text: str, distinct: DataFrame) -> DataFrame:
+    """(line, n, k, i): the keys, met by another line, of lines that may have a near line
+    of ten words or more."""
+    lines = _lines(docs, id_col, text).filter(F.col("n") >= ONE_EDIT - 1)
+    lines = lines.select(F.xxhash64("s").alias("h"), F.xxhash64(F.lit(7), "s").alias("g"), F.col("n").cast("int").alias("n"), pair_keys(F.split("s", " ")).alias("keys"))
+    keys = lines.select(F.explode(F.array_distinct(F.transform("keys", lambda x: x["k"]))).alias("k"))
+    shared = materialize(keys.groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k"), "lines-shared")
+    rows = lines.select("h", "g", "n", F.explode("keys").alias("x")).select("h", "g", "n", "x.k", "x.i").join(shared, "k", "left_semi")
+    # copies of a line fall together; a key that they alone share goes
+    rows = materialize(rows.distinct(), "lines-rows")
+    met = rows.groupBy("k").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("k")
+    rows = rows.join(met, "k", "left_semi").join(distinct.select("h", "g", "first"), ["h", "g"])
+    return materialize(rows.select(F.col("first").alias("line"), "n", "k", "i"), "lines-keys")
+
+
+def _near_by_keys(rows: DataFrame, found: DataFrame, min_words: int) -> DataFrame:
+    """(line): lines of a near pair, the longer of ten words or more, other than its first."""
+    most = bound(F.greatest("n", "m"))
+    fits = (F.greatest("n", "m") > ONE_EDIT) & (F.greatest("n", "m") >= min_words) & (F.abs(F.col("n") - F.col("m")) <= most) & (F.abs(F.col("i") - F.col("j")) <= most)
+    body = found.select(F.col("line"), F.col("w").alias("wa"), F.col("sig").alias("sa"))
+    other = found.select(F.col("line").alias("other"), F.col("w").alias("wb"), F.col("sig").alias("sb"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.filter("other < line").filter(fits).select("line", "other", most.alias("most")).distinct()
+        pairs = pairs.join(body, "line").join(other, "other")
+        close = F.call_function("levenshtein", F.col("sa"), F.col("sb"), F.col("most")) >= 0
+        return pairs.filter(close).filter(within_words(F.col("wa"), F.col("wb"), F.col("most"))).select("line").distinct()
+
+    first = rows.groupBy("k").agg(F.min(F.struct("line", "n", "i")).alias("f")).select("k", F.col("f.line").alias("other"), F.col("f.n").alias("m"), F.col("f.i").alias("j"))
+    near = materialize(verified(rows.join(first, "k")), "lines-near-first")
+    left = rows.join(near, "line", "left_anti")
+    rest = rows.select("k", F.col("line").alias("other"), F.col("n").alias("m"), F.col("i").alias("j"))
+    return near.unionByName(verified(left.join(rest, "k")))
+
+
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(did, th, pos): the lines that an earlier line makes redundant, by document id, hash
     of the text and position (from 0)."""
@@ -93,8 +177,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", m
     lines = _lines(docs, id_col, text).select(
         "did", "th", "pos", F.xxhash64("s").alias("h"), F.xxhash64(F.lit(7), "s").alias("g"),
         # as a line of n words, and as the longer of a pair (less one word)
-        F.when(n >= min_words - 1, head(n, h)).alias("k0"), F.when(n >= min_words - 1, tail(n, n - h)).alias("k1"),
-        F.when(n >= min_words, head(n - 1, m)).alias("k2"), F.when(n >= min_words, tail(n - 1, n - 1 - m)).alias("k3"))
+        F.when(n.between(min_words - 1, ONE_EDIT), head(n, h)).alias("k0"), F.when(n.between(min_words - 1, ONE_EDIT), tail(n, n - h)).alias("k1"),
+        F.when(n.between(min_words, ONE_EDIT), head(n - 1, m)).alias("k2"), F.when(n.between(min_words, ONE_EDIT), tail(n - 1, n - 1 - m)).alias("k3"))
     lines = materialize(lines, "lines")
     at = F.struct("did", "th", "pos")
     distinct = lines.groupBy("h", "g").agg(F.min(at).alias("first"), F.count("*").alias("c"), *[F.first(k).alias(k) for k in ("k0", "k1", "k2", "k3")])
@@ -104,7 +188,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", m
 
     halves = distinct.select("first", F.explode(F.array_compact(F.array("k0", "k1", "k2", "k3"))).alias("k"))
     shared = halves.groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k")
-    wanted = halves.join(shared, "k", "left_semi").groupBy(F.col("first.did").alias("_d"), F.col("first.th").alias("_t")).agg(F.collect_set("first.pos").alias("_p"))
+    keyed = _keyed_lines(docs, id_col, text, distinct)
+    wanted = halves.join(shared, "k", "left_semi").select("first").unionByName(keyed.select(F.col("line").alias("first")).distinct())
+    wanted = wanted.groupBy(F.col("first.did").alias("_d"), F.col("first.th").alias("_t")).agg(F.collect_set("first.pos").alias("_p"))
     wanted = materialize(wanted, "lines-wanted")
     if wanted.count() <= MAX_BROADCAST_DOCS:
         wanted = F.broadcast(wanted)
@@ -115,10 +201,12 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", m
     found = (found.select("did", "th", split.alias("lines"), F.explode("_p").alias("pos"))
              .select(at.alias("line"), F.split(spaced(F.element_at("lines", F.col("pos") + 1)), " ").alias("w")))
     found = found.withColumn("n", F.size("w")).withColumn("whole", whole_hash(w))
-    found = materialize(found.withColumn("cuts", F.when(n >= min_words, variant_hashes(w))), "lines-candidates")
+    found = found.withColumn("cuts", F.when(n.between(min_words, ONE_EDIT), variant_hashes(w))).withColumn("sig", F.when(n >= ONE_EDIT - 1, _signature(w)))
+    found = materialize(found, "lines-candidates")
+    far = _near_by_keys(keyed, found, min_words)
 
     cut = found.select("line", F.posexplode("cuts").alias("i", "k"))
-    whole = found.filter(n >= min_words - 1).select("line", F.col("whole").alias("k"))
+    whole = found.filter(n.between(min_words - 1, ONE_EDIT)).select("line", F.col("whole").alias("k"))
     by_cut = materialize(cut.groupBy("k", "i").agg(F.min("line").alias("other"), F.count("*").alias("c")), "lines-variants")
     first_cut = by_cut.groupBy("k").agg(F.min("other").alias("other"))
     first_whole = whole.groupBy("k").agg(F.min("line").alias("other"))
@@ -131,7 +219,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", m
                .unionByName(cut.join(first_same, ["k", "i"]).select("line", "other")).filter("other < line").distinct())
     a, b = found.select("line", F.col("w").alias("wa")), found.select(F.col("line").alias("other"), F.col("w").alias("wb"))
     near = earlier.join(a, "line").join(b, "other").filter(within_one_word(F.col("wa"), F.col("wb")))
-    near = near.select(F.col("line.did").alias("did"), F.col("line.th").alias("th"), F.col("line.pos").alias("pos")).distinct()
+    near = near.select("line").unionByName(far).distinct()
+    near = near.select(F.col("line.did").alias("did"), F.col("line.th").alias("th"), F.col("line.pos").alias("pos"))
     return copies.unionByName(near)
 
 

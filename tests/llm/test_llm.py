@@ -391,3 +391,32 @@ def test_pipeline_stages_follow_their_inputs(spark, tmp_path):
     assert len(last) == at.count()
     assert all(r.decoded_sha256 == hashlib.sha256((text[r.doc_id] or "").encode()).hexdigest() and len(r.ids) == r.n_tokens for r in last)
     assert P.run(spark, str(tmp_path)).count() == len(last)
+
+
+def word_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_line_dedup_bound_grows_with_the_line(spark):
+    from gazette.llm.line_dedup import dedup_lines
+    rnd = random.Random(8)
+    lines = []
+    for n in [8, 9, 10, 11, 14, 15, 19, 20, 25, 40, 60] * 2:
+        base = ["%s%d" % (rnd.choice("pq"), rnd.randrange(40)) for _ in range(n)]
+        lines.append(base)
+        for edits in (1, 2, n // 5 - 1, n // 5, n // 5, n // 5 + 1, n // 4 + 1):
+            w = list(base)
+            for _ in range(edits):
+                at, kind = rnd.randrange(len(w)), rnd.randrange(3)
+                w[at:at + (kind != 1)] = [] if kind == 0 else ["z%d" % rnd.randrange(3)]
+            lines.append(w)
+    lines += [["c"] * n for n in (10, 12, 13, 30, 36, 40)]                      # one run over and over
+    rnd.shuffle(lines)
+    gone = [any(a == b or max(len(a), len(b)) >= 5 and word_distance(a, b) <= max(len(a), len(b)) // 5 for b in lines[:i]) for i, a in enumerate(lines)]
+    docs = docs_of(spark, [(i, " ".join(w)) for i, w in enumerate(lines)])
+    assert [r.n_dropped == 1 for r in dedup_lines(docs).orderBy("doc_id").collect()] == gone and 40 < sum(gone) < len(gone)
