@@ -6,8 +6,10 @@ class a word has its share of the class's counts over the whole training corpus
 each, and one for all words never seen), so probabilities of words sum to one.
 
 1. Words of the training texts are counted, all of them.
-2. Every partition trains the model on its texts, from the same start, and the parameters
-   are averaged, weighted by examples; the number of examples grows with the corpus.
+2. Texts are dealt to rounds and shards by a hash of their id and text; the number of shards
+   follows the corpus, not its partitions. In each round every shard trains the model on all
+   positions of its texts, from the averaged parameters of the round before; they are
+   averaged by positions. Every position of the training texts is an example once.
 3. Every text is scored in batches: context vectors times unit vectors, a softmax over all
    units. Counts of the most frequent words (a fixed number) are broadcast; the others are
    joined.
@@ -30,8 +32,8 @@ OWN_UNITS, CLASSES = 191, 64
 CONTEXT, SIZE, NOISE = 4, 16, 12
 #: Words whose counts are broadcast, of at most so many characters; the rest is joined.
 HEAD_WORDS, HEAD_CHARS = 262_144, 48
-#: Share of the positions of each training text that are examples.
-EXAMPLE_RATE = 1 / 16
+#: Rounds of training; positions of a shard in all rounds, and shards at most.
+ROUNDS, SHARD_TOKENS, MAX_SHARDS = 4, 1_000_000, 16_384
 _END, _SUFFIX = 0, 3
 _BATCH = 4096
 
@@ -92,13 +94,13 @@ class LogBilinear:
         self._steps = [np.full(p.shape, 1e-6, np.float32) for p in (self.q, self.r, self.c, self.b)]
 
     def parameters(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in (self.q, self.r, self.c, self.b)])
+        """All parameters and the sums of squares that scale their steps."""
+        return np.concatenate([p.ravel() for p in (self.q, self.r, self.c, self.b, *self._steps)])
 
     def load(self, flat: np.ndarray) -> "LogBilinear":
         at = 0
-        for name in ("q", "r", "c", "b"):
-            p = getattr(self, name)
-            setattr(self, name, flat[at:at + p.size].reshape(p.shape).astype(np.float32))
+        for p in (self.q, self.r, self.c, self.b, *self._steps):
+            p[...] = flat[at:at + p.size].reshape(p.shape)
             at += p.size
         return self
 
@@ -175,8 +177,47 @@ def count_words(docs: DataFrame, text: str, flush: int = 300_000) -> DataFrame:
     return docs.select(F.col(f"`{text}`").alias("t")).mapInArrow(run, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _train_round(encoded: DataFrame, shards: int, number: int, unit_n: np.ndarray, start) -> DataFrame:
+    """(i, x): parameters after a round over (key, units, shard), averaged by positions. A
+    shard is trained in the order of its keys, wherever its rows lie."""
+    def train(batches):
+        total, seen = np.zeros(len(start.value)), 0
+        shard, model, rng, held = None, None, None, []
+
+        def step():
+            if held:
+                flat = np.concatenate(held).astype(np.int32)
+                starts = np.cumsum([0] + [len(x) for x in held[:-1]])
+                held.clear()
+                order = rng.permutation(len(flat))
+                model.train(contexts(flat, starts, len(unit_n))[order], flat[order], rng)
+                return len(flat)
+            return 0
+
+        count = waiting = 0
+        for batch in batches:
+            for s, units in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if s != shard:
+                    if model is not None:
+                        count += step()
+                        total, seen = total + model.parameters().astype(np.float64) * count, seen + count
+                    shard, model, rng, count = s, LogBilinear(unit_n).load(start.value), np.random.default_rng([17, number, s]), 0
+                    waiting = 0
+                held.append(np.frombuffer(units.as_py(), np.uint8))
+                waiting += len(held[-1])
+                if waiting >= 100_000:
+                    count, waiting = count + step(), 0
+        if model is not None:
+            count += step()
+            total, seen = total + model.parameters().astype(np.float64) * count, seen + count
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total)), pa.int32()), pa.array(total), pa.array(np.full(len(total), seen), pa.int64())], names=["i", "x", "n"])
+
+    dealt = encoded.repartition(shards, "shard").sortWithinPartitions("shard", "key", "units").select("shard", "units")
+    return dealt.mapInArrow(train, "i int, x double, n bigint").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).orderBy("i")
+
+
 def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str = "text",
-                    head_words: int = HEAD_WORDS, example_rate: float = EXAMPLE_RATE) -> DataFrame:
+                    head_words: int = HEAD_WORDS, rounds: int = ROUNDS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row.
 
     Learns from the rows where held_out is false. Tokens are the words, A-Z lower-cased,
@@ -225,46 +266,27 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
         unit_n[r["u"]], unit_v[r["u"]] = r["n"], r["v"]
     unit_n[_END] = ends
 
+    shards = min(max(1, -(-n_all // shard_tokens)), MAX_SHARDS)
     shared = spark.sparkContext.broadcast((frequent, unit_n))
 
-    def train(batches):
-        frequent, unit_n = shared.value
-        u, model = Units(frequent), LogBilinear(unit_n)
-        rng, seen = np.random.default_rng(17), 0
-        ctx, target = [], []
-
-        def step():
-            nonlocal seen
-            c, t = np.concatenate(ctx), np.concatenate(target)
-            mixed = rng.permutation(len(t))
-            model.train(c[mixed], t[mixed], rng)
-            seen += len(t)
-            ctx.clear()
-            target.clear()
-
+    def encode(batches):
+        u = Units(shared.value[0])
         for batch in batches:
-            for t in batch.column(0):
-                ws = _tokens(t.as_py())
-                m = len(ws) + 1
-                at = np.flatnonzero(rng.random(m) < example_rate)
-                if not len(at):
-                    continue
-                before = at[:, None] - np.arange(0, CONTEXT + 1)[None, :]
-                ids = np.array([len(unit_n) if p < 0 else _END if p == m - 1 else u[ws[p]] for p in before.ravel().tolist()], np.int32).reshape(before.shape)
-                ctx.append(ids[:, 1:])
-                target.append(ids[:, 0])
-                if sum(map(len, target)) >= 100_000:
-                    step()
-        if target:
-            step()
-        if seen:
-            flat = model.parameters()
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat.astype(np.float64) * seen), pa.array(np.full(len(flat), seen), pa.int64())], names=["i", "x", "n"])
-
-    trained = training.select("text").mapInArrow(train, "i int, x double, n bigint").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).orderBy("i").toArrow()
+            for k in range(0, batch.num_rows, 64):
+                part = batch.slice(k, 64)
+                found = [u.of(_tokens(t)).astype(np.uint8).tobytes() for t in part.column(1).to_pylist()]    # 256 units
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["key", "units"])
+
+    key = F.xxhash64("id", F.xxhash64("text"))
+    encoded = training.select(key.alias("key"), "text").mapInArrow(encode, "key bigint, units binary")
+    encoded = materialize(encoded.select("key", "units", F.pmod("key", F.lit(rounds)).cast("int").alias("round"),
+                                         F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard")), "lm-units")
     model = LogBilinear(unit_n)
-    if trained.num_rows:
-        model.load(trained.column("x").to_numpy())
+    for number in range(rounds if ends else 0):
+        now = spark.sparkContext.broadcast(model.parameters())
+        trained = _train_round(encoded.filter(F.col("round") == number), shards, number, unit_n, now).toArrow()
+        if trained.num_rows:
+            model.load(trained.column("x").to_numpy())
 
     words_b = spark.sparkContext.broadcast((head_word, head_count, model, unit_n, unit_v))
     base_denominator = float(np.log10(n_all + v_all + 1))

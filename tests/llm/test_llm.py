@@ -420,3 +420,16 @@ def test_line_dedup_bound_grows_with_the_line(spark):
     gone = [any(a == b or max(len(a), len(b)) >= 5 and word_distance(a, b) <= max(len(a), len(b)) // 5 for b in lines[:i]) for i, a in enumerate(lines)]
     docs = docs_of(spark, [(i, " ".join(w)) for i, w in enumerate(lines)])
     assert [r.n_dropped == 1 for r in dedup_lines(docs).orderBy("doc_id").collect()] == gone and 40 < sum(gone) < len(gone)
+
+
+def test_lm_trains_on_every_position_however_partitioned(spark):
+    from gazette.llm.lm_score import score_documents
+    rnd = random.Random(3)
+    texts = [(i, " ".join("abcdefgh"[(k + at) % 8] for at in range(60))) for i in range(120) for k in [rnd.randrange(8)]]
+    docs = docs_of(spark, texts)
+    held = F.col("doc_id") % 6 == 0
+    got = [{r.doc_id: r for r in score_documents(docs.repartition(p), held, shard_tokens=3000).collect()} for p in (1, 9)]
+    assert all(math.isclose(got[0][i].score, got[1][i].score, rel_tol=1e-5) for i in got[0])
+    rows = [r for r in got[0].values() if r.held_out]
+    # each word follows from the one before
+    assert sum(r.score for r in rows) > 0.7 * sum(r.base_score for r in rows)
