@@ -19,13 +19,16 @@ from gazette.session import materialize
 
 MAX_FEATURES = 65_536
 MIN_COUNT = 3
+#: Words of more characters are taken in pieces of so many: as a whole each would be unique
+#: and unknown to the model.
+LONG_WORD, PIECE = 64, 16
 _SLOTS = 22
 
 
 def shape(word: str) -> str:
     """Letters as a, digits as 0, each run once; other characters as they are, runs cut to three."""
     out = []
-    for c in word[:64]:
+    for c in word:
         s = "a" if c.isalpha() else "0" if c.isdigit() else c
         if out and out[-1] == s and (s in "a0" or len(out) > 2 and out[-2] == out[-3] == s):
             continue
@@ -33,6 +36,13 @@ def shape(word: str) -> str:
     return "".join(out)
 
 
+def in_pieces(ws: list[str]) -> list[str]:
+    """The words, long ones cut into pieces."""
+    if not ws or max(map(len, ws)) <= LONG_WORD:
+        return ws
+    return [p for w in ws for p in ([w] if len(w) <= LONG_WORD else [w[k:k + PIECE] for k in range(0, len(w), PIECE)])]
+
+
 class _Shapes(dict):
     def __init__(self, hashes: WordHashes):
         super().__init__()
@@ -47,14 +57,14 @@ class _Shapes(dict):
 
 class NGrams:
     """Hashes of a text's n-grams: words (1, 2), shapes with repetition marked (1, 2, 3),
-    and binned marks of the whole text."""
+    and binned marks of the whole text. Long words are several, their pieces."""
 
     def __init__(self):
         self.hashes = WordHashes()
         self.shapes = _Shapes(self.hashes)
 
     def of(self, text: str | None) -> np.ndarray:
-        ws = words(lower_az(text or ""))
+        ws = in_pieces(words(lower_az(text or "")))
         n = len(ws)
         h = self.hashes.of(ws)
         s = np.fromiter(map(self.shapes.__getitem__, ws), np.uint64, n)

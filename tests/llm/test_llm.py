@@ -433,3 +433,17 @@ def test_lm_trains_on_every_position_however_partitioned(spark):
     rows = [r for r in got[0].values() if r.held_out]
     # each word follows from the one before
     assert sum(r.score for r in rows) > 0.7 * sum(r.base_score for r in rows)
+
+
+def test_quality_reads_long_words_whole(spark):
+    from gazette.llm.quality_nbsvm import NGrams, score_quality, shape
+    assert shape("ab," * 40) != shape("ab," * 40 + "1") and shape("x" * 500) == "a"
+    grams = [NGrams().of(("ab,c" * 16) + rest) for rest in ("de,f" * 100, "%%0;" * 100)]
+    assert set(grams[0].tolist()) != set(grams[1].tolist())
+    rnd = random.Random(9)
+    head = lambda: "".join(rnd.choices("abcdefgh,", k=64))
+    good, bad = (lambda: "".join(rnd.choices("abcdefgh,", k=400))), (lambda: "".join(rnd.choices("01<>{}=;", k=400)))
+    docs = docs_of(spark, [(i, head() + (good() if i % 2 else bad())) for i in range(200)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(150)], "doc_id bigint, quality int")
+    held = [r for r in score_quality(docs, labels, F.lit(True)).collect() if r.doc_id >= 150]
+    assert sum(r.predicted == r.doc_id % 2 for r in held) > 45
