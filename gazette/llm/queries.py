@@ -80,7 +80,26 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_links(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("fp")
 
 
-QUERIES = {f.__name__: f for f in (op1_lbl_score, op2_segment_topk, op3_line_dedup, op4_toxicity_fm, op5_url_rules, op6_crosspolytope_dedup, op7_quality_nbsvm, op8_bpe_roundtrip, op9_source_mix, op10_jaccard_join)}
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gazette.llm.token_align import align_documents
+    return align_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), groups=False)
+
+
+def op12_langid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gazette.llm.langid import predict_languages
+    from gazette.llm.words import crc_mod
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = predict_languages(docs, crc_mod("doc_id", 5) != 0)
+    return found.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gazette.llm.whitening import whiten
+    return whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+QUERIES = {f.__name__: f for f in (op1_lbl_score, op2_segment_topk, op3_line_dedup, op4_toxicity_fm, op5_url_rules, op6_crosspolytope_dedup, op7_quality_nbsvm, op8_bpe_roundtrip, op9_source_mix, op10_jaccard_join,
+                                   op11_token_align, op12_langid_backoff, op13_whitening)}
 
 ORACLES = {
     "op2_segment_topk": """
