@@ -29,15 +29,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from gazette.llm.bpe_prefix import byte_alphabet, vocabulary_bytes
-from gazette.session import materialize, spread
+from gazette.session import materialize
 
 DEFAULT_PIECES = "piece_bpe_32k.model"
 #: Steps of the merge in a piece.
 PIECE = 1 << 16
 #: Bytes of text in a chunk, but for a longer single text.
-CHUNK = 6 << 20
+CHUNK = 2 << 20
 #: Units and token ids that a worker remembers.
-UNITS, POOL = 300_000, 8_000_000
+UNITS, POOL = 200_000, 4_000_000
 
 #: A unit: white space and what follows up to the next blank, tab or line feed. Neither
 #: tokenizer has tokens across its border. White space of other kinds never parts units.
@@ -329,7 +329,7 @@ def align_documents(docs: DataFrame, text: str = "text", a_vocabulary: str | Non
     def two_in_one(done: _Texts) -> np.ndarray:
         return done.a[done.i].astype(np.int64) << 32 | done.b[done.j].astype(np.int64)
 
-    stage = materialize(spread(source).mapInArrow(run, schema), "align")
+    stage = materialize(source.mapInArrow(run, schema), "align")
     held = stage.filter("row IS NULL").select("chunk", F.posexplode(F.arrays_zip("pairs", "held")).alias("place", "x"))
     held = held.select("chunk", "place", F.col("x.pairs").alias("pair"), F.col("x.held").alias("held"))
     counted = materialize(held.groupBy("pair").agg(F.sum("held").alias("count")), "align-counts")
