@@ -60,9 +60,10 @@ def index_rows(published: DataFrame, run_ts_col: str = "run_ts", output_dir: str
 
 
 def latest_rows(published: DataFrame, output_dir: str = OUTPUT_DIR) -> DataFrame:
-    """K3: per niche, the newsletter of the latest run date (max_by, no sort)."""
+    """K3: per niche, the newsletter of the latest run date, of that day's last run (max_by, no sort)."""
     n = published.filter(F.col("kind") == "newsletter")
-    return n.groupBy("niche").agg(F.max_by(F.struct("run_date", "path", "body"), "run_date").alias("m")).select(
+    last = F.struct("run_date", *[c for c in ("run",) if c in n.columns], "path")
+    return n.groupBy("niche").agg(F.max_by(F.struct("run_date", "path", "body"), last).alias("m")).select(
         "niche", F.col("m.run_date").alias("run_date"), F.lit("latest").alias("kind"),
         F.concat(F.lit(output_dir + "/latest-"), safe_filename("niche"), F.lit(".md")).alias("path"),
         F.col("m.path").alias("target"), F.col("m.body").alias("body"))
@@ -122,9 +123,13 @@ def write_published(published: DataFrame, path: str, run: str = "run", fmt: str
      .partitionBy("niche", "run_date", "run").format(fmt).save(path))
 
 
-def current_files(published: DataFrame) -> DataFrame:
+def current_files(published: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """The files as they stand after all runs: of equal paths of an edition the last run's
-    body (equal names overwrite, other files stay)."""
+    body (equal names overwrite, other files stay). With the ledger's `runs` only
+    committed ones count. Run names begin with the padded run number, so the greatest name is the last run."""
+    if runs is not None:
+        from gazette.streaming.ledger import visible
+        published = visible(published, runs)
     last = published.groupBy(*EDITION, "path").agg(F.max_by(F.struct("kind", "body", "run"), "run").alias("f"))
     return last.select(*EDITION, "f.kind", "path", "f.body", "f.run")
 

@@ -1,7 +1,7 @@
 """Scheduled incremental runs (T1, T3, T4): each trigger of a file stream builds the
 editions of the new articles; seen state and published rows are tables in shared
-storage. Both are partitioned by the run (or micro-batch) that wrote them, so a retried
-run replaces its own output and no other run's; the seen state also by day, so a run
+storage. Both are partitioned by the attempt that wrote them and count once the ledger
+(`streaming/ledger.py`) has it; the seen state also by day, so a run
 reads the days inside the time to live alone."""
 
 from __future__ import annotations
@@ -15,13 +15,14 @@ from gazette import config as C
 from gazette.operators import dedup as D
 from gazette.operators.publish import write_published
 from gazette.session import materialize
+from gazette.streaming import ledger as L
 
 
 def seen_table(spark: SparkSession, path: str, run_ts: _dt.datetime | None = None, ttl_days: int = C.SEEN_TTL_DAYS,
-               other_than: str | None = None) -> DataFrame | None:
+               runs: DataFrame | None = None) -> DataFrame | None:
     """The seen state, or nothing when it does not exist yet (any other error is
-    raised). With run_ts only the days inside the time to live are read; rows of the run
-    `other_than` (a retry's own) are left out."""
+    raised). With run_ts only the days inside the time to live are read; with the ledger's
+    `runs` only what committed runs have marked."""
     try:
         seen = spark.read.schema("article_hash string, title string, seen_at timestamp, seen_date date, run string").parquet(path)
     except AnalysisException as e:
@@ -30,8 +31,8 @@ def seen_table(spark: SparkSession, path: str, run_ts: _dt.datetime | None = Non
         raise
     if run_ts is not None:
         seen = seen.filter(F.col("seen_date") >= F.lit((run_ts - _dt.timedelta(days=ttl_days)).date()))
-    if other_than is not None:
-        seen = seen.filter(F.col("run") != other_than)
+    if runs is not None:
+        seen = L.visible(seen, runs)
     return seen.select("article_hash", "title", "seen_at")
 
 
@@ -41,19 +42,29 @@ def write_seen(rows: DataFrame, path: str, run: str) -> None:
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("seen_date", "run").parquet(path))
 
 
+def _query_id(spark: SparkSession) -> str | None:
+    """Id of the streaming query whose micro-batch runs; it stays over restarts."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def make_batch_fn(seen_path: str, out_path: str, run_ts: _dt.datetime, build,
-                  ttl_days: int = C.SEEN_TTL_DAYS):
+                  ttl_days: int = C.SEEN_TTL_DAYS, stream: str | None = None):
     """foreachBatch body: dedup against the live seen state (J3 + W1), build the edition
-    rows with `build(articles) -> DataFrame[niche, run_date, ...]`, write them, then
-    commit the accepted hashes (K5: only after the edition is written)."""
+    rows with `build(articles) -> DataFrame[niche, run_date, ...]`, write them and the
+    accepted hashes (K5), then commit both as one run of the ledger next to out_path. An epoch that
+    is committed already (of the same query, or of `stream`) is left alone, so a repeated micro-batch changes nothing."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        name = f"{run_ts:%Y-%m-%dT%H-%M-%S}-batch-{int(epoch_id)}"
-        seen = seen_table(spark, seen_path, run_ts, ttl_days, other_than=name)
+        name = stream or _query_id(spark) or f"{run_ts:%Y-%m-%dT%H-%M-%S}"
+        attempt = L.begin(spark, out_path, run_ts, name, epoch_id)
+        if attempt is None:
+            return
+        seen = seen_table(spark, seen_path, run_ts, ttl_days, runs=L.committed(spark, out_path))
         # written once: what is published and what is marked seen are the same rows
         fresh = materialize(D.deduplicate(batch, seen, run_ts, ttl_days), "batch-articles")
-        write_published(build(fresh), out_path, name)
-        write_seen(D.seen_update(fresh, None, run_ts), seen_path, name)
+        write_published(build(fresh), out_path, attempt.name)
+        write_seen(D.seen_update(fresh, None, run_ts), seen_path, attempt.name)
+        L.commit(spark, out_path, attempt)
     return run
 
 
