@@ -102,22 +102,36 @@ def _chain_rounds(span_seconds: float, ttl_seconds: float) -> int:
     return max(1, int(span_seconds // ttl_seconds).bit_length())
 
 
+def ttl_nodes(events: DataFrame, keys, ts: str = "ts", id_col: str = "event_id") -> DataFrame:
+    """(k, t, eid, us): the distinct (key, ts), pre-aggregated map-side; the lowest id at a
+    timestamp is the row kept. The key is one struct so that joins are null-safe."""
+    return (events.select(F.struct(*keys).alias("k"), F.col(ts).alias("t"), F.col(id_col).alias("eid"))
+            .groupBy("k", "t").agg(F.min("eid").alias("eid"))
+            .withColumn("us", F.unix_micros(F.col("t").cast("timestamp"))))
+
+
+def ttl_rows(accepted: DataFrame, keys, ts: str, id_col: str) -> DataFrame:
+    """Accepted nodes as rows of the events' columns."""
+    return accepted.select(F.col("eid").alias(id_col), *[F.col(f"k.{c}").alias(c) for c in keys], F.col("t").alias(ts))
+
+
 def ttl_dedup(events: DataFrame, keys, ts: str = "ts", id_col: str = "event_id",
               ttl_days: int = C.SEEN_TTL_DAYS, slice_seconds: int = 3600,
               checkpoint: bool = True) -> DataFrame:
     """Rows of `events` accepted under an exact TTL per key (first row always kept)."""
-    keys = list(keys)
-    ttl_us = int(ttl_days) * 86400 * 1_000_000
-    slice_us = int(slice_seconds) * 1_000_000
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    # 1. nodes: distinct (key, ts), pre-aggregated map-side; the lowest id at a
-    #    timestamp is the row kept. The key is one struct so that joins are null-safe.
     from gazette.session import materialize
-    nodes = (events.select(F.struct(*keys).alias("k"), F.col(ts).alias("t"), F.col(id_col).alias("eid"))
-             .groupBy("k", "t").agg(F.min("eid").alias("eid"))
-             .withColumn("us", micros("t")))
-    if checkpoint:            # five consumers below: aggregate the events once
+    nodes = ttl_nodes(events, list(keys), ts, id_col)
+    if checkpoint:            # six consumers: aggregate the events once
         nodes = materialize(nodes, "ttl-nodes")
+    return ttl_rows(ttl_chain(nodes, ttl_days, slice_seconds, checkpoint), list(keys), ts, id_col)
+
+
+def ttl_chain(nodes: DataFrame, ttl_days: int = C.SEEN_TTL_DAYS, slice_seconds: int = 3600, checkpoint: bool = True) -> DataFrame:
+    """The nodes accepted when each key's first node is."""
+    from gazette.session import materialize
+    ttl_us = int(ttl_days) * 86400 * 1_000_000
+    slice_us = int(slice_seconds) * 1_000_000
+    # 1. nodes: see ttl_nodes
     # 2. nxt(e) = first node at or after e + ttl. Probes are matched inside their time
     #    slice by a running min over descending time (nodes sort before probes at ties)...
     node_rows = nodes.select("k", F.col("us").alias("at"), F.col("us").alias("node_us"),
@@ -147,8 +161,8 @@ def ttl_dedup(events: DataFrame, keys, ts: str = "ts", id_col: str = "event_id",
     #    J(r+1) = J(r)∘J(r) are written once each (a self-join per level); after round r
     #    (0-based) the reached set holds every chain node fewer than 2^(r+1) steps away.
     #    Chain nodes at different distances are different rows, so no distinct is needed.
-    span = events.agg(F.min(F.col(ts)).alias("a"), F.max(F.col(ts)).alias("b")).first()
-    rounds = 1 if span["a"] is None else _chain_rounds((span["b"] - span["a"]).total_seconds(), ttl_us / 1e6)
+    span = nodes.agg(F.min("us").alias("a"), F.max("us").alias("b")).first()
+    rounds = 1 if span["a"] is None else _chain_rounds((span["b"] - span["a"]) / 1e6, ttl_us / 1e6)
     if checkpoint:
         jump = materialize(jump, "ttl-jump")
     reached = nodes.groupBy("k").agg(F.min("us").alias("src"))
@@ -163,6 +177,4 @@ def ttl_dedup(events: DataFrame, keys, ts: str = "ts", id_col: str = "event_id",
                     .select(F.col("a.k"), F.col("a.src"), F.col("b.dst")))
             if checkpoint:
                 jump = materialize(jump, "ttl-jump")
-    accepted = nodes.join(reached.withColumnRenamed("src", "us"), ["k", "us"], "left_semi")
-    return accepted.select(F.col("eid").alias(id_col), *[F.col(f"k.{c}").alias(c) for c in keys],
-                           F.col("t").alias(ts))
+    return nodes.join(reached.withColumnRenamed("src", "us"), ["k", "us"], "left_semi")
