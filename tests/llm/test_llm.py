@@ -402,7 +402,7 @@ def word_distance(a, b):
     return row[-1]
 
 
-def test_line_dedup_bound_grows_with_the_line(spark):
+def test_line_dedup_with_a_bound_that_grows_with_the_line(spark):
     from gazette.llm.line_dedup import dedup_lines
     rnd = random.Random(8)
     lines = []
@@ -419,7 +419,24 @@ def test_line_dedup_bound_grows_with_the_line(spark):
     rnd.shuffle(lines)
     gone = [any(a == b or max(len(a), len(b)) >= 5 and word_distance(a, b) <= max(len(a), len(b)) // 5 for b in lines[:i]) for i, a in enumerate(lines)]
     docs = docs_of(spark, [(i, " ".join(w)) for i, w in enumerate(lines)])
-    assert [r.n_dropped == 1 for r in dedup_lines(docs).orderBy("doc_id").collect()] == gone and 40 < sum(gone) < len(gone)
+    assert [r.n_dropped == 1 for r in dedup_lines(docs, words_per_edit=5).orderBy("doc_id").collect()] == gone and 40 < sum(gone) < len(gone)
+    one = [any(a == b or max(len(a), len(b)) >= 5 and word_distance(a, b) <= 1 for b in lines[:i]) for i, a in enumerate(lines)]
+    assert [r.n_dropped == 1 for r in dedup_lines(docs).orderBy("doc_id").collect()] == one and 10 < sum(one) < sum(gone)
+
+
+def test_line_dedup_of_a_hot_half_and_a_very_long_line(spark):
+    """20,000 lines that share a half are aggregated by key, never paired; one line of 20,000
+    words is near its copy with a word more."""
+    import time
+    from gazette.llm.line_dedup import dedup_lines
+    head = " ".join("h%d" % i for i in range(8))
+    lines = ["%s a%d b%d c%d" % (head, i, i * 7 % 9973, i) for i in range(20_000)]
+    lines[777] = lines[5] + " more"
+    wide = " ".join("w%d" % i for i in range(20_000))
+    docs = docs_of(spark, [(0, "\n".join(lines[:10_000])), (1, "\n".join(lines[10_000:])), (2, wide), (3, wide + " end")])
+    t = time.time()
+    got = {r.doc_id: r.n_dropped for r in dedup_lines(docs).collect()}
+    assert got == {0: 1, 1: 0, 2: 0, 3: 1} and time.time() - t < 120
 
 
 def test_lm_trains_on_every_position_however_partitioned(spark):
