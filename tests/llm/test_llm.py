@@ -464,3 +464,25 @@ def test_quality_reads_long_words_whole(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(150)], "doc_id bigint, quality int")
     held = [r for r in score_quality(docs, labels, F.lit(True)).collect() if r.doc_id >= 150]
     assert sum(r.predicted == r.doc_id % 2 for r in held) > 45
+
+
+def test_labelled_sample_is_bounded_under_repeated_ids(spark):
+    from gazette.llm.labelled import labelled_rows
+    docs = spark.range(5000).selectExpr("id % 20 AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(20).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality")
+    got = labelled_rows(docs, labels, "quality", F.lit(True), max_rows=10).collect()
+    assert len(got) == 10
+    again = labelled_rows(docs.orderBy("text"), labels, "quality", F.lit(True), max_rows=10).collect()
+    assert sorted(got) == sorted(again)
+
+
+def test_pipeline_stages_keep_clashing_columns_and_take_empty_tables(spark, tmp_path):
+    import corpus_pipeline as P
+    texts = [(i, "plain words of document %d that people wrote down here\nand a second line %d follows" % (i, i)) for i in range(30)]
+    docs = docs_of(spark, texts + [(30, None), (31, "")]).withColumn("score", F.lit("mine")).withColumn("n_lines", F.lit(-1)).withColumn("n_dropped", F.col("doc_id"))
+    spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for stage in (P.quality, P.line_dedup):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        assert all(r.score == "mine" and r.n_lines == -1 and r.n_dropped == r.doc_id for r in out.collect())
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
