@@ -17,21 +17,31 @@ from gazette.llm.words import crc_mod
 from gazette.session import materialize, prepare, read_table
 
 
+def _apart(docs: DataFrame, *made: str) -> tuple[DataFrame, dict]:
+    """docs with columns named like those a stage makes under other names, and the way back."""
+    names = {c: f"_own_{c}" for c in docs.columns if c in made}
+    return docs.withColumnsRenamed(names), {new: old for old, new in names.items()}
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects (score below 0.5) go."""
+    """Documents that the classifier rejects (score below 0.5) go. Null and empty texts are
+    scored like any other; repeated rows stay or go together; columns named score or predicted pass."""
     prepare(spark)
-    scored = score_quality(docs, read_table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
-    return scored.filter("predicted = 1").select(*docs.columns)
+    own, back = _apart(docs, "score", "predicted")
+    scored = score_quality(own, read_table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
+    return scored.filter("predicted = 1").select(*own.columns).withColumnsRenamed(back)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier line makes redundant go; documents of which nothing is left
-    go with them. n_chars follows the text."""
+    go with them. n_chars follows the text. Null and empty texts stay; rows that repeat an id
+    and text are treated alike; columns named n_lines or n_dropped pass."""
     prepare(spark)
+    docs, back = _apart(docs, "n_lines", "n_dropped")
     out = dedup_lines(docs).filter("n_dropped = 0 OR n_dropped < n_lines")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*docs.columns).withColumnsRenamed(back)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
