@@ -30,10 +30,17 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings every job relies on; safe to call repeatedly on any session."""
     # All timestamps are UTC wall-clock values (feed dates are converted to UTC).
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Rows hold whole texts: Spark's default of 10,000 in one Arrow batch is too many to
+    # hold in the JVM and the worker of every task at once. Another setting stays.
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "1000")
     ship_package(spark)
     return spark
 
