@@ -246,17 +246,19 @@ class PrefixBpe:
         return self.decode_joined(",".join(map(str, ids)))
 
 
-@lru_cache(maxsize=2)
-def _coder(raw: bytes) -> PrefixBpe:
-    return PrefixBpe(raw)
+@lru_cache(maxsize=1)
+def _coder(raw: bytes, cache: int) -> PrefixBpe:
+    return PrefixBpe(raw, cache, cache)
 
 
 def encode_documents(docs: DataFrame, text: str = "text", vocabulary: str | None = None,
-                     ids: bool = True, decoded: bool = True) -> DataFrame:
+                     ids: bool = True, decoded: bool = True, cache: int = 250_000) -> DataFrame:
     """Adds `ids` (array<int>), `n_tokens`, and `decoded` (the text decoded from these
     ids) to `docs`; with ids=False or decoded=False only their sha256 (`ids_sha256` of the
     decimal ids joined by commas, `decoded_sha256` of the UTF-8 text).
 
+    A worker remembers up to 2 * cache pieces and cache pairs of tokens.
+
     Null and empty texts have no ids and decode to the empty text. Texts of any length are
     encoded whole. All other columns pass unchanged; columns of `docs` named like an output
     column are replaced. Repeated rows give repeated results.
@@ -271,7 +273,7 @@ def encode_documents(docs: DataFrame, text: str = "text", vocabulary: str | None
     sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
 
     def run(batches):
-        coder = _coder(raw.value)
+        coder = _coder(raw.value, cache)
         for whole in batches:
             for k in range(0, whole.num_rows, 128):          # ids of few rows at a time stay in memory
                 batch = whole.slice(k, 128)
