@@ -45,7 +45,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id."""
+    """One document of each group of near-duplicates stays, the one with the smallest id; see
+    `jaccard_join` for nulls, short texts, ties and repeated rows."""
     prepare(spark)
     return keep_one_of_each_group(docs)
 
@@ -59,7 +60,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as token ids, with the hash of the text that these ids decode to."""
     prepare(spark)
-    return encode_documents(docs, ids=True, decoded=False).drop("text")
+    return encode_documents(docs, ids=True, decoded=False, cache=80_000).drop("text")
 
 
 STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mix", mix), ("bpe", bpe)]
