@@ -26,7 +26,7 @@ from gazette.streaming.runs import seen_table, write_seen
 def run_digest(articles: DataFrame, out_path: str, seen_path: str, run_ts: _dt.datetime = C.DEFAULT_RUN_TS,
                run_cap: int = C.DEFAULT_RUN_CAP, responses: DataFrame | None = None,
                ttl_days: int = C.SEEN_TTL_DAYS, mark: str = "ingested", channels: dict | None = None,
-               newsletter_url: str | None = None) -> DataFrame:
+               newsletter_url: str | None = None, layout: str = "plain", metadata: dict | None = None) -> DataFrame:
     """Build and write every edition of `articles` (canonical article rows, e.g. a
     union of web, feed and document articles). Returns the run metrics per edition.
 
@@ -34,12 +34,15 @@ def run_digest(articles: DataFrame, out_path: str, seen_path: str, run_ts: _dt.d
     (K5: the seen state with the editions it stands for): the published files of the Markdown channel
     (`publish.current_files` has the last body of every path, K1), and next to them
     `-posts` (K8, channel social), `-routes` (K7, channel site) and `-metrics` (K6). `channels` maps
-    names to on or off (default: Markdown only, P9). A run repeated after a crash
+    names to on or off (default: Markdown only, P9); `layout` is 'plain' (F30) or 'full' (F31, with its
+    `metadata`). A run repeated after a crash
     starts anew; repeated after success it finds its articles seen, so another run with the same
     run_ts adds what has landed since. mark='ingested' records every new article, also
     those cut by the cap (L1); 'summarized' records only the articles of the editions."""
     if mark not in ("ingested", "summarized"):
         raise ValueError("mark is 'ingested' or 'summarized'")
+    if layout not in ("plain", "full"):
+        raise ValueError("layout is 'plain' or 'full'")
     if run_cap is None or run_cap <= 0:
         raise ValueError("a digest run needs a positive run cap (max_articles_per_run)")
     on = {"markdown": True, "social": False, "site": False} | (channels or {})
@@ -56,7 +59,8 @@ def run_digest(articles: DataFrame, out_path: str, seen_path: str, run_ts: _dt.d
         paired = Z.pairs(capped, Z.summarize(capped, responses))
     paired = materialize(paired.withColumn("run_ts", run_ts_lit(run_ts)), "run-pairs")
     editions = materialize(E.assemble(paired).withColumn("run_ts", run_ts_lit(run_ts)), "run-editions")
-    files = PB.newsletter_rows(R.newsletter_plain(editions, paired)).unionByName(
+    letters = R.newsletter_plain(editions, paired) if layout == "plain" else R.newsletter_full(editions, paired, metadata)
+    files = PB.newsletter_rows(letters).unionByName(
         PB.article_rows(R.article_page(paired)))
     files = materialize(files if on["markdown"] else files.limit(0), "run-files")
     index = PB.index_rows(files.join(editions.select(*S.EDITION, "run_ts"), list(S.EDITION)))

@@ -96,9 +96,15 @@ def newsletter_plain(editions: DataFrame, paired: DataFrame, run_ts_col: str = "
     return e.withColumn("body", body)
 
 
+#: Contents of the long layout: its sections with the anchors that Markdown gives headings.
+_FULL_SECTIONS = ("Today's Highlights", "Top Stories", "Trending Topics", "Industry Insights", "Quick Reads", "About This Newsletter")
+_FULL_CONTENTS = "## Table of Contents\n\n" + "".join(
+    f"{i}. [{h}](#{h.lower().replace(chr(39), '').replace(' ', '-')})\n" for i, h in enumerate(_FULL_SECTIONS, 1)) + "\n---\n\n"
+
+
 def newsletter_full(editions: DataFrame, paired: DataFrame, metadata: dict | None = None,
                     run_ts_col: str = "run_ts", generator: str = GENERATOR) -> DataFrame:
-    """the long layout (highlights, stories, trending topics, insights, quick reads
+    """the long layout (contents, highlights, stories, trending topics, insights, quick reads
     O5, statistics A7-A9, every article, about). Metadata defaults through F36; social
     links are a map rendered with title-cased names (F37, F38)."""
     md = dict(metadata or {})
@@ -134,7 +140,7 @@ def newsletter_full(editions: DataFrame, paired: DataFrame, metadata: dict | Non
         F.lit("- ["), F.initcap(kv["key"]), F.lit("]("), kv["value"], F.lit(")\n"))), "") if social_map is not None else F.lit(""))
     body = F.concat(
         F.lit("# "), _s("title"), F.lit("\n\n*"), long_date(run_ts_col), F.lit(" • Issue #"), issue, F.lit("*\n\n---\n\n"),
-        F.lit("## Today's Highlights\n\n"), _s("introduction"), F.lit("\n\n**Today's Coverage:** "),
+        F.lit(_FULL_CONTENTS), F.lit("## Today's Highlights\n\n"), _s("introduction"), F.lit("\n\n**Today's Coverage:** "),
         F.col("articles_count").cast("string"), F.lit(" articles analyzed from "), sources_count, F.lit(" sources\n\n---\n\n"),
         F.lit("## Top Stories\n\n"), F.array_join(F.transform("top_stories", lambda s, i: F.concat(
             F.lit("### "), (i + 1).cast("string"), F.lit(". "), _s(s["title"]), F.lit("\n\n*Source: ["), _s(s["source"]),

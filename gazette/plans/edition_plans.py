@@ -224,6 +224,51 @@ def q_newsletter_markdown(spark, sf):
     return normalise(R.newsletter_plain(e, p).select("niche", "body"))
 
 
+# F31, F36-F38, O5, A7-A9 (the long layout) ---------------------------------------------------------------------
+FULL_METADATA = {"issue_number": 1, "frequency": "daily", "publish_time": "9:00 AM",
+                 "social_links": {"mastodon": "https://example.org/@digest", "rss": "https://example.org/feed.xml"}}
+
+_FULL_CTES = SECTIONS_CTE + f""",
+quick AS (SELECT niche, run_date, string_agg({NL} || '**[' || title || '](' || source_url || ')**  ' || {NL} || '*' || source_name || '* • ' || short_summary || {lit(chr(10) * 2)},
+                 '' ORDER BY rn) AS quick FROM pairs WHERE rn BETWEEN 6 AND 10 GROUP BY ALL),
+det AS (SELECT niche, run_date, string_agg({lit(chr(10) + '<details>' + chr(10) + '<summary><strong>')} || title || '</strong> - ' || source_name ||
+               {lit('</summary>' + chr(10) * 2 + '**URL:** [')} || source_url || '](' || source_url || ')  ' || {NL} ||
+               {_opt("coalesce(author, '') <> ''", "'**Author:** ' || author || '  '")} || {NL} ||
+               {_opt("coalesce(date_iso, '') <> ''", "'**Date:** ' || date_iso || '  '")} || {lit(chr(10) * 2)} || '**Summary:** ' || short_summary || {lit(chr(10) * 2)} ||
+               {_opt("coalesce(detailed_summary, '') <> ''", lit('**Detailed Summary:**' + chr(10)) + ' || detailed_summary || ' + lit(chr(10) * 2))} ||
+               {_opt('len(key_insights) > 0', lit('**Key Insights:**' + chr(10)) + ' || ' + _bullets('key_insights') + ' || ' + NL)} ||
+               {_opt('len(tags) > 0', lit('**Tags:** ') + " || array_to_string(tags, ', ') || " + NL)} || {lit(chr(10) + '</details>' + chr(10) * 2)}, '' ORDER BY rn) AS details
+        FROM sec GROUP BY ALL)"""
+_FULL_STORY_SQL = (f"array_to_string(list_transform(top_stories, lambda s, i: '### ' || CAST(i AS VARCHAR) || '. ' || s.title || {lit(chr(10) * 2 + '*Source: [')} || s.source || "
+                   f"'](' || s.url || {lit(')*' + chr(10) * 2)} || s.summary || {lit(chr(10) * 2)} || "
+                   f"{_opt('len(s.key_insights) > 0', lit('**Key Takeaways:**' + chr(10)) + ' || ' + _bullets('s.key_insights') + ' || ' + NL)} || "
+                   f"'[Read full article →](' || s.url || {lit(')' + chr(10) * 2 + '---' + chr(10))}), '')")
+FULL_SQL = " || ".join([
+    "'# ' || title", lit("\n\n*"), DATE_LONG, lit(" • Issue #1*\n\n---\n\n## Table of Contents\n\n1. [Today's Highlights](#todays-highlights)\n2. [Top Stories](#top-stories)\n"
+        "3. [Trending Topics](#trending-topics)\n4. [Industry Insights](#industry-insights)\n5. [Quick Reads](#quick-reads)\n6. [About This Newsletter](#about-this-newsletter)\n\n"
+        "---\n\n## Today's Highlights\n\n"),
+    "introduction", lit("\n\n**Today's Coverage:** "), "CAST(articles_count AS VARCHAR)", "' articles analyzed from '", "CAST(sources_count AS VARCHAR)", lit(" sources\n\n---\n\n## Top Stories\n\n"),
+    _FULL_STORY_SQL, lit("\n## Trending Topics\n\n"),
+    f"CASE WHEN len(trends) > 0 THEN {lit(chr(84) + 'oday' + chr(39) + 's analysis reveals these emerging trends in the ')} || niche || {lit(' industry:' + chr(10) * 2)} || "
+    f"array_to_string(list_transform(trends, lambda t: '- **' || t || '**' || {NL}), '') ELSE {lit('*No significant trends detected in today' + chr(39) + 's coverage.*' + chr(10))} END",
+    lit("\n---\n\n## Industry Insights\n\n"), "insights", lit("\n\n---\n\n## Quick Reads\n\n*More stories from today's "), "niche", lit(" news:*\n"), "coalesce(quick, '')",
+    lit("\n---\n\n## Today's Statistics\n\n- **Articles Analyzed:** "), "CAST(articles_count AS VARCHAR)", lit("\n- **Top Sources:** "), "array_to_string(top_sources, ', ')",
+    lit("\n- **Most Common Topics:** "), "array_to_string(top_tags, ', ')", lit("\n\n---\n\n## Browse All Articles\n"), "coalesce(details, '')",
+    lit("\n---\n\n## About This Newsletter\n\nThis "), "niche",
+    lit(" news digest is generated automatically from the latest articles of its sources.\n\n### Update Frequency\nNew issues are published daily at 9:00 AM UTC.\n\n### Subscribe\n"
+        "Stay tuned for subscription options coming soon!\n\n### Connect With Us\n- [Mastodon](https://example.org/@digest)\n- [Rss](https://example.org/feed.xml)\n\n### Feedback\n"
+        "Have suggestions or feedback? We'd love to hear from you!\n\n---\n\n*This newsletter was generated automatically by gazette on "), DATE_LONG_TIME, lit(" UTC.*\n")])
+
+
+@register("newsletter_full", edition_sql(f"""
+SELECT niche, body, length(body) AS body_chars FROM (
+  SELECT niche, {FULL_SQL} AS body FROM ed LEFT JOIN quick USING (niche, run_date) LEFT JOIN det USING (niche, run_date)) q""", _FULL_CTES))
+def q_newsletter_full(spark, sf):
+    """The long layout for every edition (first 20 articles each)."""
+    e, p = editions(spark, sf)
+    return normalise(R.newsletter_full(e, p, FULL_METADATA).select("niche", "body", F.length("body").alias("body_chars")))
+
+
 # F19, F20, F6 (part names and document titles) --------------------------------------------------------------
 def _safe_sql(x):
     removed = "regexp_replace(" + x + ", '[<>:\"/\\\\|?*]', '', 'g')"

@@ -1,6 +1,5 @@
 """Registered queries that run Structured Streaming jobs over the landed tables
-(one availableNow trigger into a sink under the shared checkpoint folder), and the
-long newsletter layout (compared by rows; its sections are checked in tests)."""
+(availableNow triggers into sinks under the shared checkpoint folder)."""
 
 from __future__ import annotations
 
@@ -81,14 +80,3 @@ def q_emerging_topics_stream(spark, sf):
         q = start_emerging(_events_stream(spark, sf), "ts", "event_type", base + "/out", base + "/checkpoint")
     q.awaitTermination()
     return normalise(emerging_rows(spark, base + "/out"))
-
-
-@register("newsletter_full")
-def q_newsletter_full(spark, sf):
-    """The long layout for every edition (first 20 articles each)."""
-    from gazette.operators import render as R
-    from gazette.plans.edition_plans import editions
-    e, p = editions(spark, sf)
-    md = {"issue_number": 1, "frequency": "daily", "publish_time": "9:00 AM",
-          "social_links": {"mastodon": "https://example.org/@digest", "rss": "https://example.org/feed.xml"}}
-    return normalise(R.newsletter_full(e, p, md).select("niche", "body", F.length("body").alias("body_chars")))
