@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("gazette.plans.dedup_plans", "gazette.plans.page_plans", "gazette.plans.feed_plans", "gazette.plans.digest_plans", "gazette.plans.edition_plans", "gazette.plans.text_plans", "gazette.plans.stream_plans", "gazette.plans.run_plans")
+_MODULES = ("gazette.plans.dedup_plans", "gazette.plans.page_plans", "gazette.plans.feed_plans", "gazette.plans.digest_plans", "gazette.plans.edition_plans", "gazette.plans.text_plans", "gazette.plans.stream_plans", "gazette.plans.run_plans", "gazette.plans.hook_plans")
 
 
 def _collect(attr):
