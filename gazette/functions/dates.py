@@ -42,7 +42,7 @@ def _try(s: Column, pattern: str, shape: str | None = None) -> Column:
 
 def parse_web_date(c) -> Column:
     """F8: first of the seven formats that parses the stripped text, else null."""
-    s = strip_ws(c)
+    s = F.regexp_replace(strip_ws(c), r"\s+", " ")          # blanks inside match any run of them
     return F.when(F.coalesce(s, F.lit("")) != "",
                   F.coalesce(*[_try(s, p, shape) for p, shape in zip(WEB_PATTERNS, _WEB_SHAPES)]))
 
@@ -51,11 +51,12 @@ def parse_feed_date(*candidates) -> Column:
     """the first candidate (published, updated, created, pubDate) that parses."""
     outs = []
     for c in candidates:
-        s = strip_ws(c)
+        s = F.regexp_replace(strip_ws(c), r"\s+", " ")
         rfc = F.regexp_replace(s, r"^[A-Za-z]{3,9},\s*", "")
         for zone, offset in ZONE_OFFSETS:
             rfc = F.regexp_replace(rfc, rf"\s{zone}$", f" {offset}")
-        rfc = F.regexp_replace(rfc, r"^(\d+\s+[A-Za-z]+\s+)(\d\d)(\s)", "$120$2$3")      # two-digit years: 20..
+        rfc = F.regexp_replace(rfc, r"^(\d+\s+[A-Za-z]+\s+)(?=(?:69|[7-9]\d)(?:\s|$))", "$119")      # two-digit years: 69 and up 19..
+        rfc = F.regexp_replace(rfc, r"^(\d+\s+[A-Za-z]+\s+)(?=\d\d(?:\s|$))", "$120")             # ... below 20..
         outs.append(F.coalesce(*[_try(rfc, p, _FEED_SHAPE) for p in FEED_PATTERNS],
                                _try(rfc, "d MMM yyyy", _DAY_SHAPE), _try(s, "MMMM d, yyyy H:m", _LONG_SHAPE), F.try_to_timestamp(s)))
     return F.coalesce(*outs)

@@ -202,7 +202,7 @@ def term_weights(sents: DataFrame, corpus: DataFrame | None = None, key: str = "
     if corpus is None:
         ctf, corpus = tf, sents
     else:
-        ctf = _tokens(corpus, key).select(key, *EDITION, "term").distinct()
+        ctf = _tokens(corpus, "article_id").select("article_id", *EDITION, "term").distinct()
     n = corpus.groupBy(*EDITION).agg(F.count("*").alias("n"))
     df = (ctf.groupBy(*EDITION, "term").agg(F.count("*").alias("df"))
           .join(n, list(EDITION)).filter(F.col("df") * 2 <= F.col("n")))
@@ -233,8 +233,6 @@ def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None,
     if "aid" not in sents.columns and materialize:
         sents = _mat(sents.withColumn("aid", F.monotonically_increasing_id()), "sentences")
     key = "aid" if "aid" in sents.columns else "article_id"   # a surrogate only once written
-    if corpus is not None and key == "aid":
-        corpus = corpus.withColumn("aid", F.monotonically_increasing_id())
     insights = "insights" in parts
     weights = term_weights(sents, corpus, key=key, positions=insights)
     if materialize and insights:      # read by the tag and the sentence branches

@@ -22,11 +22,12 @@ from gazette.sources.documents import KIND_RANK, finish_articles, run_ts_lit
 
 _ITEM = ("title: STRING, link: STRING, description: STRING, `content:encoded`: STRING, summary: STRING, "
          "author: STRING, `dc:creator`: STRING, pubDate: STRING, published: STRING, updated: STRING, "
-         "created: STRING")
+         "created: STRING, `dc:date`: STRING, guid: STRUCT<_VALUE: STRING, _isPermaLink: STRING>")
 _ENTRY = ("title: STRING, link: ARRAY<STRUCT<_href: STRING, _rel: STRING>>, "
-          "content: STRUCT<_VALUE: STRING, _type: STRING>, summary: STRUCT<_VALUE: STRING, _type: STRING>, "
+          "content: STRING, summary: STRING, "      # text, or of type xhtml the elements as they stand
           "author: ARRAY<STRUCT<name: STRING>>, published: STRING, updated: STRING, created: STRING")
-FEED_SCHEMA = f"channel STRUCT<title: STRING, item: ARRAY<STRUCT<{_ITEM}>>>, entry ARRAY<STRUCT<{_ENTRY}>>"
+# RSS 0.9x and 2.0 items are in the channel, those of RSS 1.0 next to it.
+FEED_SCHEMA = f"channel STRUCT<title: STRING, item: ARRAY<STRUCT<{_ITEM}>>>, item ARRAY<STRUCT<{_ITEM}>>, entry ARRAY<STRUCT<{_ENTRY}>>"
 XML_OPTIONS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
 
 
@@ -99,25 +100,28 @@ def _entry(**cols) -> F.Column:
 
 def feed_entries(raw: DataFrame) -> DataFrame:
     """One row per entry of each valid feed, with its position (item_pos, 0-based)
-    and the raw fields. RSS items and Atom entries map to one struct shape, so a feed
-    is parsed once and exploded once."""
+    and the raw fields. RSS 2.0 and 1.0 items and Atom entries map to one struct shape, so a feed
+    is parsed once and exploded once. An item without a link has its guid's, if that is a permanent one."""
     x = raw.filter(feed_valid()).withColumn("_x", F.from_xml("body", FEED_SCHEMA, XML_OPTIONS))
     keep = [c for c in raw.columns if c not in ("body", "content_type")]
-    rss = F.transform("_x.channel.item", lambda it: _entry(
-        title=it["title"], link=it["link"], content_encoded=it["content:encoded"],
-        description=it["description"], summary=it["summary"],
-        author=F.coalesce(it["author"], it["dc:creator"]), published=it["published"],
-        updated=it["updated"], created=it["created"], pub_date=it["pubDate"]))
+    def rss_entry(it):
+        guid = F.when((F.lower(F.coalesce(it["guid"]["_isPermaLink"], F.lit("true"))) == "true") & it["guid"]["_VALUE"].contains("://"), it["guid"]["_VALUE"])
+        return _entry(
+            title=it["title"], link=F.coalesce(F.when(nonblank(it["link"]), it["link"]), guid), content_encoded=it["content:encoded"],
+            description=it["description"], summary=it["summary"],
+            author=F.coalesce(it["author"], it["dc:creator"]), published=it["published"],
+            updated=F.coalesce(it["updated"], it["dc:date"]), created=it["created"], pub_date=it["pubDate"])
+    rss, rdf = F.transform("_x.channel.item", rss_entry), F.transform("_x.item", rss_entry)
 
     def atom_link(it):
         alt = F.filter(it["link"], lambda l: F.coalesce(l["_rel"], F.lit("alternate")) == "alternate")
         return F.coalesce(F.get(alt, 0)["_href"], F.get(it["link"], 0)["_href"])
     atom = F.transform("_x.entry", lambda it: _entry(
-        title=it["title"], link=atom_link(it), content_encoded=it["content"]["_VALUE"],
-        summary=it["summary"]["_VALUE"], author_name=F.get(it["author"], 0)["name"],
+        title=it["title"], link=atom_link(it), content_encoded=it["content"],
+        summary=it["summary"], author_name=F.get(it["author"], 0)["name"],
         published=it["published"], updated=it["updated"], created=it["created"]))
     empty = F.array().cast(f"array<struct<{', '.join(f + ': string' for f in _ENTRY_FIELDS)}>>")
-    both = F.concat(F.coalesce(rss, empty), F.coalesce(atom, empty))
+    both = F.concat(F.coalesce(rss, empty), F.coalesce(rdf, empty), F.coalesce(atom, empty))
     return (x.select(*keep, F.posexplode(both).alias("item_pos", "it"))
             .select(*keep, "item_pos", *[F.col(f"it.{f}").alias(f) for f in _ENTRY_FIELDS]))
 

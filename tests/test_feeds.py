@@ -62,3 +62,34 @@ def test_markup_fast_path_equals_parser(spark):
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     got = [r[0] for r in df.select(FD.strip_markup("s")).collect()]
     assert got == [H.strip_markup(v) for v in vals]
+
+
+RDF = """<?xml version="1.0"?><rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/" xmlns:dc="http://purl.org/dc/elements/1.1/">
+<channel rdf:about="http://r/"><title>R</title><link>http://r/</link></channel>
+<item rdf:about="http://r/1"><title>Rdf one</title><link>http://r/1</link><description>first &amp;amp; more</description><dc:creator>Ray</dc:creator><dc:date>2024-06-04T09:00:00+02:00</dc:date></item>
+<item rdf:about="http://r/2"><title>Rdf two</title><link>http://r/2</link><description>second</description></item></rdf:RDF>"""
+GUID = """<rss version="2.0"><channel><title>G</title>
+<item><title>Guid link</title><guid>http://g/1</guid><description>a</description><pubDate>Fri, 31 Dec 99 23:59:00 GMT</pubDate></item>
+<item><title>Guid permanent</title><guid isPermaLink="true">http://g/2</guid><description>b</description><pubDate>Tue,  04  Jun  24 09:00:00 GMT</pubDate></item>
+<item><title>No permanent link</title><guid isPermaLink="false">http://g/3</guid><description>c</description></item>
+<item><title>No address</title><guid>tag-4</guid><description>d</description></item>
+<item><title>Own link</title><link>http://g/5</link><guid>http://other/5</guid><description>e</description></item></channel></rss>"""
+XHTML = """<feed xmlns="http://www.w3.org/2005/Atom"><title>A</title>
+<entry><title>Elements</title><link href="http://a/1"/><content type="xhtml"><div xmlns="http://www.w3.org/1999/xhtml"><p>one <b>two</b></p><p>three</p></div></content></entry>
+<entry><title>Plain</title><link href="http://a/2"/><content>plain text</content></entry>
+<entry><title>Summary</title><link href="http://a/3"/><summary type="xhtml"><div xmlns="http://www.w3.org/1999/xhtml"><p>sum</p></div></summary></entry></feed>"""
+
+
+def test_feed_shapes(spark):
+    df = raw(spark, [("http://r/f", "R", "application/rdf+xml", RDF, 20), ("http://g/f", "G", "application/rss+xml", GUID, 20),
+                     ("http://a/f", "A", "application/atom+xml", XHTML, 20)])
+    arts = FD.entries_to_articles(FD.feed_entries(df)).orderBy("source_name", "item_pos").collect()
+    assert [(a.source_name, a.item_pos, a.title, a.content, a.source_url, a.author, a.date) for a in arts] == [
+        ("A", 0, "Elements", "one two three", "http://a/1", None, None),
+        ("A", 1, "Plain", "plain text", "http://a/2", None, None),
+        ("A", 2, "Summary", "sum", "http://a/3", None, None),
+        ("G", 0, "Guid link", "a", "http://g/1", None, dt.datetime(1999, 12, 31, 23, 59)),
+        ("G", 1, "Guid permanent", "b", "http://g/2", None, dt.datetime(2024, 6, 4, 9)),
+        ("G", 4, "Own link", "e", "http://g/5", None, None),
+        ("R", 0, "Rdf one", "first &amp; more", "http://r/1", "Ray", dt.datetime(2024, 6, 4, 7)),
+        ("R", 1, "Rdf two", "second", "http://r/2", None, None)]
