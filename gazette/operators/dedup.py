@@ -31,6 +31,37 @@ def keep_first(df: DataFrame, key: str = "article_hash", order=None) -> DataFram
     return df.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
 
 
+#: Bits of the map of repeated keys: 8 MB, a fixed size whatever the data.
+REPEATED_BITS = 26
+_PER_ROW = 15        # bits of the map in one row: 32,768, what bitmap_construct_agg holds
+
+
+def repeated_bitmap(df: DataFrame, key: str, bits: int = REPEATED_BITS) -> DataFrame:
+    """(_bucket, _map): a map of 2^bits places with a one at the hash of each key that occurs
+    more than once. At most 2^(bits-15) rows of 4 KB. Only hashes are shuffled, counted by
+    task first."""
+    counts = df.select(F.xxhash64(key).alias("h")).groupBy("h").agg(F.count("*").alias("c")).filter("c > 1")
+    place = F.pmod(F.col("h"), F.lit(1 << bits))
+    return (counts.select(F.shiftright(place, _PER_ROW).alias("_bucket"), place.bitwiseAND((1 << _PER_ROW) - 1).alias("_p"))
+            .groupBy("_bucket").agg(F.bitmap_construct_agg("_p").alias("_map")))
+
+
+def first_copies(df: DataFrame, key: str = "article_hash", order=None, bits: int = REPEATED_BITS) -> DataFrame:
+    """W1 for rows with text: the same rows as keep_first, but only rows whose key occurs more
+    than once (and those few that share their place in the map) go through a shuffle. All
+    other rows pass as they are read. The input is scanned three times, once for keys
+    alone. A null key is one key, as in keep_first."""
+    place = F.pmod(F.xxhash64(key), F.lit(1 << bits))
+    in_row = place.bitwiseAND((1 << _PER_ROW) - 1)
+    byte = F.conv(F.hex(F.substring(F.col("_map"), (F.shiftright(in_row, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (in_row % 8 + 1).cast("int")))
+    marked = (df.withColumn("_bucket", F.shiftright(place, _PER_ROW))
+              .join(F.broadcast(repeated_bitmap(df, key, bits)), "_bucket", "left")
+              .withColumn("_again", F.coalesce(bit != 0, F.lit(False))).select(*df.columns, "_again"))
+    alone = marked.filter("NOT _again").drop("_again")
+    return alone.unionByName(keep_first(marked.filter("_again").drop("_again"), key, order))
+
+
 def first_capped(articles: DataFrame, cap: int, key: str = "article_hash") -> DataFrame:
     """W1 + O2 without moving text: dedup and the per-edition cap run on narrow keys,
     then the kept rows (at most cap per edition) join back to the articles. Text is
@@ -69,7 +100,7 @@ def deduplicate(df: DataFrame, seen: DataFrame | None = None, run_ts: _dt.dateti
     seen state however many copies a hash has."""
     if key not in df.columns:
         df = df.withColumn(key, F.col("article_id"))
-    first = keep_first(df, key)
+    first = first_copies(df, key) if "content" in df.columns else keep_first(df, key)
     return first if seen is None else drop_seen(first, seen, run_ts, ttl_days, key)
 
 

@@ -184,32 +184,80 @@ def with_text_only(articles: DataFrame) -> DataFrame:
     return articles.withColumn("s", F.array("content")).drop("content")
 
 
-def _tokens(sents: DataFrame, key: str = "article_id") -> DataFrame:
-    """(article, sentence position, term) for every term occurrence of the whole text."""
-    x = sents.select(key, *EDITION, F.posexplode("s").alias("s_pos", "sentence"))
-    return x.select(key, *EDITION, "s_pos", F.explode(terms("sentence")).alias("term"))
+#: Terms that stand in more than a HEAVY_TERMS-th of all (article, term) pairs are heavy. The
+#: pairs of all terms sum to the total, so fewer than HEAVY_TERMS terms can be: a proven bound.
+HEAVY_TERMS = 65536
 
 
-def term_weights(sents: DataFrame, corpus: DataFrame | None = None, key: str = "aid",
-                 positions: bool = True) -> DataFrame:
-    """tf·ln(N/df) per (article, term), rounded to 9 places, with the sentence positions
-    of the term's occurrences (`pos`, one entry per occurrence). One aggregation over
-    the tokens gives tf and positions; N and df are per edition over the corpus
-    (default: the articles). Terms in more than half of the edition drop out (filtered
-    on the small df table before the join)."""
-    aggs = [F.count("*").alias("tf")] + ([F.collect_list("s_pos").alias("pos")] if positions else [])
-    tf = _tokens(sents, key).groupBy(key, *EDITION, "term").agg(*aggs)
-    if corpus is None:
-        ctf, corpus = tf, sents
+_OCCURRENCES = {True: "array<struct<term:string,p:int>>", False: "array<string>"}
+
+
+def with_terms(sents: DataFrame, key: str = "article_id", positions: bool = True, keep=()) -> DataFrame:
+    """(key, edition, columns to keep, terms): the distinct terms of each text with their counts (`tf`) and the
+    sentence of each occurrence (`pos`), all inside the row: sorted occurrences, then the
+    runs of equal terms. No shuffle; the work is n log n in a text's length."""
+    if positions:
+        each = F.flatten(F.transform("s", lambda s, i: F.transform(
+            terms(s), lambda t: F.struct(t.alias("term"), i.cast("int").alias("p")))))
+        term = lambda o: o["term"]
     else:
-        ctf = _tokens(corpus, "article_id").select("article_id", *EDITION, "term").distinct()
-    n = corpus.groupBy(*EDITION).agg(F.count("*").alias("n"))
-    df = (ctf.groupBy(*EDITION, "term").agg(F.count("*").alias("df"))
-          .join(n, list(EDITION)).filter(F.col("df") * 2 <= F.col("n")))
-    return (tf.join(df, [*EDITION, "term"])
-            .select(key, *EDITION, "term", "tf", *(["pos"] if positions else []),
-                    F.round(F.col("tf") * F.log(F.col("n").cast("double") / F.col("df")),
-                            WEIGHT_DIGITS).alias("weight")))
+        each = F.flatten(F.transform("s", lambda s: terms(s)))
+        term = lambda o: o
+    x = sents.select(key, *EDITION, *keep, F.coalesce(F.sort_array(each), F.array().cast(_OCCURRENCES[positions])).alias("_o"))
+    starts = F.array_compact(F.transform("_o", lambda o, i: F.when(
+        (i == 0) | (term(o) != term(F.get("_o", i - 1))), i)))
+    x = x.withColumn("_b", F.array_append(starts, F.size("_o")))     # where each run begins, and the end
+
+    def entry(b, j):
+        n = F.get("_b", j + 1) - b
+        cols = [term(F.get("_o", b)).alias("term"), n.cast("bigint").alias("tf")]
+        if positions:
+            cols.append(F.transform(F.slice("_o", b + 1, n), lambda o: o["p"]).alias("pos"))
+        return F.struct(*cols)
+    runs = F.slice("_b", 1, F.size("_b") - 1)
+    return x.select(key, *EDITION, *keep, F.transform(runs, entry).alias("terms"))
+
+
+def term_frequencies(counted: DataFrame) -> DataFrame:
+    """(edition, term, df): articles that hold the term, summed by task before the shuffle."""
+    one = counted.select(*EDITION, F.explode(F.transform("terms", lambda t: t["term"])).alias("term"))
+    return one.groupBy(*EDITION, "term").agg(F.count("*").alias("df"))
+
+
+def term_weights(sents: DataFrame, corpus: DataFrame | None = None, key: str = "article_id",
+                 positions: bool = True, heavy_terms: int = HEAVY_TERMS, write: bool = True) -> DataFrame:
+    """tf·ln(N/df) per (article, term), rounded to 9 places, with the sentence positions
+    of the term's occurrences (`pos`, one entry per occurrence). Terms are counted inside
+    the row; only partial sums of (edition, term) are shuffled for df. N and df are per edition
+    over the corpus (default: the articles). Terms in more than half of the edition drop out.
+
+    Weights come back to the articles in two parts. Heavy terms, fewer than `heavy_terms`
+    whatever the corpus, are broadcast. Each of the others stands in at most a
+    heavy_terms-th of the pairs, so no key of their join is hot."""
+    from gazette.session import materialize as _mat
+    given = "terms" in sents.columns         # a written frame of with_terms
+    counted = sents if given else with_terms(sents, key, positions)
+    ccounted = counted if corpus is None else with_terms(corpus, "article_id", False)
+    if write:                     # two or three readers each: the text is tokenised once
+        counted = counted if given else _mat(counted, "terms")
+        ccounted = counted if corpus is None else _mat(ccounted, "corpus-terms")
+    n = ccounted.groupBy(*EDITION).agg(F.count("*").alias("n"))
+    df = term_frequencies(ccounted)
+    if write:
+        df = _mat(df, "term-df")
+    pairs_of_all = df.agg(F.sum("df")).first()[0] or 0
+    marked = df.join(n, list(EDITION)).withColumn("heavy", F.col("df") * heavy_terms > F.lit(pairs_of_all))
+    weight = F.round(F.col("tf") * F.log(F.col("n").cast("double") / F.col("df")), WEIGHT_DIGITS).alias("weight")
+    out = [key, *EDITION, "term", "tf", *(["pos"] if positions else []), weight]
+    rows = counted.select(key, *EDITION, F.inline("terms"))
+    on = [*EDITION, "term"]
+    heavy = marked.filter("heavy").select(*on, "df", "n")
+    light = marked.filter("NOT heavy").select(*on, "df", "n")
+    kept = F.col("df") * 2 <= F.col("n")
+    by_heavy = rows.join(F.broadcast(heavy.filter(kept)), on).select(*out)
+    rest = rows.join(F.broadcast(heavy.select(*on)), on, "left_anti")
+    by_light = rest.join(light.filter(kept), on).select(*out)
+    return by_heavy.unionByName(by_light)
 
 
 def _ordered(values_col: str, pos_col: str) -> F.Column:
@@ -227,14 +275,13 @@ def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None,
     """Z2 on sentence frames (article_id, niche, run_date, s, ...): short = first 3
     sentences (cut to 500), detailed = first 8, tags = top 5 terms by weight (ties:
     term), key_insights = top 5 sentences by mean weight of their kept term occurrences
-    (ties: position), in text order. Token work is keyed by a long surrogate id, windows
-    are per article, and the only cross-article step is the document frequency."""
+    (ties: position), in text order. `sents` has several readers, so the
+    caller writes it first (for tags alone, a written frame of with_terms will do). Windows are per article, and the only cross-article step is the
+    document frequency."""
     from gazette.session import materialize as _mat
-    if "aid" not in sents.columns and materialize:
-        sents = _mat(sents.withColumn("aid", F.monotonically_increasing_id()), "sentences")
-    key = "aid" if "aid" in sents.columns else "article_id"   # a surrogate only once written
+    key = "article_id"
     insights = "insights" in parts
-    weights = term_weights(sents, corpus, key=key, positions=insights)
+    weights = term_weights(sents, corpus, key=key, positions=insights, write=materialize)
     if materialize and insights:      # read by the tag and the sentence branches
         weights = _mat(weights, "weights")
     empty = F.array().cast("array<string>")
@@ -265,9 +312,10 @@ def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None,
 def extractive_summaries(articles: DataFrame, corpus: DataFrame | None = None, materialize: bool = True) -> DataFrame:
     """Z2 default provider, all on Spark. The sentence frame and the term weights are
     written once (shared checkpoint folder) because several branches read them."""
+    from gazette.session import materialize as _mat
     sents = with_sentences(articles.select("article_id", *EDITION, "content"))
-    csents = None if corpus is None else with_sentences(corpus.select("article_id", *EDITION, "content"))
-    return summaries_from_sentences(sents, csents, materialize=materialize)
+    csents = None if corpus is None else with_text_only(corpus.select("article_id", *EDITION, "content"))
+    return summaries_from_sentences(_mat(sents, "sentences") if materialize else sents, csents, materialize=materialize)
 
 
 # --------------------------------------------------------------------------- provider hook

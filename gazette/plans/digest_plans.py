@@ -41,13 +41,14 @@ def ranked_pairs(spark, sf, run_cap=None, parts=Z.ALL_PARTS, write_pairs=True):
         arts = unique_articles(spark, sf)
     else:
         arts = D.first_capped(articles_from_documents(table(spark, sf, "documents")), run_cap)
-    if set(parts) == {"tags"}:      # term statistics only: the text, unsplit, written once
-        text = materialize(Z.with_text_only(arts).withColumn("aid", F.monotonically_increasing_id()), "text")
-        meta = [c for c in text.columns if c not in ("article_id", "s", "aid")]
-        p = Z.summaries_from_sentences(text, parts=parts, keep=meta)
+    if set(parts) == {"tags"}:      # term statistics only: terms and counts, no text, written once
+        meta = [c for c in arts.columns if c not in ("article_id", "content")]
+        counted = materialize(Z.with_terms(Z.with_text_only(arts), positions=False,
+                                           keep=[c for c in meta if c not in S.EDITION]), "terms")
+        p = Z.summaries_from_sentences(counted, parts=parts, keep=meta)
         return materialize(p, "pairs") if write_pairs else p
-    sents = materialize(Z.with_sentences(arts).withColumn("aid", F.monotonically_increasing_id()), "sentences")
-    meta = [c for c in sents.columns if c not in ("article_id", "s", "aid")]
+    sents = materialize(Z.with_sentences(arts), "sentences")
+    meta = [c for c in sents.columns if c not in ("article_id", "s")]
     p = Z.summaries_from_sentences(sents, keep=meta, parts=parts)
     return materialize(p, "pairs") if write_pairs else p
 
@@ -57,9 +58,9 @@ def head_pairs(spark, sf, k: int):
     come from the whole edition: the per-article work runs for the head only."""
     from gazette.session import materialize
     unique = unique_articles(spark, sf)
-    head = S.run_cap(unique, k)
-    sents = materialize(Z.with_sentences(head).withColumn("aid", F.monotonically_increasing_id()), "sentences")
-    meta = [c for c in sents.columns if c not in ("article_id", "s", "aid")]
+    head = D.first_capped(articles_from_documents(table(spark, sf, "documents")), k)
+    sents = materialize(Z.with_sentences(head), "sentences")
+    meta = [c for c in sents.columns if c not in ("article_id", "s")]
     corpus = Z.with_text_only(unique.select("article_id", "niche", "run_date", "content"))
     return Z.summaries_from_sentences(sents, corpus=corpus, keep=meta, parts=("tags",))
 
