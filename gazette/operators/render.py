@@ -77,12 +77,9 @@ def _stories(arr: Column, numbered_heading: str, points_label: str) -> Column:
     return F.array_join(F.transform(arr, one), "")
 
 
-def newsletter_plain(editions: DataFrame, paired: DataFrame, run_ts_col: str = "run_ts",
-                     generator: str = GENERATOR) -> DataFrame:
-    """heading, date, contents, introduction, top stories (W4 numbering), trends,
-    insights, all articles, footer."""
-    e = editions.join(edition_sections(paired), list(EDITION), "left")
-    body = F.concat(
+def _plain_head(run_ts_col: str) -> Column:
+    """F30 up to the articles, from an edition row."""
+    return F.concat(
         F.lit("# "), _s("title"), F.lit("\n\n"),
         F.lit("*Generated on "), long_date(run_ts_col), F.lit("*\n\n"),
         F.lit("## Table of Contents\n\n1. [Introduction](#introduction)\n2. [Top Stories](#top-stories)\n"
@@ -90,12 +87,52 @@ def newsletter_plain(editions: DataFrame, paired: DataFrame, run_ts_col: str = "
         F.lit("## Introduction\n\n"), _s("introduction"), F.lit("\n\n"),
         F.lit("## Top Stories\n\n"), _stories(F.col("top_stories"), "### ", "**Key Points:**\n"),
         _opt(F.size("trends") > 0, F.lit("## Trends\n\n"), _bullets(F.col("trends")), F.lit("\n")),
-        F.lit("## Insights & Analysis\n\n"), _s("insights"), F.lit("\n\n"),
+        F.lit("## Insights & Analysis\n\n"), _s("insights"), F.lit("\n\n"))
+
+
+def _plain_foot(generator: str) -> Column:
+    return F.lit(f"---\n\n*This newsletter was generated automatically by {generator}.*\n")
+
+
+def newsletter_plain(editions: DataFrame, paired: DataFrame, run_ts_col: str = "run_ts",
+                     generator: str = GENERATOR) -> DataFrame:
+    """heading, date, contents, introduction, top stories (W4 numbering), trends,
+    insights, all articles, footer. One string per edition, so `paired` is a capped run;
+    newsletter_parts is the same for editions of any size."""
+    e = editions.join(edition_sections(paired), list(EDITION), "left")
+    body = F.concat(
+        _plain_head(run_ts_col),
         _opt(F.coalesce(F.col("n_articles"), F.lit(0)) > 0, F.lit("## All Articles\n\n"), _s("all_sections")),
-        F.lit("---\n\n"), F.lit(f"*This newsletter was generated automatically by {generator}.*\n"))
+        _plain_foot(generator))
     return e.withColumn("body", body)
 
 
+def newsletter_parts(editions: DataFrame, numbered: DataFrame, run_ts_col: str = "run_ts",
+                     generator: str = GENERATOR) -> DataFrame:
+    """F30 for editions without a cap: (edition, part_no, block), the newsletter of an edition
+    being its blocks in the order of part_no. Part 0 is everything before the articles, part rn
+    an article's block, the last part the footer. `numbered` comes from number_editions;
+    no edition meets in one task, and no text is shuffled here. Null titles, summaries and
+    lists render as empty, as in newsletter_plain; an edition without articles has two parts."""
+    count = numbered.groupBy(*EDITION).agg(F.count("*").alias("_n"))
+    e = editions.join(count, list(EDITION), "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    head = e.select(*EDITION, F.lit(0).cast("bigint").alias("part_no"), F.concat(
+        _plain_head(run_ts_col), F.when(F.col("_n") > 0, F.lit("## All Articles\n\n")).otherwise(F.lit(""))).alias("block"))
+    foot = e.select(*EDITION, (F.col("_n") + 1).alias("part_no"), _plain_foot(generator).alias("block"))
+    articles = with_sections(numbered).select(*EDITION, F.col("rn").cast("bigint").alias("part_no"), F.col("section").alias("block"))
+    return head.unionByName(articles).unionByName(foot)
+
+
+def write_parts(parts: DataFrame, path: str) -> None:
+    """The blocks as text files in order: within an edition's folder, file names and the lines of a
+    file follow part_no, so the files one after another are the newsletter. Every block ends
+    in a line end, which the writer puts there."""
+    keys = [*EDITION, "part_no"]
+    (parts.repartitionByRange(*keys).sortWithinPartitions(*keys)
+     .select(*EDITION, F.substring("block", F.lit(1), F.length("block") - 1).alias("block"))
+     .write.mode("errorifexists").partitionBy(*EDITION).option("lineSep", "\n").text(path))
+
+
 #: Contents of the long layout: its sections with the anchors that Markdown gives headings.
 _FULL_SECTIONS = ("Today's Highlights", "Top Stories", "Trending Topics", "Industry Insights", "Quick Reads", "About This Newsletter")
 _FULL_CONTENTS = "## Table of Contents\n\n" + "".join(

@@ -58,6 +58,26 @@ def run_cap(df: DataFrame, cap: int | None, name: str = "rn") -> DataFrame:
     return cap_per_group(df, EDITION, cap, name)
 
 
+def number_editions(df: DataFrame, name: str = "rn", extra: tuple = ("article_id",)) -> DataFrame:
+    """Every row with its 1-based position in its edition, without a task that holds an
+    edition: rows are dealt by sorted ranges of (edition, canonical order, `extra`) and written,
+    each with its place in its range; an edition's positions in a range start after
+    its rows in the ranges before. One shuffle of the rows; the counts have one row per
+    (edition, range). Null editions and null order columns sort first."""
+    from gazette.session import materialize
+    keys = [F.col(c).asc_nulls_first() for c in (*EDITION, *ORDER_COLS, *extra)]
+    ranged = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+              .withColumn("_range", F.spark_partition_id())
+              .withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))   # place in the range
+    ranged = materialize(ranged, "ranges")
+    counts = ranged.groupBy(*EDITION, "_range").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*EDITION).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(c).alias(f"_{c}") for c in EDITION], F.col("_range").alias("_r"), "_first",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    on = [F.col("_range") == F.col("_r"), *[F.col(c).eqNullSafe(F.col(f"_{c}")) for c in EDITION]]
+    return ranged.join(starts, on).select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias(name))
+
+
 def first_k(df: DataFrame, k: int, name: str = "rn") -> DataFrame:
     """The first k rows of each edition: a filter when rows are numbered, else a
     top-k per edition (WindowGroupLimit, limited per map task before the shuffle)."""

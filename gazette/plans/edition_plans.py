@@ -11,6 +11,7 @@ from gazette.functions.text import article_slug, safe_filename
 from gazette.operators import edition as E
 from gazette.operators import publish as PB
 from gazette.operators import render as R
+from gazette.operators import select as S
 from gazette.operators import social as SO
 from gazette.operators import trends as T
 from gazette.plans.common import RUN_TS_SQL, normalise, sql_strip
@@ -206,15 +207,15 @@ def q_article_markdown(spark, sf):
 _STORY_SQL = (f"array_to_string(list_transform(top_stories, lambda s, i: '### ' || CAST(i AS VARCHAR) || '. ' || s.title || "
               f"{lit(chr(10) * 2 + '**Source:** [')} || s.source || '](' || s.url || ')' || {NL} || {NL} || s.summary || {NL} || {NL} || "
               f"{_opt('len(s.key_insights) > 0', lit('**Key Points:**' + chr(10)) + ' || ' + _bullets('s.key_insights') + ' || ' + NL)}), '')")
-NEWSLETTER_SQL = (f"'# ' || title || {NL} || {NL} || '*Generated on ' || {DATE_LONG} || '*' || {NL} || {NL} || "
+_HEAD_SQL = (f"'# ' || title || {NL} || {NL} || '*Generated on ' || {DATE_LONG} || '*' || {NL} || {NL} || "
                   + lit("## Table of Contents\n\n1. [Introduction](#introduction)\n2. [Top Stories](#top-stories)\n"
                         "3. [Trends](#trends)\n4. [Insights & Analysis](#insights--analysis)\n5. [All Articles](#all-articles)\n\n"
                         "## Introduction\n\n")
                   + f" || introduction || {NL} || {NL} || " + lit("## Top Stories\n\n") + f" || {_STORY_SQL} || "
                   + _opt("len(trends) > 0", lit("## Trends\n\n") + " || " + _bullets("trends") + " || " + NL)
-                  + " || " + lit("## Insights & Analysis\n\n") + f" || insights || {NL} || {NL} || "
-                  + _opt("coalesce(n_articles, 0) > 0", lit("## All Articles\n\n") + " || all_sections")
-                  + " || " + lit("---\n\n*This newsletter was generated automatically by gazette.*\n"))
+                  + " || " + lit("## Insights & Analysis\n\n") + f" || insights || {NL} || {NL}")
+_FOOT_SQL = lit("---\n\n*This newsletter was generated automatically by gazette.*\n")
+NEWSLETTER_SQL = (_HEAD_SQL + " || " + _opt("coalesce(n_articles, 0) > 0", lit("## All Articles\n\n") + " || all_sections") + " || " + _FOOT_SQL)
 
 
 @register("newsletter_markdown", edition_sql(f"""
@@ -224,6 +225,18 @@ def q_newsletter_markdown(spark, sf):
     return normalise(R.newsletter_plain(e, p).select("niche", "body"))
 
 
+# F30, Z1 without a run cap: every article of an edition, as ordered blocks ---------------------------------------
+@register("newsletter_parts", pairs_sql() + _EDITION_CTES + SECTIONS_CTE.split(",\nallsec")[0] + f"""
+SELECT niche, CAST(0 AS BIGINT) AS part_no, {_HEAD_SQL} || {lit("## All Articles" + chr(10) * 2)} AS block FROM ed
+UNION ALL SELECT niche, rn AS part_no, section AS block FROM sec
+UNION ALL SELECT niche, articles_count + 1 AS part_no, {_FOOT_SQL} AS block FROM ed""")
+def q_newsletter_parts(spark, sf):
+    from gazette.session import materialize
+    p = materialize(S.number_editions(ranked_pairs(spark, sf)), "numbered")
+    e, _ = editions(spark, sf, p)
+    return normalise(R.newsletter_parts(e, p).select("niche", "part_no", "block"))
+
+
 # F31, F36-F38, O5, A7-A9 (the long layout) ---------------------------------------------------------------------
 FULL_METADATA = {"issue_number": 1, "frequency": "daily", "publish_time": "9:00 AM",
                  "social_links": {"mastodon": "https://example.org/@digest", "rss": "https://example.org/feed.xml"}}
