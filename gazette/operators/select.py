@@ -33,19 +33,30 @@ def cap_per_group(df: DataFrame, keys, cap, name: str = "rn", order=None) -> Dat
     return ranked.filter(F.col(name) <= F.lit(int(cap)))
 
 
+#: Caps up to this are taken by a window that each task limits first; a task then holds at
+#: most so many rows of a source from each task before it.
+WINDOW_CAP = 10_000
+
+
 def cap_per_source(df: DataFrame, cap_col: str = "max_articles", name: str = "item_rank",
                    largest_cap: int | None = None) -> DataFrame:
     """First max_articles items per source (before any validity filter); a null cap is
-    the kind's default. largest_cap, if the caller knows the largest cap of the
-    configuration, lets Spark limit each map task before the shuffle."""
+    the kind's default. Caps up to WINDOW_CAP go through a window limited before the shuffle.
+    Sources with a larger cap are numbered over sorted ranges, so no task holds a whole
+    source; largest_cap, if the caller knows the largest cap of the configuration, saves
+    looking for such sources."""
     default = F.when(F.col("kind_rank") == 0, C.DEFAULT_WEB_MAX_ARTICLES).otherwise(C.DEFAULT_RSS_MAX_ARTICLES)
     cap = F.coalesce(F.col(cap_col), default)
-    w = Window.partitionBy("kind_rank", "source_name").orderBy(F.col("item_pos").asc_nulls_first())
-    ranked = df.withColumn(name, F.row_number().over(w))
-    if largest_cap is not None:
-        bound = max(int(largest_cap), C.DEFAULT_WEB_MAX_ARTICLES, C.DEFAULT_RSS_MAX_ARTICLES)
-        ranked = ranked.filter(F.col(name) <= F.lit(bound))
-    return ranked.filter(F.col(name) <= cap)
+    source = ("kind_rank", "source_name")
+    bound = None if largest_cap is None else max(int(largest_cap), C.DEFAULT_WEB_MAX_ARTICLES, C.DEFAULT_RSS_MAX_ARTICLES)
+    known = bound is not None and bound <= WINDOW_CAP
+    within = bound if known else WINDOW_CAP
+    ranked = cap_per_group(df if known else df.filter(cap <= within), source, within, name, [F.col("item_pos").asc_nulls_first()])
+    ranked = ranked.filter(F.col(name) <= cap)
+    if known:
+        return ranked
+    large = number_by_range(df.filter(cap > WINDOW_CAP), source, ("item_pos",), name)
+    return ranked.unionByName(large.withColumn(name, F.col(name).cast("int")).filter(F.col(name) <= cap))
 
 
 def run_cap(df: DataFrame, cap: int | None, name: str = "rn") -> DataFrame:
@@ -58,26 +69,32 @@ def run_cap(df: DataFrame, cap: int | None, name: str = "rn") -> DataFrame:
     return cap_per_group(df, EDITION, cap, name)
 
 
-def number_editions(df: DataFrame, name: str = "rn", extra: tuple = ("article_id",)) -> DataFrame:
-    """Every row with its 1-based position in its edition, without a task that holds an
-    edition: rows are dealt by sorted ranges of (edition, canonical order, `extra`) and written,
-    each with its place in its range; an edition's positions in a range start after
-    its rows in the ranges before. One shuffle of the rows; the counts have one row per
-    (edition, range). Null editions and null order columns sort first."""
+def number_by_range(df: DataFrame, groups, order, name: str = "rn") -> DataFrame:
+    """Every row with its 1-based position in its group by the columns `order`, without a task that
+    holds a group: rows are dealt by sorted ranges of (group, order) and written, each with
+    its place in its range; a group's positions in a range start after its rows in the
+    ranges before. One shuffle of the rows; the counts have one row per (group, range). Null
+    groups and null order columns sort first; rows equal in all of them take any order."""
     from gazette.session import materialize
-    keys = [F.col(c).asc_nulls_first() for c in (*EDITION, *ORDER_COLS, *extra)]
+    keys = [F.col(c).asc_nulls_first() for c in (*groups, *order)]
     ranged = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
               .withColumn("_range", F.spark_partition_id())
               .withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))   # place in the range
     ranged = materialize(ranged, "ranges")
-    counts = ranged.groupBy(*EDITION, "_range").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
-    before = Window.partitionBy(*EDITION).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*[F.col(c).alias(f"_{c}") for c in EDITION], F.col("_range").alias("_r"), "_first",
+    counts = ranged.groupBy(*groups, "_range").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(c).alias(f"_{c}") for c in groups], F.col("_range").alias("_r"), "_first",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    on = [F.col("_range") == F.col("_r"), *[F.col(c).eqNullSafe(F.col(f"_{c}")) for c in EDITION]]
+    on = [F.col("_range") == F.col("_r"), *[F.col(c).eqNullSafe(F.col(f"_{c}")) for c in groups]]
     return ranged.join(starts, on).select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias(name))
 
 
+def number_editions(df: DataFrame, name: str = "rn", extra: tuple = ("article_id",)) -> DataFrame:
+    """Every article's position in its edition, in canonical order and then by `extra`, for
+    editions of any size."""
+    return number_by_range(df, EDITION, (*ORDER_COLS, *extra), name)
+
+
 def first_k(df: DataFrame, k: int, name: str = "rn") -> DataFrame:
     """The first k rows of each edition: a filter when rows are numbered, else a
     top-k per edition (WindowGroupLimit, limited per map task before the shuffle)."""

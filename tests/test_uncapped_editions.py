@@ -64,3 +64,18 @@ def test_an_edition_without_articles_has_head_and_footer(spark):
     ed = E.assemble(numbered).withColumn("run_ts", run_ts_lit(C.DEFAULT_RUN_TS))
     parts = R.newsletter_parts(ed, numbered.limit(0)).collect()
     assert sorted(r.part_no for r in parts) == [0, 0, 1, 1] and not any("All Articles\n\n#" in r.block for r in parts)
+
+
+def test_small_and_large_caps_of_hot_sources(spark):
+    sizes = {"small": (30_000, 10), "large": (30_000, 25_000), "short": (50, 20_000), "default": (400, None), "none": (5, 0)}
+    rows = None
+    for source, (n, cap) in sizes.items():
+        one = spark.range(n).select(F.lit(1).alias("kind_rank"), F.lit(source).alias("source_name"), F.col("id").alias("item_pos"),
+                                    F.lit(cap).cast("int").alias("max_articles"))
+        rows = one if rows is None else rows.unionByName(one)
+    expect = {"small": 10, "large": 25_000, "short": 50, "default": C.DEFAULT_RSS_MAX_ARTICLES}
+    for largest in (None, 25_000):
+        got = S.cap_per_source(rows, largest_cap=largest)
+        out = got.groupBy("source_name").agg(F.count("*").alias("n"), F.max("item_pos").alias("last"), F.max("item_rank").alias("r")).collect()
+        assert {r.source_name: r.n for r in out} == expect
+        assert all(r.last + 1 == r.n == r.r for r in out)
