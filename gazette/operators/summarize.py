@@ -218,6 +218,12 @@ def with_terms(sents: DataFrame, key: str = "article_id", positions: bool = True
     return x.select(key, *EDITION, *keep, F.transform(runs, entry).alias("terms"))
 
 
+def distinct_terms(sents: DataFrame) -> DataFrame:
+    """(edition, terms) for document frequencies alone: each term of a text once."""
+    each = F.array_distinct(F.flatten(F.transform("s", lambda s: terms(s))))
+    return sents.select(*EDITION, F.transform(each, lambda t: F.struct(t.alias("term"))).alias("terms"))
+
+
 def term_frequencies(counted: DataFrame) -> DataFrame:
     """(edition, term, df): articles that hold the term, summed by task before the shuffle."""
     one = counted.select(*EDITION, F.explode(F.transform("terms", lambda t: t["term"])).alias("term"))
@@ -237,7 +243,7 @@ def term_weights(sents: DataFrame, corpus: DataFrame | None = None, key: str = "
     from gazette.session import materialize as _mat
     given = "terms" in sents.columns         # a written frame of with_terms
     counted = sents if given else with_terms(sents, key, positions)
-    ccounted = counted if corpus is None else with_terms(corpus, "article_id", False)
+    ccounted = counted if corpus is None else distinct_terms(corpus)
     if write:                     # two or three readers each: the text is tokenised once
         counted = counted if given else _mat(counted, "terms")
         ccounted = counted if corpus is None else _mat(ccounted, "corpus-terms")
