@@ -59,6 +59,7 @@ LANGUAGES = ("en",)
 # by both Java regex and RE2.
 WS_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+WS_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())    # the same, as text
 # ASCII whitespace used to split words and sentences.
 ASCII_WS_CLASS = r"[\t\n\x{0B}\f\r ]"
 # ---------------------------------------------------------------------------

@@ -8,11 +8,12 @@ from __future__ import annotations
 from typing import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from gazette import config as C
 from gazette.functions.text import sentences, terms, token_truncate
 from gazette.operators.select import EDITION
+from gazette.operators.term_blocks import encode, ranked
 
 SUMMARY_COLUMNS = ["article_id", "short_summary", "detailed_summary", "key_insights", "tags",
                    "provider", "parsed"]
@@ -266,62 +267,36 @@ def term_weights(sents: DataFrame, corpus: DataFrame | None = None, key: str = "
     return by_heavy.unionByName(by_light)
 
 
-def _ordered(values_col: str, pos_col: str) -> F.Column:
-    """Array of values in position order from a bounded group."""
-    return F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos_col).alias("p"),
-                                                            F.col(values_col).alias("v")))),
-                       lambda x: x["v"])
-
-
 ALL_PARTS = ("summary", "tags", "insights")
 
 
-def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None, keep=(),
-                             materialize: bool = True, parts=ALL_PARTS) -> DataFrame:
+def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None, keep=(), parts=ALL_PARTS) -> DataFrame:
     """Z2 on sentence frames (article_id, niche, run_date, s, ...): short = first 3
     sentences (cut to 500), detailed = first 8, tags = top 5 terms by weight (ties:
     term), key_insights = top 5 sentences by mean weight of their kept term occurrences
-    (ties: position), in text order. `sents` has several readers, so the
-    caller writes it first (for tags alone, a written frame of with_terms will do). Windows are per article, and the only cross-article step is the
-    document frequency."""
-    from gazette.session import materialize as _mat
-    key = "article_id"
-    insights = "insights" in parts
-    weights = term_weights(sents, corpus, key=key, positions=insights, write=materialize)
-    if materialize and insights:      # read by the tag and the sentence branches
-        weights = _mat(weights, "weights")
-    empty = F.array().cast("array<string>")
-    out = sents
-    cols = ["article_id", *keep]
-    if "summary" in parts:
-        cols += [F.substring(F.array_join(F.slice("s", 1, SHORT_SENTENCES), " "), 1,
-                             C.SHORT_SUMMARY_CHARS).alias("short_summary"),
-                 F.array_join(F.slice("s", 1, DETAILED_SENTENCES), " ").alias("detailed_summary")]
-    if "tags" in parts:
-        wt = Window.partitionBy(key).orderBy(F.col("weight").desc(), F.col("term").asc())
-        tags = (weights.withColumn("r", F.row_number().over(wt)).filter(F.col("r") <= EXTRACT_TAGS)
-                .groupBy(key).agg(_ordered("term", "r").alias("tags")))
-        out = out.join(tags, key, "left")
-        cols.append(F.coalesce("tags", empty).alias("tags"))
+    (ties: position), in text order; weights as in term_weights, N and df over the corpus (default: the
+    articles). Articles are taken in blocks (see term_blocks), each row by itself: the text is
+    read once and written once with its terms."""
+    summary, tags, insights = (p in parts for p in ALL_PARTS)
+    columns = list(dict.fromkeys(["article_id", *EDITION, *keep]))
     if insights:
-        scored = (weights.select(key, "weight", F.explode("pos").alias("s_pos"))
-                  .groupBy(key, "s_pos").agg(F.round(F.avg("weight"), WEIGHT_DIGITS).alias("score")))
-        ws = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col("s_pos").asc())
-        top = (scored.withColumn("r", F.row_number().over(ws)).filter(F.col("r") <= EXTRACT_INSIGHTS)
-               .groupBy(key).agg(F.array_sort(F.collect_list("s_pos")).alias("_top")))
-        out = out.join(top, key, "left")
-        cols.append(F.coalesce(F.transform("_top", lambda p: F.get(F.col("s"), p)), empty).alias("key_insights"))
-    cols += [F.lit("extractive").alias("provider"), F.lit(True).alias("parsed")]
-    return out.select(*cols)
-
-
-def extractive_summaries(articles: DataFrame, corpus: DataFrame | None = None, materialize: bool = True) -> DataFrame:
-    """Z2 default provider, all on Spark. The sentence frame and the term weights are
-    written once (shared checkpoint folder) because several branches read them."""
-    from gazette.session import materialize as _mat
+        columns.append("s")
+    elif summary:
+        columns.append(F.slice("s", 1, DETAILED_SENTENCES).alias("s"))
+    encoded = encode(sents, columns)
+    of_corpus = None if corpus is None else encode(corpus, EDITION)
+    out = ranked(encoded, of_corpus, EXTRACT_TAGS if tags else 0, EXTRACT_INSIGHTS if insights else 0, WEIGHT_DIGITS,
+                 SHORT_SENTENCES if summary else 0, DETAILED_SENTENCES)
+    added = [c for given, names in ((summary, ["short_summary", "detailed_summary"]), (tags, ["tags"]), (insights, ["key_insights"]))
+             if given for c in names]
+    return out.select("article_id", *keep, *added, F.lit("extractive").alias("provider"), F.lit(True).alias("parsed"))
+
+
+def extractive_summaries(articles: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
+    """Z2 default provider, all on Spark."""
     sents = with_sentences(articles.select("article_id", *EDITION, "content"))
     csents = None if corpus is None else with_text_only(corpus.select("article_id", *EDITION, "content"))
-    return summaries_from_sentences(_mat(sents, "sentences") if materialize else sents, csents, materialize=materialize)
+    return summaries_from_sentences(sents, csents)
 
 
 # --------------------------------------------------------------------------- provider hook

@@ -33,21 +33,15 @@ def unique_articles(spark, sf):
 
 def ranked_pairs(spark, sf, run_cap=None, parts=Z.ALL_PARTS, write_pairs=True):
     """Articles of each edition in canonical order (rn), with their extractive summaries.
-    run_cap None = whole edition; 20 = max_articles_per_run. The text is read once:
-    article metadata and sentence arrays are written as one stage, and the pairs (no
-    text) as another, since editions aggregate them many ways."""
+    run_cap None = whole edition; 20 = max_articles_per_run. The text is
+    split once: metadata, sentences (if asked for) and terms are written as one stage, and the
+    pairs (no text) as another, since editions aggregate them many ways."""
     from gazette.session import materialize
     if run_cap is None:
         arts = unique_articles(spark, sf)
     else:
         arts = D.first_capped(articles_from_documents(table(spark, sf, "documents")), run_cap)
-    if set(parts) == {"tags"}:      # term statistics only: terms and counts, no text, written once
-        meta = [c for c in arts.columns if c not in ("article_id", "content")]
-        counted = materialize(Z.with_terms(Z.with_text_only(arts), positions=False,
-                                           keep=[c for c in meta if c not in S.EDITION]), "terms")
-        p = Z.summaries_from_sentences(counted, parts=parts, keep=meta)
-        return materialize(p, "pairs") if write_pairs else p
-    sents = materialize(Z.with_sentences(arts), "sentences")
+    sents = Z.with_text_only(arts) if set(parts) == {"tags"} else Z.with_sentences(arts)
     meta = [c for c in sents.columns if c not in ("article_id", "s")]
     p = Z.summaries_from_sentences(sents, keep=meta, parts=parts)
     return materialize(p, "pairs") if write_pairs else p
@@ -56,10 +50,9 @@ def ranked_pairs(spark, sf, run_cap=None, parts=Z.ALL_PARTS, write_pairs=True):
 def head_pairs(spark, sf, k: int):
     """The first k articles of each edition with summaries whose term statistics (N, df)
     come from the whole edition: the per-article work runs for the head only."""
-    from gazette.session import materialize
     unique = unique_articles(spark, sf)
     head = D.first_capped(articles_from_documents(table(spark, sf, "documents")), k)
-    sents = materialize(Z.with_sentences(head), "sentences")
+    sents = Z.with_text_only(head)
     meta = [c for c in sents.columns if c not in ("article_id", "s")]
     corpus = Z.with_text_only(unique.select("article_id", "niche", "run_date", "content"))
     return Z.summaries_from_sentences(sents, corpus=corpus, keep=meta, parts=("tags",))
