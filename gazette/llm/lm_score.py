@@ -35,7 +35,7 @@ HEAD_WORDS, HEAD_CHARS = 262_144, 48
 #: Rounds of training; positions of a shard in all rounds, and shards at most.
 ROUNDS, SHARD_TOKENS, MAX_SHARDS = 4, 1_000_000, 16_384
 _END, _SUFFIX = 0, 3
-_BATCH = 4096
+_BATCH = 2048
 
 
 class Units(dict):
@@ -62,6 +62,10 @@ class Units(dict):
         u = self[word] = self.class_of(word)
         return u
 
+    def of_word(self, word: str) -> int:
+        """The unit of one word, not kept."""
+        return self.get(word) or self.class_of(word)
+
     def of(self, ws: list[str]) -> np.ndarray:
         """Units of a text's words and its end."""
         return np.append(np.fromiter(map(self.__getitem__, ws), np.int32, len(ws)), _END)
@@ -79,6 +83,24 @@ def contexts(units: np.ndarray, starts: np.ndarray, start_unit: int) -> np.ndarr
     return out
 
 
+class Known(dict):
+    """word -> place in the head, or behind it the place of the unit of any other word. Holds a
+    bounded number of other words."""
+
+    def __init__(self, head: list[str], units: Units, limit: int = 200_000):
+        super().__init__(zip(head, range(len(head))))
+        self.size, self.units, self.limit, self.others = len(head), units, limit, []
+
+    def __missing__(self, word: str) -> int:
+        if len(self.others) >= self.limit:
+            for w in self.others:
+                del self[w]
+            self.others.clear()
+        place = self[word] = self.size + self.units.of_word(word)
+        self.others.append(word)
+        return place
+
+
 class LogBilinear:
     """score(unit | context) = sum_j C_j * q(unit_j) . r(unit) + b(unit), with a diagonal
     C_j for each distance."""
@@ -108,52 +130,92 @@ class LogBilinear:
         """One pass of noise-contrastive steps: tell each unit from NOISE drawn by share."""
         u = len(self.b)
         log_noise = np.log(NOISE * self.share).astype(np.float32)
-        cum = np.cumsum(self.share)
+        draw = Drawer(np.cumsum(self.share))
         for k in range(0, len(unit), 1024):
             ctx, pos = context[k:k + 1024], unit[k:k + 1024]
             n = len(pos)
-            noise = np.minimum(np.searchsorted(cum, rng.random((n, NOISE))), u - 1).astype(np.int32)
-            cand = np.concatenate([pos[:, None], noise], axis=1)
-            qs = self.q[ctx]
-            h = (qs * self.c[None]).sum(1)
-            z = np.einsum("ns,nks->nk", h, self.r[cand]) + self.b[cand] - log_noise[cand]
+            noise = draw(rng.random((n, NOISE)))
+            flat = (np.arange(n)[:, None] * u + np.concatenate([pos[:, None], noise], axis=1)).ravel()
+            h = self.hidden(ctx)
+            # all units at once, of which the drawn ones are taken
+            z = (h @ self.r.T + (self.b - log_noise)).ravel()[flat].reshape(n, NOISE + 1)
             err = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             err[:, 0] -= 1
             # scattered into units by one matrix product
-            flat = (np.arange(n)[:, None] * u + cand).ravel()
             weight = np.bincount(flat, err.ravel(), n * u).reshape(n, u).astype(np.float32)
             dr, db = weight.T @ h, weight.sum(0)
             dh = weight @ self.r
-            dc = np.stack([(dh * qs[:, j]).sum(0) for j in range(CONTEXT)])
-            dq = np.zeros(self.q.shape, np.float32)
-            for j in range(CONTEXT):
-                g = dh * self.c[j]
-                for s in range(SIZE):
-                    dq[:, s] += np.bincount(ctx[:, j], g[:, s], len(dq)).astype(np.float32)
+            at = [sums_by(ctx[:, j], dh, len(self.q)) for j in range(CONTEXT)]
+            dc = np.stack([(x * self.q).sum(0) for x in at])
+            dq = sum(x * c for x, c in zip(at, self.c))
             for p, g, s in zip((self.q, self.r, self.c, self.b), (dq, dr, dc, db), self._steps):
                 g /= 32
                 s += g * g
                 p -= rate * g / np.sqrt(s)
 
+    def hidden(self, context: np.ndarray, tables: list[np.ndarray] | None = None) -> np.ndarray:
+        tables = tables or self.tables()
+        h = tables[0].take(context[:, 0], axis=0)
+        for j in range(1, CONTEXT):
+            h += tables[j].take(context[:, j], axis=0)
+        return h
+
+    def tables(self) -> list[np.ndarray]:
+        return [self.q * self.c[j] for j in range(CONTEXT)]
+
     def log_probabilities(self, context: np.ndarray, unit: np.ndarray) -> np.ndarray:
         """Natural log of the normalised probability of each unit after its context."""
-        tables = [self.q * self.c[j] for j in range(CONTEXT)]
-        rt = np.ascontiguousarray(self.r.T)
+        # a bound of every score shifts it in the product itself; where it is too far above
+        # the scores to keep their digits, the largest of each row does
+        longest = np.sqrt((self.r.astype(np.float64) ** 2).sum(1).max())
+        highest, lowest = float(self.b.max()), float(self.b.min())
+        rt = np.vstack([self.r.T, self.b, np.ones(len(self.b))]).astype(np.float32)
+        tables, ones = self.tables(), np.ones(len(self.b), np.float32)
         out = np.empty(len(unit), np.float64)
         for k in range(0, len(unit), _BATCH):
-            ctx = context[k:k + _BATCH]
-            h = tables[0][ctx[:, 0]]
-            for j in range(1, CONTEXT):
-                h += tables[j][ctx[:, j]]
-            z = h @ rt
-            z += self.b
-            z -= z.max(axis=1, keepdims=True)
-            own = z[np.arange(len(ctx)), unit[k:k + _BATCH]].astype(np.float64)
+            h = self.hidden(context[k:k + _BATCH], tables)
+            reach = np.sqrt(np.einsum("ns,ns->n", h, h)) * longest
+            far = 2 * float(reach.max()) + highest - lowest > 60
+            wide = np.ones((len(h), SIZE + 2), np.float32)
+            wide[:, :SIZE] = h
+            wide[:, SIZE + 1] = 0 if far else -(reach + highest)
+            z = wide @ rt
+            if far:
+                z -= z.max(axis=1, keepdims=True)
+            own = z[np.arange(len(h)), unit[k:k + _BATCH]].astype(np.float64)
             np.exp(z, out=z)
-            out[k:k + _BATCH] = own - np.log(z.sum(axis=1, dtype=np.float64))
+            out[k:k + _BATCH] = own - np.log((z @ ones).astype(np.float64))
         return out
 
 
+class Drawer:
+    """Places of numbers from 0 to 1 in cumulated shares: looked up in steps of equal width, and
+    searched for in the few steps where a share ends."""
+
+    def __init__(self, cumulated: np.ndarray, steps: int = 1 << 15):
+        self.cumulated, self.steps = cumulated, steps
+        at = np.searchsorted(cumulated, np.arange(steps + 1) / steps)
+        self.at = np.minimum(at[1:], len(cumulated) - 1).astype(np.int32)
+        self.ends = at[1:] != at[:-1]
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        step = (x * self.steps).astype(np.int32)
+        out = self.at[step]
+        some = np.flatnonzero(self.ends[step].ravel())
+        out.ravel()[some] = np.minimum(np.searchsorted(self.cumulated, x.ravel()[some]), len(self.cumulated) - 1)
+        return out
+
+
+def sums_by(group: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """(n, width) sums of the rows of each group."""
+    order = np.argsort(group.astype(np.int16), kind="stable")
+    g = group[order]
+    starts = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    out[g[starts]] = np.add.reduceat(rows[order], starts, axis=0)
+    return out
+
+
 def _tokens(text: str | None) -> list[str]:
     return words(lower_az(text or ""))
 
@@ -288,14 +350,17 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
         if trained.num_rows:
             model.load(trained.column("x").to_numpy())
 
-    words_b = spark.sparkContext.broadcast((head_word, head_count, model, unit_n, unit_v))
+    words_b = spark.sparkContext.broadcast((head_word, head_count, units.of(head_word)[:-1].astype(np.uint8), model, unit_n, unit_v))
     base_denominator = float(np.log10(n_all + v_all + 1))
 
     def score(batches):
-        head_word, head_count, model, unit_n, unit_v = words_b.value
+        head_word, head_count, head_unit, model, unit_n, unit_v = words_b.value
         u = Units(frequent)
-        # count + 1 in the head, and 10's logarithm of it
-        known = dict(zip(head_word, np.log10(head_count + 1.0).tolist()))
+        places = Known(head_word, u)
+        # 10's logarithm of count + 1, 0 outside of the head; the unit; the end comes last
+        logs = np.concatenate([np.log10(head_count + 1.0), np.zeros(u.count), [np.log10(ends + 1)]])
+        unit_of = np.concatenate([head_unit, np.arange(u.count), [_END]]).astype(np.int32)
+        tail_at, end_at = len(head_word), len(logs) - 1
         within = np.log10(unit_n + unit_v + 1)
         within[:u.first_class] = 0.0
         in_class = np.zeros(len(unit_n))
@@ -304,29 +369,26 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
             for k in range(0, batch.num_rows, 64):
                 part = batch.slice(k, 64)
                 ids, held, texts = part.column(0), part.column(1), part.column(2).to_pylist()
-                rows_u, n_tokens, n_known, base_sum, class_sum, tails = [], [], [], [], [], []
+                rows, n_known, tails = [], [], []
                 for t in texts:
                     ws = _tokens(t)
-                    found = list(map(known.get, ws))
-                    tail: Counter = Counter()
-                    if None in found:
-                        tail.update([w for w, f in zip(ws, found) if f is None])
-                        found = [0.0 if f is None else f for f in found]
-                    un = u.of(ws)
-                    rows_u.append(un)
-                    f = np.array(found)
-                    n_tokens.append(len(un))
-                    n_known.append(len(ws) - sum(tail.values()) + (1 if ends else 0))
-                    base_sum.append(float(f.sum()) + float(np.log10(ends + 1)) - len(un) * base_denominator)
-                    class_sum.append(float((f * in_class[un[:-1]]).sum()) if len(ws) else 0.0)
-                    tails.append(list(tail.items()))
-                size = np.array([len(r) for r in rows_u])
-                starts = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
-                flat = np.concatenate(rows_u)
+                    x = np.empty(len(ws) + 1, np.int32)
+                    x[:-1] = np.fromiter(map(places.__getitem__, ws), np.int32, len(ws))
+                    x[-1] = end_at
+                    rows.append(x)
+                    unknown = np.flatnonzero(x[:-1] >= tail_at)
+                    n_known.append(len(ws) - len(unknown) + (1 if ends else 0))
+                    tails.append(list(Counter([ws[i] for i in unknown]).items()))
+                n_tokens = np.array([len(x) for x in rows])
+                starts = np.concatenate([[0], np.cumsum(n_tokens)[:-1]]).astype(np.int64)
+                flat = np.concatenate(rows)
+                log, flat = logs[flat], unit_of[flat]
+                base_sum = np.add.reduceat(log, starts) - n_tokens * base_denominator
+                class_sum = np.add.reduceat(log * in_class[flat], starts)
                 lp = model.log_probabilities(contexts(flat, starts, len(unit_n)), flat) / np.log(10) - within[flat]
                 yield pa.RecordBatch.from_arrays(
                     [ids, held, pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base_sum, pa.float64()),
-                     pa.array(np.add.reduceat(lp, starts) + np.array(class_sum)),
+                     pa.array(np.add.reduceat(lp, starts) + class_sum),
                      pa.array([[{"word": w, "n": n} for w, n in t] for t in tails], pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))],
                     names=["id", "held_out", "n_tokens", "n_known", "base", "model", "tail"])
 
