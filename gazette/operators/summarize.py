@@ -285,7 +285,7 @@ def summaries_from_sentences(sents: DataFrame, corpus: DataFrame | None = None,
         columns.append(F.slice("s", 1, DETAILED_SENTENCES).alias("s"))
     encoded = encode(sents, columns)
     of_corpus = None if corpus is None else encode(corpus, EDITION)
-    out = ranked(encoded, of_corpus, EXTRACT_TAGS if tags else 0, EXTRACT_INSIGHTS if insights else 0, WEIGHT_DIGITS,
+    out = ranked(encoded, of_corpus, sents.select(*columns).schema, EXTRACT_TAGS if tags else 0, EXTRACT_INSIGHTS if insights else 0, WEIGHT_DIGITS,
                  SHORT_SENTENCES if summary else 0, DETAILED_SENTENCES)
     added = [c for given, names in ((summary, ["short_summary", "detailed_summary"]), (tags, ["tags"]), (insights, ["key_insights"]))
              if given for c in names]

@@ -1,9 +1,10 @@
 """Term statistics of articles in blocks: document frequencies go to the articles and no
 (article, term) row is shuffled.
 
-1. Each task deals its articles, as it reads them, into blocks of a fixed number of characters.
+1. Each task deals its articles, as it reads them, into blocks of a fixed number of bytes.
    A block has a vocabulary: the distinct terms of an edition with the number of the block's
-   articles that hold them. Articles keep their terms as places in it. One pass over the text.
+   articles that hold them. Its articles, with their terms as places in it, are one
+   compressed Arrow table. One pass over the text.
 2. Frequencies are summed over the blocks by (edition, term). A term has one row for each block
    that holds it, so no key is hot, and its sum returns to these blocks.
 3. Each block meets its frequencies and ranks every article's terms and sentences.
@@ -23,121 +24,134 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from gazette import config as C
 from gazette.operators.select import EDITION
 
-#: Characters of terms in a block; a longer text is a block of its own.
-BLOCK_CHARS = 4_000_000
-#: Blocks that one task ranks, about.
-TASK_BLOCKS = 4
+#: Bytes of terms in a block; a longer text is a block of its own.
+BLOCK_CHARS = 16_000_000
 _MIN_LETTERS = 3
-_SHORT = -2
 _EDITION = "\u0002"         # the entry of the edition in a vocabulary; no term
 _NEXT = "\u0001"            # between the terms of two sentences; no sentence holds it
 _VOCABULARY = T.ArrayType(T.StructType([T.StructField("i", T.IntegerType()), T.StructField("term", T.StringType()),
                                         T.StructField("n", T.LongType())]))
-_OWN = ("_block", "_codes", "_terms", "_vocabulary")
-
-
-class _Places(dict):
-    """term -> place in the block's vocabulary, given out as terms come. Below 0: the end of a
-    sentence and letter runs too short for a term."""
-
-    def __init__(self, taken: list[int]):
-        super().__init__({_NEXT: -1})
-        self.taken = taken
-        self.edition = self._next(_EDITION)
-
-    def _next(self, term: str) -> int:
-        place = self[term] = self.taken[0]
-        self.taken[0] += 1
-        return place
-
-    def __missing__(self, term: str) -> int:
-        if len(term) >= _MIN_LETTERS:
-            return self._next(term)
-        self[term] = _SHORT
-        return _SHORT
-
-
-def _encoder(names: list[str], chars: int):
-    """Batches of (names..., _lines) → the rows with _block and _codes, and after each block a row
-    for each edition with its vocabulary. _codes: the place of the edition, then of each
-    occurrence of a term, -1 between sentences; empty for a null edition. In the row of a vocabulary the
-    places of _terms, its terms with blanks between (compact, for the block itself)."""
+_ENTRIES = pa.list_(pa.struct([("i", pa.int32()), ("term", pa.string()), ("n", pa.int64())]))
+
+
+def _packed(columns: dict) -> bytes:
+    """A table as one compressed value."""
+    table, sink = pa.table(columns), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(column: pa.ChunkedArray) -> pa.Table:
+    return pa.ipc.open_stream(column[0].as_buffer()).read_all()
+
+
+def _places(values: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values as they come first, and the place of each value among them (-1 at `ends`)."""
+    coded = pa.array(values, mask=ends).dictionary_encode()
+    return coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+
+
+def _coded(lines: pa.Array, edition: np.ndarray, whole: bool):
+    """For the lines of a block and the number of each article's edition (-1: none): the articles and
+    places of all occurrences of terms, -1 between sentences (not `whole`: left out), the terms by
+    place, their editions and how many articles hold them, the pairs of article and place, each
+    once, and their counts."""
+    blanks = pc.replace_substring(lines.fill_null(""), _NEXT, f" {_NEXT} " if whole else " ")
+    parts = pc.split_pattern(blanks, " ")
+    words = parts.flatten().dictionary_encode()
+    at, held = words.indices.to_numpy(), words.dictionary
+    row = np.repeat(np.arange(len(lines)), np.diff(parts.offsets.to_numpy()))
+    ending = pc.equal(held, _NEXT).to_numpy(zero_copy_only=False)
+    use = ((pc.utf8_length(held).to_numpy() >= _MIN_LETTERS) | ending)[at] & (edition[row] >= 0)
+    row, at = row[use], at[use].astype(np.int64)
+    entry, ends = edition[row] * len(held) + at, ending[at]
+    possible = (int(edition.max(initial=-1)) + 1) * len(held)
+    if possible <= 4 * len(entry):          # a map of all entries that can be is quicker than hashes
+        given = np.zeros(possible, bool)
+        given[entry[~ends]] = True
+        distinct = np.flatnonzero(given)
+        place = np.where(ends, -1, (np.cumsum(given) - 1)[entry])
+    else:
+        distinct, place = _places(entry, ends)
+    of, term = np.divmod(distinct, max(1, len(held)))
+    word = place >= 0
+    each = np.sort(row[word] * max(1, len(distinct)) + place[word])
+    first = np.flatnonzero(np.append(True, each[1:] != each[:-1])) if len(each) else np.zeros(0, np.int64)
+    pairs = each[first]
+    n = np.bincount(pairs % max(1, len(distinct)), minlength=len(distinct))
+    return row, place, held.take(pa.array(term)), of, n, pairs, np.diff(np.append(first, len(each)))
+
+
+def _encoder(names: list[str], size_of_block: int, packed: bool, whole: bool):
+    """Batches of (names..., _lines) → for each block a row for each edition with its vocabulary
+    and, if `packed`, one with the block's articles: _rows, their columns with `_n`, how many codes each
+    has, and `_edition`, the place of its edition (-1: none); _codes, `place` for each occurrence of a term,
+    -1 between sentences (not `whole`: for each term of an article, with its count `tf`); _terms by place."""
     niche, day = (names.index(c) for c in EDITION)
 
     def run(batches):
         from pyspark import TaskContext
         block = TaskContext.get().partitionId() << 32
-        taken, places, found, size = [0], {}, [], 0
-
-        def batch_of(columns, n, codes, terms, vocabulary):
-            return pa.RecordBatch.from_arrays([*columns, pa.array([block] * n, pa.int64()), codes, terms, vocabulary], names=[*names, *_OWN])
-
-        vocabulary_type = pa.list_(pa.struct([("i", pa.int32()), ("term", pa.string()), ("n", pa.int64())]))
-
-        def vocabularies(types):
-            held = np.bincount(np.concatenate(found), minlength=taken[0])
-            terms, at, ends, joined, places_of = [], [], [0], [], []
-            for own in places.values():
-                given = [(w, k) for w, k in own.items() if k >= 0]
-                terms += [w for w, _ in given]
-                at += [k for _, k in given]
-                joined.append(" ".join(w for w, _ in given))
-                places_of.append(np.array([k for _, k in given], np.int32).tobytes())
-                ends.append(len(at))
-            at = np.array(at, np.int32)
-            entries = pa.StructArray.from_arrays([pa.array(at), pa.array(terms, pa.string()), pa.array(held[at].astype(np.int64))], names=["i", "term", "n"])
-            editions = list(places)
-            columns = [pa.array([e[0] for e in editions], t) if k == niche else pa.array([e[1] for e in editions], t) if k == day
-                       else pa.nulls(len(editions), t) for k, t in enumerate(types)]
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries).cast(vocabulary_type)
-            return batch_of(columns, len(editions), pa.array(places_of, pa.binary()), pa.array(joined, pa.string()), lists)
-
-        types = None
+        parts, size = [], 0
+
+        def rows():
+            table = pa.Table.from_batches(parts).combine_chunks()
+            own, lines = table.select(names), pa.concat_arrays(table.column(len(names)).chunks)
+            editions: dict[tuple, int] = {}
+            edition = np.array([-1 if None in e else editions.setdefault(e, len(editions))
+                                for e in zip(own.column(niche).to_pylist(), own.column(day).to_pylist())], np.int64)
+            row, place, terms, of, n, pairs, tf = _coded(lines, edition, whole)
+            each = np.bincount(edition[edition >= 0], minlength=len(editions))
+            order = np.argsort(of, kind="stable")
+            ends = np.searchsorted(of[order], np.arange(1, len(editions) + 1))
+            # the terms of an edition, then its own entry
+            i = np.insert(order, ends, len(of) + np.arange(len(editions)))
+            entries = pa.StructArray.from_arrays(
+                [pa.array(i, pa.int32()), pa.concat_arrays([terms, pa.array([_EDITION] * len(editions), pa.string())]).take(pa.array(i)),
+                 pa.array(np.append(n, each)[i], pa.int64())], names=["i", "term", "n"])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends + np.arange(1, len(editions) + 1)), pa.int32()), entries).cast(_ENTRIES)
+            values = [[], [], []]
+            if packed:
+                codes = {"place": pa.array(place, pa.int32())} if whole else {"place": pa.array(pairs % max(1, len(of)), pa.int32()), "tf": pa.array(tf, pa.int32())}
+                held = np.bincount(row if whole else pairs // max(1, len(of)), minlength=len(edition))
+                columns = {c: own.column(c) for c in names} | {"_n": pa.array(held), "_edition": pa.array(np.where(edition < 0, -1, edition + len(of)))}
+                values = [[_packed(columns)], [_packed(codes)], [_packed({"term": terms})]]
+            more = len(values[0])
+            key = [pa.array([e[k] for e in editions] + [None] * more, own.column(c).type) for k, c in enumerate((niche, day))]
+            return pa.RecordBatch.from_arrays(
+                [*key, pa.array([block] * (len(editions) + more), pa.int64()), *(pa.array([None] * len(editions) + v, pa.binary()) for v in values),
+                 pa.concat_arrays([lists, pa.nulls(more, _ENTRIES)])], names=[*EDITION, "_block", "_rows", "_codes", "_terms", "_vocabulary"])
+
         for batch in batches:
-            types = [batch.column(k).type for k in range(len(names))]
-            editions = zip(batch.column(niche).to_pylist(), batch.column(day).to_pylist())
-            codes, start = [], 0
-
-            def rows(end):
-                part = batch.slice(start, end - start)
-                return batch_of(part.columns[:len(names)], part.num_rows, pa.array(codes, pa.binary()),
-                                pa.nulls(part.num_rows, pa.string()), pa.nulls(part.num_rows, vocabulary_type))
-
-            for k, (edition, lines) in enumerate(zip(editions, batch.column(len(names)).to_pylist())):
-                if None in edition:
-                    codes.append(b"")
-                else:
-                    own = places.get(edition)
-                    if own is None:
-                        own = places[edition] = _Places(taken)
-                    words = (lines or "").replace(_NEXT, f" {_NEXT} ").split(" ")
-                    x = np.fromiter(map(own.__getitem__, words), np.int32, len(words))
-                    x = np.append(np.int32(own.edition), x[x != _SHORT])
-                    codes.append(x.tobytes())
-                    found.append(np.unique(x[x >= 0]))
-                    size += len(lines or "")
-                if size >= chars:
-                    yield rows(k + 1)
-                    yield vocabularies(types)
-                    block, taken, places, found, size, codes, start = block + 1, [0], {}, [], 0, [], k + 1
-            if codes:
-                yield rows(batch.num_rows)
-        if places:
-            yield vocabularies(types)
+            sizes = pc.fill_null(pc.binary_length(batch.column(len(names))), 0).to_numpy(zero_copy_only=False)
+            start = 0
+            while start < batch.num_rows:
+                upto = start + int(np.searchsorted(size + np.cumsum(sizes[start:], dtype=np.int64), size_of_block)) + 1
+                parts.append(batch.slice(start, upto - start))
+                size += int(sizes[start:upto].sum())
+                start = upto
+                if size >= size_of_block:
+                    yield rows()
+                    block, parts, size = block + 1, [], 0
+        if parts:
+            yield rows()
 
     return run
 
 
 def encode(sents: DataFrame, columns, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(columns, _block, _codes, _terms, _vocabulary) of articles with sentence arrays `s`, written once:
-    block numbers are those of the tasks that dealt them."""
+    """Blocks of articles with sentence arrays `s` (see _encoder), written once: block numbers are those of the
+    tasks that dealt them. Where `s` is not among the columns, terms are kept with their counts and not
+    where they stand; the edition alone as columns: only vocabularies."""
     from gazette.session import materialize
     lines = F.regexp_replace(F.lower(F.array_join("s", _NEXT)), r"[^\p{L}\x01]+", " ")
     rows = sents.select(*columns, lines.alias("_lines"))
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("_block", T.LongType()), T.StructField("_codes", T.BinaryType()),
-                           T.StructField("_terms", T.StringType()), T.StructField("_vocabulary", _VOCABULARY)])
-    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])      # vocabularies have no other columns
-    return materialize(rows.mapInArrow(_encoder(rows.columns[:-1], block_chars), nullable), "term-blocks", "zstd")
+    names = rows.columns[:-1]
+    schema = T.StructType([*(T.StructField(c, rows.schema[c].dataType) for c in EDITION), T.StructField("_block", T.LongType()),
+                           *(T.StructField(c, T.BinaryType()) for c in ("_rows", "_codes", "_terms")), T.StructField("_vocabulary", _VOCABULARY)])
+    whole = any(isinstance(c, str) and c == "s" for c in columns)
+    return materialize(rows.mapInArrow(_encoder(names, block_chars, names != list(EDITION), whole), schema), "term-blocks", "zstd")
 
 
 def _entries(encoded: DataFrame) -> DataFrame:
@@ -153,9 +167,8 @@ def frequencies(encoded: DataFrame, corpus: DataFrame | None = None) -> DataFram
     else:
         entries = (entries.withColumns({"n": F.lit(0).cast("bigint"), "_own": F.lit(True)})
                    .unionByName(_entries(corpus).withColumn("_own", F.lit(False))))
-    # the hash in front sorts by one number; the columns behind keep it exact
-    same = Window.partitionBy("_h", *EDITION, "term")
-    summed = (entries.withColumn("_h", F.xxhash64(*EDITION, "term")).withColumn("df", F.sum("n").over(same)))
+    same = Window.partitionBy("term", *EDITION)
+    summed = entries.withColumn("df", F.sum("n").over(same))
     return summed.filter("_own AND df <> 1").select("_block", "i", "df")
 
 
@@ -174,56 +187,56 @@ def _first(group: np.ndarray, k: int) -> np.ndarray:
     return np.arange(len(group)) - np.repeat(starts, np.diff(np.append(starts, len(group)))) < k
 
 
-def _top(rows: list[np.ndarray], df: np.ndarray, n_tags: int, n_insights: int, digits: int):
-    """For the codes of a block's articles: (article, place, weight) of the terms that can be among
-    the top n_tags, ties with the last one included, and (article, position) of the top sentences, in
-    text order."""
-    given = np.array([k for k, x in enumerate(rows) if len(x) > 1], np.int64)
-    bodies = [rows[k][1:] for k in given]
-    flat = np.concatenate([np.zeros(0, np.int32), *bodies])
-    row = np.repeat(given, [len(x) for x in bodies])
-    n = np.zeros(len(rows), np.int64)
-    n[given] = df[[rows[k][0] for k in given]] if len(given) else 0
-    word = flat >= 0
-    distinct, place, tf = np.unique(row[word] * len(df) + flat[word], return_inverse=True, return_counts=True)
-    of, term = np.divmod(distinct, max(1, len(df)))
+def _top(codes: pa.Table, n: np.ndarray, held: np.ndarray, df: np.ndarray, n_tags: int, n_insights: int, digits: int):
+    """For the codes of a block's articles, the size of each one's edition (0: none) and how many codes each
+    has: (article, place, weight) of the terms that can be among the top n_tags, ties with the last
+    one included, and (article, position) of the top sentences, in text order."""
+    flat = codes.column("place").to_numpy()
+    row = np.repeat(np.arange(len(held)), held)
+    if "tf" in codes.column_names:
+        of, term, tf = row, flat, codes.column("tf").to_numpy()
+    else:
+        word = flat >= 0
+        distinct, place = _places(row[word] * len(df) + flat[word])
+        tf = np.bincount(place, minlength=len(distinct))
+        of, term = np.divmod(distinct, max(1, len(df)))
     d = df[term]
     kept = (d > 0) & (2 * d <= n[of])
-    weight = np.zeros(len(distinct))
+    weight = np.zeros(len(term))
     weight[kept] = round_half_up(tf[kept] * np.log(n[of][kept].astype(np.float64) / d[kept]), digits)
     best = top = None
     if n_tags:
         r, c, w = of[kept], term[kept], weight[kept]
         order = np.lexsort((-w, r))
         r, c, w = r[order], c[order], w[order]
-        lowest = np.full(len(rows), np.inf)
+        lowest = np.full(len(held), np.inf)
         first = _first(r, n_tags)
         np.minimum.at(lowest, r[first], w[first])
         can = w >= lowest[r]
         best = r[can], c[can], w[can]
     if n_insights:
-        starts = np.cumsum([0, *(len(x) for x in bodies)])[:-1]
         before = np.cumsum(~word) - (~word)         # ends of sentences before each entry
-        pos = before - np.repeat(before[starts] if len(starts) else starts, [len(x) for x in bodies])
+        begin = np.cumsum(held) - held
+        pos = before - np.repeat(np.append(before, 0)[begin], held)
         use = kept[place]
         width = int(pos.max(initial=0)) + 1
-        at, back = np.unique((row[word] * width + pos[word])[use], return_inverse=True)
+        at, back = _places((row[word] * width + pos[word])[use])        # in text order
         score = round_half_up(np.bincount(back, weight[place][use], len(at)) / np.bincount(back, minlength=len(at)), digits)
         r, p = np.divmod(at, width)
         order = np.lexsort((p, -score, r))
-        order = np.sort(order[_first(r[order], n_insights)])        # `at` is in text order
+        order = np.sort(order[_first(r[order], n_insights)])
         top = r[order], p[order]
     return best, top
 
 
-def ranked(encoded: DataFrame, corpus: DataFrame | None, tags: int, insights: int, digits: int,
+def ranked(encoded: DataFrame, corpus: DataFrame | None, columns: T.StructType, tags: int, insights: int, digits: int,
            short: int = 0, detailed: int = 0) -> DataFrame:
-    """The articles of `encoded` with `tags`, their top terms by weight round(tf * ln(N/df)) (ties:
-    term; terms of more than half of the edition drop out), and, from their sentences `s`,
+    """The articles of `encoded`, made of `columns`, with `tags`, their top terms by weight round(tf * ln(N/df))
+    (ties: term; terms of more than half of the edition drop out), and, from their sentences `s`,
     `key_insights`, the top sentences by rounded mean weight of kept occurrences (ties: position), in
     text order, `short_summary` and `detailed_summary`, the first sentences. A number of 0
     leaves the column out, and `s` is not passed on."""
-    names = [c for c in encoded.columns if c not in (*_OWN, "s")]
+    names = [c for c in columns.names if c != "s"]
     strings = T.ArrayType(T.StringType())
     added = [*([("tags", strings)] if tags else []), *([("key_insights", strings)] if insights else []),
              *([("short_summary", T.StringType()), ("detailed_summary", T.StringType())] if short else [])]
@@ -232,21 +245,19 @@ def ranked(encoded: DataFrame, corpus: DataFrame | None, tags: int, insights: in
         ends = np.append(0, np.cumsum(np.bincount(articles, minlength=n)))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
-    def score(rows: pa.Table, known: pa.Table) -> pa.Table:
-        given = rows.column("_terms").is_valid()
-        own, vocabularies = rows.filter(pc.invert(given)), rows.filter(given)
-        places = [np.frombuffer(x.as_py(), np.int32) for x in vocabularies.column("_codes")]
-        df = np.ones(sum(len(x) for x in places), np.int64)
-        df[known.column("i").to_numpy()] = known.column("df").to_numpy()
-        codes = [np.frombuffer(x.as_py(), np.int32) for x in own.column("_codes")]
-        best, top = _top(codes, df, tags, insights, digits)
+    def score(block: pa.Table, known: pa.Table) -> pa.Table:
+        own = _unpacked(block.column("_rows"))
+        edition, held = own.column("_edition").to_numpy(), own.column("_n").to_numpy()
+        codes = _unpacked(block.column("_codes"))
+        i = known.column("i").to_numpy()
+        df = np.ones(1 + max(int(x.max(initial=-1)) for x in (i, edition, codes.column("place").to_numpy())), np.int64)
+        df[i] = known.column("df").to_numpy()
+        best, top = _top(codes, np.where(edition < 0, 0, np.append(df, 0)[edition]), held, df, tags, insights, digits)
         out = [own.column(c) for c in names]
         if tags:
-            terms = [None] * len(df)
-            for x, joined in zip(places, vocabularies.column("_terms")):
-                for i, t in zip(x.tolist(), joined.as_py().split(" ")):
-                    terms[i] = t
-            order = sorted((r, -w, terms[c]) for r, c, w in zip(*(x.tolist() for x in best)))
+            of, place, weight = best
+            terms = _unpacked(block.column("_terms")).column("term").take(pa.array(place)).to_pylist()
+            order = sorted(zip(of.tolist(), (-weight).tolist(), terms))
             at = np.array([r for r, _, _ in order], np.int64)
             first = _first(at, tags)
             out.append(lists(at[first], own.num_rows, pa.array([t for (_, _, t), f in zip(order, first) if f], pa.string())))
@@ -260,12 +271,9 @@ def ranked(encoded: DataFrame, corpus: DataFrame | None, tags: int, insights: in
             out.append(pa.array([None if x is None else " ".join(x) for x in heads], pa.string()))
         return pa.table(out, names=[*names, *(c for c, _ in added)])
 
-    rows = encoded.select(*names, *(["s"] if insights or short else []), "_block", "_codes",
-                          ("_terms" if tags else F.when(F.col("_terms").isNotNull(), F.lit("")).alias("_terms")))
-    blocks = encoded.filter("_vocabulary IS NOT NULL").select("_block").distinct().count()
-    tasks = max(1, min(blocks, max(-(-blocks // TASK_BLOCKS), encoded.sparkSession.sparkContext.defaultParallelism)))
+    rows = encoded.filter("_rows IS NOT NULL").select("_block", "_rows", "_codes", *(["_terms"] if tags else []))
+    tasks = max(1, rows.select("_block").count())
     known = frequencies(encoded, corpus).repartition(tasks, "_block")
-    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in encoded.select(*names).schema),
-                           *(T.StructField(c, t) for c, t in added)])
+    schema = T.StructType([*(T.StructField(c, columns[c].dataType) for c in names), *(T.StructField(c, t) for c, t in added)])
     return (rows.repartition(tasks, "_block").groupBy("_block")
             .cogroup(known.groupBy("_block")).applyInArrow(score, schema))
