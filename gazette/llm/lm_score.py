@@ -35,7 +35,7 @@ HEAD_WORDS, HEAD_CHARS = 262_144, 48
 #: Rounds of training; positions of a shard in all rounds, and shards at most.
 ROUNDS, SHARD_TOKENS, MAX_SHARDS = 4, 1_000_000, 16_384
 _END, _SUFFIX = 0, 3
-_BATCH = 2048
+_BATCH = 512        # scores of a batch stay in a core's cache
 
 
 class Units(dict):
@@ -75,11 +75,13 @@ def contexts(units: np.ndarray, starts: np.ndarray, start_unit: int) -> np.ndarr
     """(positions, CONTEXT) units before each position of concatenated texts, nearest
     first; start_unit before a text begins."""
     n = len(units)
-    since = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
     out = np.full((n, CONTEXT), start_unit, np.int32)
     for j in range(1, CONTEXT + 1):
-        ok = since >= j
-        out[ok, j - 1] = units[np.flatnonzero(ok) - j]
+        out[j:, j - 1] = units[:-j]
+    ends = np.append(starts[1:], n)
+    for i in range(CONTEXT):                # the positions next to a text's start
+        at = starts[starts + i < ends] + i
+        out[at, i:] = start_unit
     return out
 
 
@@ -141,10 +143,14 @@ class LogBilinear:
             z = (h @ self.r.T + (self.b - log_noise)).ravel()[flat].reshape(n, NOISE + 1)
             err = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             err[:, 0] -= 1
-            # scattered into units by one matrix product
-            weight = np.bincount(flat, err.ravel(), n * u).reshape(n, u).astype(np.float32)
-            dr, db = weight.T @ h, weight.sum(0)
-            dh = weight @ self.r
+            # scattered into units by matrix products, of few rows at a time that stay in a core's cache
+            dr, db, dh = np.zeros_like(self.r), np.zeros_like(self.b), np.empty_like(h)
+            for i in range(0, n, 128):
+                part = err[i:i + 128]
+                weight = np.bincount(flat[i * (NOISE + 1):(i + 128) * (NOISE + 1)] - i * u, part.ravel(), len(part) * u).reshape(-1, u).astype(np.float32)
+                dr += weight.T @ h[i:i + 128]
+                db += weight.sum(0)
+                np.matmul(weight, self.r, out=dh[i:i + 128])
             at = [sums_by(ctx[:, j], dh, len(self.q)) for j in range(CONTEXT)]
             dc = np.stack([(x * self.q).sum(0) for x in at])
             dq = sum(x * c for x, c in zip(at, self.c))
@@ -331,46 +337,24 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     shards = min(max(1, -(-n_all // shard_tokens)), MAX_SHARDS)
     shared = spark.sparkContext.broadcast((frequent, unit_n))
 
-    def encode(batches):
-        u = Units(shared.value[0])
-        for batch in batches:
-            for k in range(0, batch.num_rows, 64):
-                part = batch.slice(k, 64)
-                found = [u.of(_tokens(t)).astype(np.uint8).tobytes() for t in part.column(1).to_pylist()]    # 256 units
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["key", "units"])
-
-    key = F.xxhash64("id", F.xxhash64("text"))
-    encoded = training.select(key.alias("key"), "text").mapInArrow(encode, "key bigint, units binary")
-    encoded = materialize(encoded.select("key", "units", F.pmod("key", F.lit(rounds)).cast("int").alias("round"),
-                                         F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard")), "lm-units")
-    model = LogBilinear(unit_n)
-    for number in range(rounds if ends else 0):
-        now = spark.sparkContext.broadcast(model.parameters())
-        trained = _train_round(encoded.filter(F.col("round") == number), shards, number, unit_n, now).toArrow()
-        if trained.num_rows:
-            model.load(trained.column("x").to_numpy())
-
-    words_b = spark.sparkContext.broadcast((head_word, head_count, units.of(head_word)[:-1].astype(np.uint8), model, unit_n, unit_v))
+    words_b = spark.sparkContext.broadcast((head_word, head_count, units.of(head_word)[:-1].astype(np.uint8)))
     base_denominator = float(np.log10(n_all + v_all + 1))
 
-    def score(batches):
-        head_word, head_count, head_unit, model, unit_n, unit_v = words_b.value
-        u = Units(frequent)
+    def encode(batches):
+        head_word, head_count, head_unit = words_b.value
+        u = Units(shared.value[0])
         places = Known(head_word, u)
         # 10's logarithm of count + 1, 0 outside of the head; the unit; the end comes last
         logs = np.concatenate([np.log10(head_count + 1.0), np.zeros(u.count), [np.log10(ends + 1)]])
-        unit_of = np.concatenate([head_unit, np.arange(u.count), [_END]]).astype(np.int32)
+        unit_of = np.concatenate([head_unit, np.arange(u.count), [_END]]).astype(np.uint8)      # 256 units
         tail_at, end_at = len(head_word), len(logs) - 1
-        within = np.log10(unit_n + unit_v + 1)
-        within[:u.first_class] = 0.0
-        in_class = np.zeros(len(unit_n))
+        in_class = np.zeros(u.count)
         in_class[u.first_class:] = 1.0
         for batch in batches:
             for k in range(0, batch.num_rows, 64):
                 part = batch.slice(k, 64)
-                ids, held, texts = part.column(0), part.column(1), part.column(2).to_pylist()
                 rows, n_known, tails = [], [], []
-                for t in texts:
+                for t in part.column(3).to_pylist():
                     ws = _tokens(t)
                     x = np.empty(len(ws) + 1, np.int32)
                     x[:-1] = np.fromiter(map(places.__getitem__, ws), np.int32, len(ws))
@@ -385,20 +369,50 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
                 log, flat = logs[flat], unit_of[flat]
                 base_sum = np.add.reduceat(log, starts) - n_tokens * base_denominator
                 class_sum = np.add.reduceat(log * in_class[flat], starts)
-                lp = model.log_probabilities(contexts(flat, starts, len(unit_n)), flat) / np.log(10) - within[flat]
                 yield pa.RecordBatch.from_arrays(
-                    [ids, held, pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base_sum, pa.float64()),
-                     pa.array(np.add.reduceat(lp, starts) + class_sum),
+                    [*part.columns[:3], pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base_sum, pa.float64()), pa.array(class_sum),
+                     pa.array([x.tobytes() for x in np.split(flat, starts[1:])], pa.binary()),
                      pa.array([[{"word": w, "n": n} for w, n in t] for t in tails], pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))],
-                    names=["id", "held_out", "n_tokens", "n_known", "base", "model", "tail"])
+                    names=["id", "held_out", "key", "n_tokens", "n_known", "base", "in_class", "units", "tail"])
 
+    # every text is cut into words once more, for training and scoring both; a number for each
+    # row keeps rows that repeat an id apart
+    key = F.xxhash64("id", F.xxhash64("text"))
     id_type = docs.schema[id_col].dataType.simpleString()
-    scored = base.select("id", "held_out", "text").mapInArrow(score, f"id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base double, model double, tail array<struct<word:string,n:bigint>>")
-    # written with a number for each row, so rows that repeat an id stay apart
-    scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
-    tail = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n")
+    encoded = base.select("id", "held_out", key.alias("key"), "text").mapInArrow(
+        encode, f"id {id_type}, held_out boolean, key bigint, n_tokens bigint, n_known bigint, base double, in_class double, units binary, "
+                "tail array<struct<word:string,n:bigint>>")
+    encoded = materialize(encoded.withColumn("row", F.monotonically_increasing_id()), "lm-units")
+    learned = encoded.filter(~F.col("held_out")).select("key", "units", F.pmod("key", F.lit(rounds)).cast("int").alias("round"),
+                                                        F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"))
+    model = LogBilinear(unit_n)
+    for number in range(rounds if ends else 0):
+        now = spark.sparkContext.broadcast(model.parameters())
+        trained = _train_round(learned.filter(F.col("round") == number), shards, number, unit_n, now).toArrow()
+        if trained.num_rows:
+            model.load(trained.column("x").to_numpy())
+
+    fitted = spark.sparkContext.broadcast((model, unit_n, unit_v, units.first_class))
+
+    def score(batches):
+        model, unit_n, unit_v, first_class = fitted.value
+        within = np.log10(unit_n + unit_v + 1)
+        within[:first_class] = 0.0
+        for batch in batches:
+            for k in range(0, batch.num_rows, 64):
+                part = batch.slice(k, 64)
+                rows = [np.frombuffer(x.as_py(), np.uint8) for x in part.column(6)]
+                starts = np.cumsum([0] + [len(x) for x in rows[:-1]]).astype(np.int64)
+                flat = np.concatenate(rows).astype(np.int32)
+                lp = model.log_probabilities(contexts(flat, starts, len(unit_n)), flat) / np.log(10) - within[flat]
+                yield pa.RecordBatch.from_arrays([*part.columns[:6], pa.array(np.add.reduceat(lp, starts) + part.column(7).to_numpy())],
+                                                 names=["row", "id", "held_out", "n_tokens", "n_known", "base", "model"])
+
+    scored = encoded.select("row", "id", "held_out", "n_tokens", "n_known", "base", "units", "in_class").mapInArrow(
+        score, f"row bigint, id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base double, model double")
+    tail = encoded.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n")
     rest = tail.join(counts, "word").groupBy("row").agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more"))
-    out = scored.drop("tail").join(rest, "row", "left")
+    out = scored.join(rest, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
     return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
                       F.lit(n_all).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("model") + more).alias("score"))
