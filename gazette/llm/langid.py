@@ -15,6 +15,7 @@ one pass over the texts without a shuffle.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from functools import lru_cache
 
@@ -37,11 +38,26 @@ HELD = 200_000
 
 #: A word: a letter and what letters and marks follow it.
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+#: The same in texts of the first 256 characters, which have no marks.
+LATIN_WORD = re.compile("[" + "".join(c for c in map(chr, range(256)) if WORD.fullmatch(c)) + "]+")
 
 
 def letters(text: str | None) -> list[str]:
     """The words of a text in lower case; none without letters."""
-    return WORD.findall(text.lower()) if text else []
+    if not text:
+        return []
+    text = text.lower()
+    return (LATIN_WORD if _latin(text) else WORD).findall(text)
+
+
+def _latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+        return True
+    except UnicodeEncodeError:
+        return False
 
 
 def grams(word: str, k: int) -> list[str]:
@@ -84,21 +100,32 @@ def count_words(docs: DataFrame, lang: str, text: str) -> DataFrame:
 
 
 def count_grams(words: DataFrame) -> DataFrame:
-    """(lang, kind, key, n) with kind the length: n-grams of the counted words."""
+    """(lang, kind, key, n) with kind the length: n-grams of the counted words. From each character of a
+    word on, the run of LONGEST (fewer at its end) is counted; the shorter n-grams begin these runs."""
+    def counted(held):
+        out: dict[tuple, Counter] = {}
+        for lang, runs in held.items():
+            kinds = [out.setdefault((lang, k), Counter()) for k in range(1, LONGEST + 1)]
+            for run, n in runs.items():
+                for k, of in enumerate(kinds[:len(run)], 1):
+                    of[run[:k]] += n
+        return _counted(out)
+
     def run(batches):
         held, size = {}, 0
         for batch in batches:
             for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
-                for k in range(1, LONGEST + 1):
-                    of = held.setdefault((lang, k), Counter())
-                    size -= len(of)
-                    for g in grams(word, k):
-                        of[g] += n
-                    size += len(of)
+                of = held.setdefault(lang, {})
+                size -= len(of)
+                padded = f" {word} "
+                for i in range(len(padded)):
+                    g = padded[i:i + LONGEST]
+                    of[g] = of.get(g, 0) + n
+                size += len(of)
                 if size > HELD:
-                    yield _counted(held)
+                    yield counted(held)
                     held, size = {}, 0
-        yield _counted(held)
+        yield counted(held)
 
     return words.select("lang", "key", "n").mapInArrow(run, _COUNTS).groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
 
@@ -142,22 +169,24 @@ class LanguageModel:
         for k, key, a, v in zip(kind.tolist(), entries.column("key").to_pylist(), lang.tolist(), log.tolist()):
             self.known[k][key] = self.known[k].get(key, ()) + ((a, v),)
 
-    def vote(self, word: str) -> np.ndarray:
+    def vote(self, word: str) -> list[float]:
         """Log frequency of the word in each language, above that of an absent entry."""
-        out = np.zeros(len(self.langs))
+        out = [0.0] * len(self.langs)
         own = self.known[0].get(word)
         if own:
             for a, v in own:
                 out[a] = v
             return out
+        padded = f" {word} "
         for k in range(LONGEST, 0, -1):
             known = self.known[k]
-            found = [f for f in map(known.get, grams(word, k)) if f]
+            found = [f for i in range(len(padded) - k + 1) if (f := known.get(padded[i:i + k]))]
             if found:
                 for f in found:
                     for a, v in f:
                         out[a] += v
-                return out * (max(1.0, len(word) / WORD_LENGTH) / len(found))
+                share = max(1.0, len(word) / WORD_LENGTH) / len(found)
+                return [x * share for x in out]
         return out
 
 
