@@ -85,7 +85,7 @@ def _coded(lines: pa.Array, edition: np.ndarray, whole: bool):
 
 def _encoder(names: list[str], size_of_block: int, packed: bool, whole: bool):
     """Batches of (names..., _lines) → for each block a row for each edition with its vocabulary
-    and, if `packed`, one with the block's articles: _rows, their columns with `_n`, how many codes each
+    and, if `packed`, one with the block's articles: the first column as a list; _rows, their other columns with `_n`, how many codes each
     has, and `_edition`, the place of its edition (-1: none); _codes, `place` for each occurrence of a term,
     -1 between sentences (not `whole`: for each term of an article, with its count `tf`); _terms by place."""
     niche, day = (names.index(c) for c in EDITION)
@@ -115,13 +115,14 @@ def _encoder(names: list[str], size_of_block: int, packed: bool, whole: bool):
             if packed:
                 codes = {"place": pa.array(place, pa.int32())} if whole else {"place": pa.array(pairs % max(1, len(of)), pa.int32()), "tf": pa.array(tf, pa.int32())}
                 held = np.bincount(row if whole else pairs // max(1, len(of)), minlength=len(edition))
-                columns = {c: own.column(c) for c in names} | {"_n": pa.array(held), "_edition": pa.array(np.where(edition < 0, -1, edition + len(of)))}
+                columns = {c: own.column(c) for c in names[1:]} | {"_n": pa.array(held), "_edition": pa.array(np.where(edition < 0, -1, edition + len(of)))}
                 values = [[_packed(columns)], [_packed(codes)], [_packed({"term": terms})]]
             more = len(values[0])
+            ids = [pa.concat_arrays([pa.nulls(len(editions), pa.list_(own.column(0).type)), pa.ListArray.from_arrays(pa.array([0, own.num_rows], pa.int32()), own.column(0).chunk(0))])] if packed else []
             key = [pa.array([e[k] for e in editions] + [None] * more, own.column(c).type) for k, c in enumerate((niche, day))]
             return pa.RecordBatch.from_arrays(
-                [*key, pa.array([block] * (len(editions) + more), pa.int64()), *(pa.array([None] * len(editions) + v, pa.binary()) for v in values),
-                 pa.concat_arrays([lists, pa.nulls(more, _ENTRIES)])], names=[*EDITION, "_block", "_rows", "_codes", "_terms", "_vocabulary"])
+                [*key, *ids, pa.array([block] * (len(editions) + more), pa.int64()), *(pa.array([None] * len(editions) + v, pa.binary()) for v in values),
+                 pa.concat_arrays([lists, pa.nulls(more, _ENTRIES)])], names=[*EDITION, *names[:len(ids)], "_block", "_rows", "_codes", "_terms", "_vocabulary"])
 
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(len(names))), 0).to_numpy(zero_copy_only=False)
@@ -148,10 +149,12 @@ def encode(sents: DataFrame, columns, block_chars: int = BLOCK_CHARS) -> DataFra
     lines = F.regexp_replace(F.lower(F.array_join("s", _NEXT)), r"[^\p{L}\x01]+", " ")
     rows = sents.select(*columns, lines.alias("_lines"))
     names = rows.columns[:-1]
-    schema = T.StructType([*(T.StructField(c, rows.schema[c].dataType) for c in EDITION), T.StructField("_block", T.LongType()),
+    packed = names != list(EDITION)
+    ids = [T.StructField(names[0], T.ArrayType(rows.schema[names[0]].dataType))] if packed else []
+    schema = T.StructType([*(T.StructField(c, rows.schema[c].dataType) for c in EDITION), *ids, T.StructField("_block", T.LongType()),
                            *(T.StructField(c, T.BinaryType()) for c in ("_rows", "_codes", "_terms")), T.StructField("_vocabulary", _VOCABULARY)])
     whole = any(isinstance(c, str) and c == "s" for c in columns)
-    return materialize(rows.mapInArrow(_encoder(names, block_chars, names != list(EDITION), whole), schema), "term-blocks", "zstd")
+    return materialize(rows.mapInArrow(_encoder(names, block_chars, packed, whole), schema), "term-blocks", "zstd")
 
 
 def _entries(encoded: DataFrame) -> DataFrame:
@@ -247,6 +250,7 @@ def ranked(encoded: DataFrame, corpus: DataFrame | None, columns: T.StructType,
 
     def score(block: pa.Table, known: pa.Table) -> pa.Table:
         own = _unpacked(block.column("_rows"))
+        own = own.append_column(columns.names[0], pa.concat_arrays(block.column(columns.names[0]).chunks).flatten())
         edition, held = own.column("_edition").to_numpy(), own.column("_n").to_numpy()
         codes = _unpacked(block.column("_codes"))
         i = known.column("i").to_numpy()
@@ -271,7 +275,7 @@ def ranked(encoded: DataFrame, corpus: DataFrame | None, columns: T.StructType,
             out.append(pa.array([None if x is None else " ".join(x) for x in heads], pa.string()))
         return pa.table(out, names=[*names, *(c for c, _ in added)])
 
-    rows = encoded.filter("_rows IS NOT NULL").select("_block", "_rows", "_codes", *(["_terms"] if tags else []))
+    rows = encoded.filter("_rows IS NOT NULL").select("_block", columns.names[0], "_rows", "_codes", *(["_terms"] if tags else []))
     tasks = max(1, rows.select("_block").count())
     known = frequencies(encoded, corpus).repartition(tasks, "_block")
     schema = T.StructType([*(T.StructField(c, columns[c].dataType) for c in names), *(T.StructField(c, t) for c, t in added)])
