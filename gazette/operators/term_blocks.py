@@ -5,11 +5,13 @@
    A block has a vocabulary: the distinct terms of an edition with the number of the block's
    articles that hold them. Its articles, with their terms as places in it, are one
    compressed Arrow table. One pass over the text.
-2. Frequencies are summed over the blocks by (edition, term). A term has one row for each block
-   that holds it, so no key is hot, and its sum returns to these blocks.
+2. Terms are dealt into BUCKETS by a hash. A block's terms in a bucket are one row, and their
+   places follow one another, so a task that sums a bucket sends back the numbers alone. A
+   term stands once for each block that holds it, so no bucket is hot.
 3. Each block meets its frequencies and ranks every article's terms and sentences.
 
-Memory of a task follows the block (or the longest text), not the corpus.
+Memory of a task follows the block (or the longest text), not the corpus; a task that sums
+holds as many terms as a block does, up to BUCKETS blocks.
 """
 
 from __future__ import annotations
@@ -17,21 +19,23 @@ from __future__ import annotations
 from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from gazette import config as C
 from gazette.operators.select import EDITION
 
 #: Bytes of terms in a block; a longer text is a block of its own.
 BLOCK_CHARS = 16_000_000
+#: Parts into which a hash deals the terms.
+BUCKETS = 512
 _MIN_LETTERS = 3
 _EDITION = "\u0002"         # the entry of the edition in a vocabulary; no term
 _NEXT = "\u0001"            # between the terms of two sentences; no sentence holds it
-_VOCABULARY = T.ArrayType(T.StructType([T.StructField("i", T.IntegerType()), T.StructField("term", T.StringType()),
-                                        T.StructField("n", T.LongType())]))
-_ENTRIES = pa.list_(pa.struct([("i", pa.int32()), ("term", pa.string()), ("n", pa.int64())]))
+_VOCABULARY = [T.StructField("_bucket", T.IntegerType()), T.StructField("_start", T.IntegerType()),
+               T.StructField("_vocabulary", T.ArrayType(T.StringType())), T.StructField("_held", T.ArrayType(T.LongType()))]
 
 
 def _packed(columns: dict) -> bytes:
@@ -52,6 +56,20 @@ def _places(values: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndar
     return coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
 
 
+def _grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of 0 and more in order, and the place of each value among them."""
+    bits = len(values).bit_length()
+    if int(values.max(initial=0)).bit_length() + bits > 63:
+        distinct, place = np.unique(values, return_inverse=True)
+        return distinct, place
+    both = np.sort((values << bits) | np.arange(len(values)))     # with its position, a value sorts as one number
+    ordered = both >> bits
+    place = np.empty(len(values), np.int64)
+    first = np.append(True, ordered[1:] != ordered[:-1])[:len(values)]
+    place[both & ((1 << bits) - 1)] = np.cumsum(first) - 1
+    return ordered[first], place
+
+
 def _coded(lines: pa.Array, edition: np.ndarray, whole: bool):
     """For the lines of a block and the number of each article's edition (-1: none): the articles and
     places of all occurrences of terms, -1 between sentences (not `whole`: left out), the terms by
@@ -83,8 +101,14 @@ def _coded(lines: pa.Array, edition: np.ndarray, whole: bool):
     return row, place, held.take(pa.array(term)), of, n, pairs, np.diff(np.append(first, len(each)))
 
 
+def _buckets(terms: pa.Array) -> np.ndarray:
+    """The bucket of each term, the same in every block."""
+    return (pd.util.hash_array(terms.to_numpy(zero_copy_only=False).astype(object), categorize=False) % BUCKETS).astype(np.int64)
+
+
 def _encoder(names: list[str], size_of_block: int, packed: bool, whole: bool):
-    """Batches of (names..., _lines) → for each block a row for each edition with its vocabulary
+    """Batches of (names..., _lines) → for each block a row for each bucket and edition with its terms, the first
+    one's place (_start) and how many articles hold each (_held)
     and, if `packed`, one with the block's articles: the first column as a list; _rows, their other columns with `_n`, how many codes each
     has, and `_edition`, the place of its edition (-1: none); _codes, `place` for each occurrence of a term,
     -1 between sentences (not `whole`: for each term of an article, with its count `tf`); _terms by place."""
@@ -103,26 +127,35 @@ def _encoder(names: list[str], size_of_block: int, packed: bool, whole: bool):
                                 for e in zip(own.column(niche).to_pylist(), own.column(day).to_pylist())], np.int64)
             row, place, terms, of, n, pairs, tf = _coded(lines, edition, whole)
             each = np.bincount(edition[edition >= 0], minlength=len(editions))
-            order = np.argsort(of, kind="stable")
-            ends = np.searchsorted(of[order], np.arange(1, len(editions) + 1))
-            # the terms of an edition, then its own entry
-            i = np.insert(order, ends, len(of) + np.arange(len(editions)))
-            entries = pa.StructArray.from_arrays(
-                [pa.array(i, pa.int32()), pa.concat_arrays([terms, pa.array([_EDITION] * len(editions), pa.string())]).take(pa.array(i)),
-                 pa.array(np.append(n, each)[i], pa.int64())], names=["i", "term", "n"])
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends + np.arange(1, len(editions) + 1)), pa.int32()), entries).cast(_ENTRIES)
+            # an edition is an entry of its own; places go by bucket and edition
+            entries = pa.concat_arrays([terms, pa.array([_EDITION] * len(editions), pa.string())])
+            own_entry = len(of) + np.arange(len(editions))
+            of, n = np.append(of, np.arange(len(editions))), np.append(n, each)
+            group = _buckets(entries) * max(1, len(editions)) + of
+            order = np.argsort(group, kind="stable")
+            to = np.empty(len(order) + 1, np.int64)
+            to[order], to[-1] = np.arange(len(order)), -1
+            entries, group = entries.take(pa.array(order)), group[order]
+            starts = np.flatnonzero(np.append(True, group[1:] != group[:-1])[:len(group)])
+            ends = pa.array(np.append(starts, len(group)), pa.int32())
+            bucket, key_of = np.divmod(group[starts], max(1, len(editions)))
             values = [[], [], []]
             if packed:
-                codes = {"place": pa.array(place, pa.int32())} if whole else {"place": pa.array(pairs % max(1, len(of)), pa.int32()), "tf": pa.array(tf, pa.int32())}
-                held = np.bincount(row if whole else pairs // max(1, len(of)), minlength=len(edition))
-                columns = {c: own.column(c) for c in names[1:]} | {"_n": pa.array(held), "_edition": pa.array(np.where(edition < 0, -1, edition + len(of)))}
-                values = [[_packed(columns)], [_packed(codes)], [_packed({"term": terms})]]
-            more = len(values[0])
-            ids = [pa.concat_arrays([pa.nulls(len(editions), pa.list_(own.column(0).type)), pa.ListArray.from_arrays(pa.array([0, own.num_rows], pa.int32()), own.column(0).chunk(0))])] if packed else []
-            key = [pa.array([e[k] for e in editions] + [None] * more, own.column(c).type) for k, c in enumerate((niche, day))]
+                distinct = max(1, len(terms))
+                codes = {"place": pa.array(to[place], pa.int32())} if whole else {"place": pa.array(to[pairs % distinct], pa.int32()), "tf": pa.array(tf, pa.int32())}
+                held = np.bincount(row if whole else pairs // distinct, minlength=len(edition))
+                columns = {c: own.column(c) for c in names[1:]} | {"_n": pa.array(held), "_edition": pa.array(np.append(to[own_entry], -1)[edition])}
+                values = [[_packed(columns)], [_packed(codes)], [_packed({"term": entries})]]
+            rest, more = len(starts), len(values[0])
+            ids = [pa.concat_arrays([pa.nulls(rest, pa.list_(own.column(0).type)), pa.ListArray.from_arrays(pa.array([0, own.num_rows], pa.int32()), own.column(0).chunk(0))])] if packed else []
+            keys = list(editions)
+            key = [pa.array([keys[e][k] for e in key_of.tolist()] + [None] * more, own.column(c).type) for k, c in enumerate((niche, day))]
+            vocabulary = [pa.array(bucket, pa.int32()), pa.array(starts, pa.int32()), pa.ListArray.from_arrays(ends, entries),
+                          pa.ListArray.from_arrays(ends, pa.array(n[order], pa.int64()))]
             return pa.RecordBatch.from_arrays(
-                [*key, *ids, pa.array([block] * (len(editions) + more), pa.int64()), *(pa.array([None] * len(editions) + v, pa.binary()) for v in values),
-                 pa.concat_arrays([lists, pa.nulls(more, _ENTRIES)])], names=[*EDITION, *names[:len(ids)], "_block", "_rows", "_codes", "_terms", "_vocabulary"])
+                [*key, *ids, pa.array([block] * (rest + more), pa.int64()), *(pa.array([None] * rest + v, pa.binary()) for v in values),
+                 *(pa.concat_arrays([v, pa.nulls(more, v.type)]) for v in vocabulary)],
+                names=[*EDITION, *names[:len(ids)], "_block", "_rows", "_codes", "_terms", *(f.name for f in _VOCABULARY)])
 
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(len(names))), 0).to_numpy(zero_copy_only=False)
@@ -145,34 +178,68 @@ def encode(sents: DataFrame, columns, block_chars: int = BLOCK_CHARS) -> DataFra
     """Blocks of articles with sentence arrays `s` (see _encoder), written once: block numbers are those of the
     tasks that dealt them. Where `s` is not among the columns, terms are kept with their counts and not
     where they stand; the edition alone as columns: only vocabularies."""
-    from gazette.session import materialize
+    from gazette.session import materialize_buckets
     lines = F.regexp_replace(F.lower(F.array_join("s", _NEXT)), r"[^\p{L}\x01]+", " ")
     rows = sents.select(*columns, lines.alias("_lines"))
     names = rows.columns[:-1]
     packed = names != list(EDITION)
     ids = [T.StructField(names[0], T.ArrayType(rows.schema[names[0]].dataType))] if packed else []
     schema = T.StructType([*(T.StructField(c, rows.schema[c].dataType) for c in EDITION), *ids, T.StructField("_block", T.LongType()),
-                           *(T.StructField(c, T.BinaryType()) for c in ("_rows", "_codes", "_terms")), T.StructField("_vocabulary", _VOCABULARY)])
+                           *(T.StructField(c, T.BinaryType()) for c in ("_rows", "_codes", "_terms")), *_VOCABULARY])
     whole = any(isinstance(c, str) and c == "s" for c in columns)
-    return materialize(rows.mapInArrow(_encoder(names, block_chars, packed, whole), schema), "term-blocks", "zstd")
+    return materialize_buckets(rows.mapInArrow(_encoder(names, block_chars, packed, whole), schema), "_block", "term-blocks", "zstd")
+
+
+def _summed(own_counts: bool):
+    """Rows of all blocks in some buckets → (_block, _start, _df): for the terms of an own row, how many
+    articles of the edition hold each. Own rows add their counts if `own_counts`."""
+    def run(batches):
+        parts = list(batches)
+        if not parts:
+            return
+        table = pa.Table.from_batches(parts).combine_chunks()
+        words, counts = pc.split_pattern(_one(table["_words"]), " "), _one(table["_held"])
+        size = np.diff(words.offsets.to_numpy())
+        editions: dict[tuple, int] = {}
+        edition = np.array([editions.setdefault(e, len(editions)) for e in zip(*(table[c].to_pylist() for c in EDITION))], np.int64)
+        coded = words.flatten().dictionary_encode()
+        distinct, place = _places(np.repeat(edition, size) * len(coded.dictionary) + coded.indices.to_numpy())
+        own = table["_own"].to_numpy(zero_copy_only=False)
+        each = counts.flatten().to_numpy()
+        if not own_counts:
+            each = np.where(np.repeat(own, size), 0, each)
+        df = np.bincount(place, each, len(distinct)).astype(np.int64)
+        out = pa.array(df[place[np.repeat(own, size)]])
+        ends = pa.array(np.append(0, np.cumsum(size[own])), pa.int32())
+        mine = table.filter(pa.array(own)).combine_chunks()
+        yield pa.RecordBatch.from_arrays([_one(mine["_block"]), _one(mine["_start"]), pa.ListArray.from_arrays(ends, out)], names=["_block", "_start", "_df"])
+    return run
+
 
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
 
-def _entries(encoded: DataFrame) -> DataFrame:
-    return encoded.filter("_vocabulary IS NOT NULL").select("_block", *EDITION, F.inline("_vocabulary"))
+
+def packed_frequencies(encoded: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
+    """(_block, _start, _df): for the places from _start on, the articles of the edition (of the corpus, if
+    given) that hold the term of the block; the place of the edition holds their number."""
+    def entries(e, own):
+        return (e.filter("_vocabulary IS NOT NULL")
+                .select("_bucket", "_block", "_start", *EDITION, F.array_join("_vocabulary", " ").alias("_words"), "_held", F.lit(own).alias("_own")))
+
+    def blocks(e):
+        return e.select("_block").distinct().count()
+    rows, tasks = entries(encoded, True), blocks(encoded)
+    if corpus is not None:
+        rows, tasks = rows.unionByName(entries(corpus, False)), tasks + blocks(corpus)
+    return (rows.repartition(max(1, min(BUCKETS, tasks)), "_bucket").drop("_bucket")
+            .mapInArrow(_summed(corpus is None), "_block bigint, _start int, _df array<bigint>"))
 
 
 def frequencies(encoded: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
-    """(_block, i, df): the articles of the edition (of the corpus, if given) that hold a term of
-    the block; the place of the edition holds their number. Places not listed have df 1."""
-    entries = _entries(encoded)
-    if corpus is None:
-        entries = entries.withColumn("_own", F.lit(True))
-    else:
-        entries = (entries.withColumns({"n": F.lit(0).cast("bigint"), "_own": F.lit(True)})
-                   .unionByName(_entries(corpus).withColumn("_own", F.lit(False))))
-    same = Window.partitionBy("term", *EDITION)
-    summed = entries.withColumn("df", F.sum("n").over(same))
-    return summed.filter("_own AND df <> 1").select("_block", "i", "df")
+    """(_block, i, df): packed_frequencies with a row for each place. Places not listed have df 1."""
+    each = packed_frequencies(encoded, corpus).select("_block", "_start", F.posexplode("_df").alias("k", "df"))
+    return each.filter("df <> 1").select("_block", (F.col("_start") + F.col("k")).alias("i"), "df")
 
 
 def round_half_up(x: np.ndarray, digits: int) -> np.ndarray:
@@ -200,7 +267,7 @@ def _top(codes: pa.Table, n: np.ndarray, held: np.ndarray, df: np.ndarray, n_tag
         of, term, tf = row, flat, codes.column("tf").to_numpy()
     else:
         word = flat >= 0
-        distinct, place = _places(row[word] * len(df) + flat[word])
+        distinct, place = _grouped(row[word] * len(df) + flat[word])
         tf = np.bincount(place, minlength=len(distinct))
         of, term = np.divmod(distinct, max(1, len(df)))
     d = df[term]
@@ -223,7 +290,9 @@ def _top(codes: pa.Table, n: np.ndarray, held: np.ndarray, df: np.ndarray, n_tag
         pos = before - np.repeat(np.append(before, 0)[begin], held)
         use = kept[place]
         width = int(pos.max(initial=0)) + 1
-        at, back = _places((row[word] * width + pos[word])[use])        # in text order
+        ordered = (row[word] * width + pos[word])[use]      # in text order
+        begins = np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)]
+        at, back = ordered[begins], np.cumsum(begins) - 1
         score = round_half_up(np.bincount(back, weight[place][use], len(at)) / np.bincount(back, minlength=len(at)), digits)
         r, p = np.divmod(at, width)
         order = np.lexsort((p, -score, r))
@@ -253,9 +322,8 @@ def ranked(encoded: DataFrame, corpus: DataFrame | None, columns: T.StructType,
         own = own.append_column(columns.names[0], pa.concat_arrays(block.column(columns.names[0]).chunks).flatten())
         edition, held = own.column("_edition").to_numpy(), own.column("_n").to_numpy()
         codes = _unpacked(block.column("_codes"))
-        i = known.column("i").to_numpy()
-        df = np.ones(1 + max(int(x.max(initial=-1)) for x in (i, edition, codes.column("place").to_numpy())), np.int64)
-        df[i] = known.column("df").to_numpy()
+        parts = _one(known.sort_by("_start")["_df"])        # the block's places, one row after another
+        df = parts.flatten().to_numpy()
         best, top = _top(codes, np.where(edition < 0, 0, np.append(df, 0)[edition]), held, df, tags, insights, digits)
         out = [own.column(c) for c in names]
         if tags:
@@ -276,8 +344,7 @@ def ranked(encoded: DataFrame, corpus: DataFrame | None, columns: T.StructType,
         return pa.table(out, names=[*names, *(c for c, _ in added)])
 
     rows = encoded.filter("_rows IS NOT NULL").select("_block", columns.names[0], "_rows", "_codes", *(["_terms"] if tags else []))
-    tasks = max(1, rows.select("_block").count())
-    known = frequencies(encoded, corpus).repartition(tasks, "_block")
+    known = packed_frequencies(encoded, corpus)
     schema = T.StructType([*(T.StructField(c, columns[c].dataType) for c in names), *(T.StructField(c, t) for c, t in added)])
-    return (rows.repartition(tasks, "_block").groupBy("_block")
-            .cogroup(known.groupBy("_block")).applyInArrow(score, schema))
+    # the rows lie in buckets of blocks, so only the frequencies are shuffled
+    return rows.groupBy("_block").cogroup(known.groupBy("_block")).applyInArrow(score, schema)
