@@ -73,9 +73,11 @@ def number_by_range(df: DataFrame, groups, order, name: str = "rn") -> DataFrame
     """Every row with its 1-based position in its group by the columns `order`, without a task that
     holds a group: rows are dealt by sorted ranges of (group, order) and written, each with
     its place in its range; a group's positions in a range start after its rows in the
-    ranges before. One shuffle of the rows; the counts have one row per (group, range). Null
+    ranges before. One shuffle of the rows; the counts have one row per (group, range), and few of
+    them (checked) meet the rows by a broadcast. Null
     groups and null order columns sort first; rows equal in all of them take any order."""
     from gazette.session import materialize
+    from gazette.sources.config_dim import MAX_BROADCAST_ROWS
     keys = [F.col(c).asc_nulls_first() for c in (*groups, *order)]
     ranged = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
               .withColumn("_range", F.spark_partition_id())
@@ -85,6 +87,9 @@ def number_by_range(df: DataFrame, groups, order, name: str = "rn") -> DataFrame
     before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*[F.col(c).alias(f"_{c}") for c in groups], F.col("_range").alias("_r"), "_first",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    starts = materialize(starts, "range-starts")
+    if starts.count() <= MAX_BROADCAST_ROWS:
+        starts = F.broadcast(starts)
     on = [F.col("_range") == F.col("_r"), *[F.col(c).eqNullSafe(F.col(f"_{c}")) for c in groups]]
     return ranged.join(starts, on).select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias(name))
 

@@ -19,7 +19,6 @@ from __future__ import annotations
 from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -79,22 +78,31 @@ def _coded(lines: pa.Array, edition: np.ndarray, whole: bool):
     parts = pc.split_pattern(blanks, " ")
     words = parts.flatten().dictionary_encode()
     at, held = words.indices.to_numpy(), words.dictionary
-    row = np.repeat(np.arange(len(lines)), np.diff(parts.offsets.to_numpy()))
+    row = np.repeat(np.arange(len(lines), dtype=np.int32), np.diff(parts.offsets.to_numpy()))
+    del lines, blanks, parts, words         # a block's arrays are large: none stays longer than it is used
     ending = pc.equal(held, _NEXT).to_numpy(zero_copy_only=False)
     use = ((pc.utf8_length(held).to_numpy() >= _MIN_LETTERS) | ending)[at] & (edition[row] >= 0)
-    row, at = row[use], at[use].astype(np.int64)
-    entry, ends = edition[row] * len(held) + at, ending[at]
+    row, at = row[use], at[use]
+    entry, ends = edition[row], ending[at]
+    entry *= len(held)
+    entry += at
+    del at, use
     possible = (int(edition.max(initial=-1)) + 1) * len(held)
     if possible <= 4 * len(entry):          # a map of all entries that can be is quicker than hashes
         given = np.zeros(possible, bool)
         given[entry[~ends]] = True
         distinct = np.flatnonzero(given)
-        place = np.where(ends, -1, (np.cumsum(given) - 1)[entry])
+        place = (np.cumsum(given) - 1)[entry]
+        place[ends] = -1
     else:
         distinct, place = _places(entry, ends)
     of, term = np.divmod(distinct, max(1, len(held)))
+    del entry, ends
     word = place >= 0
-    each = np.sort(row[word] * max(1, len(distinct)) + place[word])
+    each = row[word].astype(np.int64)
+    each *= max(1, len(distinct))
+    each += place[word]
+    each.sort()
     first = np.flatnonzero(np.append(True, each[1:] != each[:-1])) if len(each) else np.zeros(0, np.int64)
     pairs = each[first]
     n = np.bincount(pairs % max(1, len(distinct)), minlength=len(distinct))
@@ -102,8 +110,14 @@ def _coded(lines: pa.Array, edition: np.ndarray, whole: bool):
 
 
 def _buckets(terms: pa.Array) -> np.ndarray:
-    """The bucket of each term, the same in every block."""
-    return (pd.util.hash_array(terms.to_numpy(zero_copy_only=False).astype(object), categorize=False) % BUCKETS).astype(np.int64)
+    """The bucket of each term, the same in every block: its bytes times powers of an odd number."""
+    size = pc.binary_length(terms).to_numpy()
+    if not size.sum():
+        return np.zeros(len(size), np.int64)
+    begin = np.cumsum(size, dtype=np.int64) - size
+    powers = np.cumprod(np.full(int(size.max()), 0x9E3779B97F4A7C15, np.uint64))
+    data = np.frombuffer(terms.buffers()[2], np.uint8)[:int(size.sum())] * powers[np.arange(int(size.sum())) - np.repeat(begin, size)]
+    return ((np.add.reduceat(data, begin) >> np.uint64(32)) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 def _encoder(names: list[str], size_of_block: int, packed: bool, whole: bool):
@@ -121,11 +135,13 @@ def _encoder(names: list[str], size_of_block: int, packed: bool, whole: bool):
 
         def rows():
             table = pa.Table.from_batches(parts).combine_chunks()
-            own, lines = table.select(names), pa.concat_arrays(table.column(len(names)).chunks)
+            parts.clear()
+            own, lines = table.select(names), [pa.concat_arrays(table.column(len(names)).chunks)]
+            del table
             editions: dict[tuple, int] = {}
             edition = np.array([-1 if None in e else editions.setdefault(e, len(editions))
                                 for e in zip(own.column(niche).to_pylist(), own.column(day).to_pylist())], np.int64)
-            row, place, terms, of, n, pairs, tf = _coded(lines, edition, whole)
+            row, place, terms, of, n, pairs, tf = _coded(lines.pop(), edition, whole)
             each = np.bincount(edition[edition >= 0], minlength=len(editions))
             # an edition is an entry of its own; places go by bucket and edition
             entries = pa.concat_arrays([terms, pa.array([_EDITION] * len(editions), pa.string())])
@@ -262,7 +278,7 @@ def _top(codes: pa.Table, n: np.ndarray, held: np.ndarray, df: np.ndarray, n_tag
     has: (article, place, weight) of the terms that can be among the top n_tags, ties with the last
     one included, and (article, position) of the top sentences, in text order."""
     flat = codes.column("place").to_numpy()
-    row = np.repeat(np.arange(len(held)), held)
+    row = np.repeat(np.arange(len(held), dtype=np.int64), held)
     if "tf" in codes.column_names:
         of, term, tf = row, flat, codes.column("tf").to_numpy()
     else:
@@ -319,11 +335,11 @@ def ranked(encoded: DataFrame, corpus: DataFrame | None, columns: T.StructType,
 
     def score(block: pa.Table, known: pa.Table) -> pa.Table:
         own = _unpacked(block.column("_rows"))
-        own = own.append_column(columns.names[0], pa.concat_arrays(block.column(columns.names[0]).chunks).flatten())
+        own = own.append_column(columns.names[0], _one(known[columns.names[0]].drop_null()).flatten())
         edition, held = own.column("_edition").to_numpy(), own.column("_n").to_numpy()
         codes = _unpacked(block.column("_codes"))
-        parts = _one(known.sort_by("_start")["_df"])        # the block's places, one row after another
-        df = parts.flatten().to_numpy()
+        parts = known.filter(pc.field("_start").is_valid()).sort_by("_start")
+        df = _one(parts["_df"]).flatten().to_numpy()        # the block's places, one row after another
         best, top = _top(codes, np.where(edition < 0, 0, np.append(df, 0)[edition]), held, df, tags, insights, digits)
         out = [own.column(c) for c in names]
         if tags:
@@ -343,8 +359,9 @@ def ranked(encoded: DataFrame, corpus: DataFrame | None, columns: T.StructType,
             out.append(pa.array([None if x is None else " ".join(x) for x in heads], pa.string()))
         return pa.table(out, names=[*names, *(c for c, _ in added)])
 
-    rows = encoded.filter("_rows IS NOT NULL").select("_block", columns.names[0], "_rows", "_codes", *(["_terms"] if tags else []))
-    known = packed_frequencies(encoded, corpus)
+    blocks = encoded.filter("_rows IS NOT NULL")
+    rows = blocks.select("_block", "_rows", "_codes", *(["_terms"] if tags else []))
+    known = packed_frequencies(encoded, corpus).unionByName(blocks.select("_block", columns.names[0]), allowMissingColumns=True)
     schema = T.StructType([*(T.StructField(c, columns[c].dataType) for c in names), *(T.StructField(c, t) for c, t in added)])
-    # the rows lie in buckets of blocks, so only the frequencies are shuffled
+    # the rows lie in buckets of blocks, so only the frequencies and the ids are shuffled
     return rows.groupBy("_block").cogroup(known.groupBy("_block")).applyInArrow(score, schema)

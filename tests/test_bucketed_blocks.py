@@ -70,3 +70,32 @@ def test_grouped_values_are_those_of_unique(top):
         distinct, place = TB._grouped(x)
         expect, at = np.unique(x, return_inverse=True)
         assert distinct.tolist() == expect.tolist() and place.tolist() == at.tolist()
+
+
+def test_positions_come_to_the_rows_of_a_range_by_a_broadcast(spark):
+    """The rows move once, to their ranges; the few counts then go to them."""
+    from gazette.operators import select as S
+    df = spark.range(500).select("id", (F.col("id") % 3).alias("g"), F.pmod(F.xxhash64("id"), F.lit(100)).alias("o"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = S.number_by_range(df, ["g"], ["o", "id"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = got.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    for g in range(3):
+        mine = sorted((r.o, r.id, r.rn) for r in rows if r.g == g)
+        assert [rn for _, _, rn in mine] == list(range(1, len(mine) + 1))
+
+
+def test_rows_pass_unmarked_where_no_key_occurs_twice(spark):
+    from gazette.operators import dedup as D
+    order = ["kind_rank", "source_pos", "source_name", "item_pos"]
+    df = spark.range(200).select(F.concat(F.lit("k"), "id").alias("article_hash"), F.lit("text").alias("content"), F.lit(1).alias("kind_rank"),
+                                 F.lit(1).alias("source_pos"), F.lit("s").alias("source_name"), F.col("id").alias("item_pos"))
+    assert "Join" not in D.first_copies(df)._jdf.queryExecution().executedPlan().toString()
+    again = df.unionByName(df.withColumn("item_pos", F.col("item_pos") + 1000)).withColumn("article_hash", F.when(F.col("item_pos") % 7 > 0, F.col("article_hash")))
+    got = {(r.article_hash, r.item_pos) for r in D.first_copies(again).collect()}
+    assert got == {(r.article_hash, r.item_pos) for r in D.keep_first(again, order=[F.col(c) for c in order]).collect()}
