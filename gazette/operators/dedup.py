@@ -50,13 +50,17 @@ def first_copies(df: DataFrame, key: str = "article_hash", order=None, bits: int
     """W1 for rows with text: the same rows as keep_first, but only rows whose key occurs more
     than once (and those few that share their place in the map) go through a shuffle. All
     other rows pass as they are read. The input is scanned three times, once for keys
-    alone. A null key is one key, as in keep_first."""
+    alone; where no key occurs twice, the keys are all that is scanned here. A null key is one key, as in keep_first."""
+    from gazette.session import materialize
+    repeated = materialize(repeated_bitmap(df, key, bits), "repeated-keys")
+    if repeated.isEmpty():
+        return df
     place = F.pmod(F.xxhash64(key), F.lit(1 << bits))
     in_row = place.bitwiseAND((1 << _PER_ROW) - 1)
     byte = F.conv(F.hex(F.substring(F.col("_map"), (F.shiftright(in_row, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     bit = byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (in_row % 8 + 1).cast("int")))
     marked = (df.withColumn("_bucket", F.shiftright(place, _PER_ROW))
-              .join(F.broadcast(repeated_bitmap(df, key, bits)), "_bucket", "left")
+              .join(F.broadcast(repeated), "_bucket", "left")
               .withColumn("_again", F.coalesce(bit != 0, F.lit(False))).select(*df.columns, "_again"))
     alone = marked.filter("NOT _again").drop("_again")
     return alone.unionByName(keep_first(marked.filter("_again").drop("_again"), key, order))
